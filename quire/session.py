@@ -29,7 +29,7 @@ def build_session(master: str | None = None, app: str = "quire",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
