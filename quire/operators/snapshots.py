@@ -335,6 +335,18 @@ def recategorise(books: DataFrame, mapping: dict[str, str]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # deletes
 # ---------------------------------------------------------------------------
+def referenced_keys(child: DataFrame, fk: str, keys: DataFrame, key: str) -> DataFrame:
+    """The requested keys that a (large) child table references.
+
+    The child is streamed against the request keys (child ⋉ keys): for a
+    semi join Spark can only broadcast the right side, so the small key set
+    goes on the right and AQE broadcasts it when it is small; the child is
+    never shuffled just to answer "is this key used?".  Only matching keys
+    come out (de-duplicated after a map-side partial aggregate)."""
+    return (child.select(F.col(fk).alias(key)).join(keys.select(key), key, "left_semi")
+            .distinct())
+
+
 def delete_by_key(current: DataFrame, key: str, requests: DataFrame,
                   referencing: list[tuple[DataFrame, str]]) -> Applied:
     """DELETE by key; a key still referenced by a child table is refused
@@ -344,7 +356,7 @@ def delete_by_key(current: DataFrame, key: str, requests: DataFrame,
     blocked = []
     deletable = keys.join(current.select(key), key, "left_semi")
     for child, fk in referencing:
-        refs = child.select(F.col(fk).alias(key))
+        refs = referenced_keys(child, fk, deletable, key)
         blocked.append(rejected(deletable.join(refs, key, "left_semi"), "referenced", [key]))
         deletable = deletable.join(refs, key, "left_anti")
     snap = current.join(deletable, key, "left_anti")
@@ -395,7 +407,7 @@ def product_delete(books: DataFrame, order_items: DataFrame, requests: DataFrame
     missing = rejected(keys.join(books.select("book_id"), "book_id", "left_anti"), "not found",
                        ["book_id"])
     known = keys.join(books.select("book_id"), "book_id", "left_semi")
-    refs = order_items.select("book_id")
+    refs = referenced_keys(order_items, "book_id", known, "book_id")
     archive = known.join(refs, "book_id", "left_semi").withColumn("_archive", F.lit(True))
     remove = known.join(refs, "book_id", "left_anti")
     kept = books.join(remove, "book_id", "left_anti").join(archive, "book_id", "left")

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The application has no stream, watermark, time window, session or state: its
+nearest relative is the catalogue generator that committed every 5,000 rows,
+which is a single partitioned batch write here (``sources.generate``).  The
+audit log is append-only, but the application only lists it (``view_logs``)
+and never consumes it incrementally, so no Structured Streaming job is built.
+"""
