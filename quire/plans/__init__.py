@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..sources.adapter import Domain, with_adapter
 
@@ -22,6 +24,54 @@ class NamedQuery:
 
 REGISTRY: dict[str, NamedQuery] = {}
 
+# Money is computed in exact decimals throughout; registered outputs present
+# it as DOUBLE (converted once, at the end) so that the result compares the
+# same through any client conversion (DuckDB hands DECIMAL to pandas as
+# float64, Spark as Decimal objects).  Per key, the presented columns:
+MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
+    "popular_products": ("revenue",), "order_lines": ("price", "subtotal"),
+    "sales_by_title": ("revenue",), "order_totals": ("lines_total",),
+    "first_rows": ("price", "discount_percent", "price_after_discount"),
+    "receipt": ("price", "subtotal", "lines_total", "total_amount", "difference"),
+    "order_details": ("price", "subtotal", "lines_total", "total_amount", "difference"),
+    "my_history": ("total_amount",), "client_dossier": ("spend",),
+    "scan_books": ("price", "discount_percent", "price_after_discount"),
+    "browse_catalog": ("price",), "search_author": ("price",), "search_category": ("price",),
+    "filter_author": ("price", "discount_percent", "price_after_discount"),
+    "search_books": ("price",), "orders_of_customer": ("total_amount",),
+    "add_books": ("price", "discount_percent", "price_after_discount"),
+    "product_add_validated": ("price", "discount_percent", "price_after_discount"),
+    "update_books": ("price", "discount_percent", "price_after_discount"),
+    "product_edit": ("price", "discount_percent", "price_after_discount"),
+    "update_order_status": ("total_amount",),
+    "recategorise": ("price", "discount_percent", "price_after_discount"),
+    "delete_books": ("price", "discount_percent", "price_after_discount"),
+    "product_delete": ("price", "discount_percent", "price_after_discount"),
+    "add_to_cart": ("price",), "place_orders": ("total_amount",),
+    "order_create": ("total_amount",), "order_add_items": ("total_amount",),
+    "order_remove_items": ("total_amount",), "buy_auto": ("price",), "csv_import": ("price",),
+    "json_import_typed": ("price", "discount_percent", "price_after_discount"),
+    "json_import_raw": ("price",), "json_export": ("price",),
+    "gen_catalog_words": ("price", "discount_percent", "price_after_discount"),
+}
+
+
+def present(df: DataFrame) -> DataFrame:
+    """Cast decimal output columns to DOUBLE (last step; order kept)."""
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def present_sql(name: str, sql: str) -> str:
+    cols = MONEY_COLUMNS.get(name)
+    if not cols:
+        return sql
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) presented"
+
 
 def register(name: str, sql: str | None, extra_ctes: str = ""):
     """Register ``fn(dom: Domain) -> DataFrame`` under ``name``; ``sql`` is
@@ -29,10 +79,10 @@ def register(name: str, sql: str | None, extra_ctes: str = ""):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        full = with_adapter(sql, extra_ctes) if sql is not None else None
+        full = present_sql(name, with_adapter(sql, extra_ctes)) if sql is not None else None
 
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Domain(spark, sf_dir))
+            return present(fn(Domain(spark, sf_dir)))
         build.__name__ = f"q_{name}"
         build.__doc__ = fn.__doc__
         REGISTRY[name] = NamedQuery(name, build, full)

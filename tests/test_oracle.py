@@ -38,3 +38,15 @@ def test_entry_contract(spark):
     assert len(q) == len(REG)
     # only the random generator is without an exact oracle
     assert set(q) - set(sql) == {"gen_catalog_words"}
+
+
+def test_money_columns_declared(spark, small_dir):
+    """Registered outputs carry no DECIMAL columns (money is presented as
+    DOUBLE) and every presented column is declared for the SQL side."""
+    from pyspark.sql.types import DecimalType, DoubleType
+    from quire.plans import MONEY_COLUMNS
+    for name, cols in MONEY_COLUMNS.items():
+        df = REG[name].build(spark, small_dir)
+        types = {f.name: f.dataType for f in df.schema.fields}
+        assert all(isinstance(types[c], DoubleType) for c in cols), name
+        assert not any(isinstance(t, DecimalType) for t in types.values()), name

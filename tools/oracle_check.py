@@ -22,7 +22,7 @@ from quire.sources.tables import RAW_TABLES, table_path  # noqa: E402
 
 def norm(v):
     if isinstance(v, float):
-        return ("f", round(v, 6))
+        return ("f", repr(v))          # exact: both sides convert the same decimal
     if isinstance(v, Decimal):
         return ("d", str(v))
     if isinstance(v, (bytes, bytearray)):
@@ -34,6 +34,36 @@ def norm(v):
     return (type(v).__name__, v if v is None or isinstance(v, (int, str, bool)) else str(v))
 
 
+def pandas_rows(pdf):
+    """Rows of a pandas frame with columns sorted by name; NaN/NA/NaT → None,
+    numpy scalars → Python values (the kind of normalisation a hash over
+    client-side frames needs)."""
+    import pandas as pd
+    pdf = pdf[sorted(pdf.columns)]
+    out = []
+    for row in pdf.itertuples(index=False):
+        vals = []
+        for v in row:
+            if v is None or (not isinstance(v, (list, dict, bytes)) and pd.isna(v)):
+                vals.append(None)
+            elif hasattr(v, "item"):
+                vals.append(v.item())
+            elif isinstance(v, pd.Timestamp):
+                vals.append(str(v))
+            else:
+                vals.append(v)
+        out.append(tuple(str(x) if x is not None else None for x in vals))
+    return Counter(out)
+
+
+def compare_pandas(spark, con, q, sf_dir):
+    s = pandas_rows(q.build(spark, sf_dir).toPandas())
+    d = pandas_rows(con.execute(q.sql).df())
+    if s == d:
+        return "ok", ""
+    return "FAIL", f"spark-only {list((s - d).elements())[:2]} duck-only {list((d - s).elements())[:2]}"
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in RAW_TABLES:
@@ -75,17 +105,25 @@ def compare(spark, con, name, q, sf_dir, verbose=True):
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    keys = [a for a in args if not a.startswith("/")]
+    keys = [a for a in args if not a.startswith("/")]  # may include --pandas
     spark = build_session("local[8]", "oracle-check", shuffle_partitions=8)
     from quire.plans import load_all
     reg = load_all()
     con = duck(sf_dir)
     bad = 0
+    pandas_mode = "--pandas" in keys
+    keys = [k for k in keys if k != "--pandas"]
     for name, q in reg.items():
         if keys and name not in keys:
             continue
         try:
-            status, n, t, msg = compare(spark, con, name, q, sf_dir)
+            if pandas_mode:
+                if q.sql is None:
+                    continue
+                status, msg = compare_pandas(spark, con, q, sf_dir)
+                n, t = 0, 0.0
+            else:
+                status, n, t, msg = compare(spark, con, name, q, sf_dir)
         except Exception as e:  # report and continue
             status, n, t, msg = "ERROR", -1, 0.0, f"{type(e).__name__}: {str(e)[:400]}"
         bad += status in ("FAIL", "ERROR")
