@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.joins import restrict_to
 from ..functions.text import password_hash
 
 
@@ -42,8 +43,8 @@ def orders_of_customers(orders: DataFrame, requests: DataFrame) -> DataFrame:
 # B7 --------------------------------------------------------------------------
 def lookup_user_ci(users: DataFrame, logins: DataFrame) -> DataFrame:
     """UPPER(username) = UPPER(login); unmatched logins get NULL."""
-    u = users.select(F.upper("username").alias("_k"), "user_id", "username")
     req = logins.select("login", F.upper("login").alias("_k"))
+    u = restrict_to(users.select(F.upper("username").alias("_k"), "user_id", "username"), req, "_k")
     return req.join(u, "_k", "left").select("login", "user_id", "username")
 
 
@@ -52,13 +53,14 @@ def masked_profile(requests: DataFrame, users: DataFrame, roles: DataFrame,
                    customers: DataFrame) -> DataFrame:
     """Contact columns are visible to an Admin viewer or to the target
     themself, NULL otherwise."""
-    viewer = (users.select(F.col("username").alias("viewer"), "role_id")
+    r = requests.select("viewer", "target")
+    viewer = (restrict_to(users.select(F.col("username").alias("viewer"), "role_id"), r, "viewer")
               .join(roles_dim(roles), "role_id")
               .select("viewer", (F.col("role_name") == S.ROLE_ADMIN).alias("viewer_is_admin")))
-    target = (users.select(F.col("username").alias("target"), "user_id")
-              .join(customers.select("user_id", "full_name", "email", "phone", "address"),
-                    "user_id", "left"))
-    r = requests.select("viewer", "target").join(viewer, "viewer", "left").join(target, "target", "left")
+    target = restrict_to(users.select(F.col("username").alias("target"), "user_id"), r, "target")
+    target = target.join(customers.select("user_id", "full_name", "email", "phone", "address"),
+                         "user_id", "left")
+    r = r.join(viewer, "viewer", "left").join(target, "target", "left")
     allowed = F.coalesce(F.col("viewer_is_admin"), F.lit(False)) | (F.col("viewer") == F.col("target"))
     return r.select("viewer", "target", "full_name",
                     *[F.when(allowed, F.col(c)).alias(c) for c in ("email", "phone", "address")],
@@ -96,8 +98,10 @@ def resolve_role(requests: DataFrame, roles: DataFrame) -> DataFrame:
 def resolve_book(requests: DataFrame, books: DataFrame) -> DataFrame:
     """Book by isbn, else by exact title, else rejected.  Several books with
     one isbn or title resolve to the lowest book id."""
-    by_isbn = books.groupBy("isbn").agg(F.min("book_id").alias("id_by_isbn"))
-    by_title = books.groupBy("title").agg(F.min("book_id").alias("id_by_title"))
+    by_isbn = (restrict_to(books.select("isbn", "book_id"), requests, "isbn")
+               .groupBy("isbn").agg(F.min("book_id").alias("id_by_isbn")))
+    by_title = (restrict_to(books.select("title", "book_id"), requests, "title")
+                .groupBy("title").agg(F.min("book_id").alias("id_by_title")))
     r = requests.join(by_isbn, "isbn", "left").join(by_title, "title", "left")
     return r.select(
         "seq", "isbn", "title",
@@ -109,7 +113,8 @@ def resolve_book(requests: DataFrame, books: DataFrame) -> DataFrame:
 # C9 / I25 --------------------------------------------------------------------
 def match_credentials(attempts: DataFrame, users: DataFrame) -> DataFrame:
     """Login(username, hash) for a batch: user_id or NULL."""
-    u = users.select("username", "password_hash", "user_id")
+    u = restrict_to(users.select("username", "password_hash", "user_id"), attempts,
+                    ["username", "password_hash"])
     return (attempts.join(u, ["username", "password_hash"], "left")
             .select("seq", "username", "user_id"))
 
@@ -120,6 +125,7 @@ def match_login(attempts: DataFrame, users: DataFrame) -> DataFrame:
     u = (users.filter(~F.col("status").eqNullSafe(S.STATUS_BLOCKED))
          .select(F.col("username").alias("login"), "password_hash", "user_id"))
     a = attempts.select("seq", "login", password_hash(F.col("password")).alias("password_hash"))
+    u = restrict_to(u, a, ["login", "password_hash"])
     return a.join(u, ["login", "password_hash"], "left").select("seq", "login", "user_id")
 
 

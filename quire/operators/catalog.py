@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.joins import restrict_to
 from ..functions.text import contains_ci, starts_with
 
 CATALOG_COLUMNS = ["book_id", "title", "author", "price", "stock", "category"]
@@ -64,8 +65,10 @@ def key_exists(requests: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """B10 batch form: for each requested key, how many target rows carry
     it (0 = absent).  Target keys are counted first (one row per key), so the
     join never multiplies rows."""
-    counts = target.groupBy(key).agg(F.count(F.lit(1)).alias("n_matches"))
-    return (requests.select(key).distinct().join(counts, key, "left")
+    req = requests.select(key).distinct()
+    counts = (restrict_to(target.select(key), req, key)
+              .groupBy(key).agg(F.count(F.lit(1)).alias("n_matches")))
+    return (req.join(counts, key, "left")
             .select(key, F.coalesce(F.col("n_matches"), F.lit(0)).cast("long").alias("n_matches")))
 
 

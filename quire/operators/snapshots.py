@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.ids import assign_ids, max_id
+from ..functions.joins import restrict_to
 from ..functions.text import password_hash, starts_with
 from .accounts import first_by_seq, roles_dim
 from .quality import reserved_name
@@ -120,7 +121,7 @@ def add_users(users: DataFrame, roles: DataFrame, requests: DataFrame, now: Colu
     ok = resolved.filter(F.col("role_id").isNotNull())
     reserved = rejected(ok.filter(reserved_name()), "reserved username", keys)
     ok = ok.filter(~reserved_name())
-    existing_names = users.select("username")
+    existing_names = restrict_to(users.select("username"), ok, "username")
     exists = rejected(ok.join(existing_names, "username", "left_semi"), "exists", keys)
     new = ok.join(existing_names, "username", "left_anti")
     new = assign_new_ids(new, users, "user_id")
@@ -153,9 +154,10 @@ def register_clients(users: DataFrame, customers: DataFrame, roles: DataFrame,
     winners, dups = dedupe(requests, "username", keys)
     reserved = rejected(winners.filter(reserved_name()), "reserved username", keys)
     ok = winners.filter(~reserved_name())
-    exists = rejected(ok.join(users.select("username"), "username", "left_semi"), "exists", keys)
-    ok = ok.join(users.select("username"), "username", "left_anti")
-    taken = customers.filter(F.col("email").isNotNull()).select("email")
+    names = restrict_to(users.select("username"), ok, "username")
+    exists = rejected(ok.join(names, "username", "left_semi"), "exists", keys)
+    ok = ok.join(names, "username", "left_anti")
+    taken = restrict_to(customers.filter(F.col("email").isNotNull()).select("email"), ok, "email")
     email_taken = rejected(ok.join(taken, "email", "left_semi"), "email exists", keys)
     ok = ok.join(taken, "email", "left_anti")
     with_email = ok.filter(F.col("email").isNotNull())
@@ -214,7 +216,7 @@ def upsert_users(users: DataFrame, requests: DataFrame, now: Column) -> Applied:
     are inserted (through the reserved-name rule)."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    names = users.select("username")
+    names = restrict_to(users.select("username"), winners, "username")
     changes = winners.select("username", F.col("role_id").alias("_new_role_id"),
                              F.col("status").alias("_new_status"))
     updated = set_where_matched(users, changes, "username",
@@ -252,7 +254,7 @@ def product_add_validated(books: DataFrame, requests: DataFrame, now: Column) ->
          rejected(requests.filter(~no_title & bad_price), "bad price", keys),
          rejected(requests.filter(~no_title & ~bad_price & bad_stock), "bad stock", keys)]
     ok = requests.filter(~no_title & ~bad_price & ~bad_stock)
-    seen = books.filter(F.col("isbn").isNotNull()).select("isbn")
+    seen = restrict_to(books.filter(F.col("isbn").isNotNull()).select("isbn"), ok, "isbn")
     r.append(rejected(ok.join(seen, "isbn", "left_semi"), "isbn exists", keys))
     ok = ok.join(seen, "isbn", "left_anti")
     with_isbn, dups = first_by_seq(ok.filter(F.col("isbn").isNotNull()), "isbn")
@@ -270,8 +272,8 @@ def update_books(books: DataFrame, requests: DataFrame) -> Applied:
     """UpdateBook(id, price, stock): a NULL in the request overwrites."""
     keys = ["seq", "book_id"]
     winners, dups = dedupe(requests, "book_id", keys)
-    missing = rejected(winners.join(books.select("book_id"), "book_id", "left_anti"),
-                       "not found", keys)
+    missing = rejected(winners.join(restrict_to(books.select("book_id"), winners, "book_id"),
+                                    "book_id", "left_anti"), "not found", keys)
     ch = winners.select("book_id", F.col("price").cast(S.PRICE).alias("_new_price"),
                         F.col("stock").cast("long").alias("_new_stock"))
     snap = set_where_matched(books, ch, "book_id",
@@ -289,8 +291,8 @@ def product_edit(books: DataFrame, requests: DataFrame) -> Applied:
     from the (new) price and the book's discount."""
     keys = ["seq", "book_id"]
     winners, dups = dedupe(requests, "book_id", keys)
-    missing = rejected(winners.join(books.select("book_id"), "book_id", "left_anti"),
-                       "not found", keys)
+    missing = rejected(winners.join(restrict_to(books.select("book_id"), winners, "book_id"),
+                                    "book_id", "left_anti"), "not found", keys)
     ch = winners.select("book_id",
                         *[F.col(f"new_{c}").alias(f"_new_{c}")
                           for c in ("title", "author", "price", "stock", "category")])
@@ -309,8 +311,8 @@ def product_edit(books: DataFrame, requests: DataFrame) -> Applied:
 def update_order_status(orders: DataFrame, requests: DataFrame) -> Applied:
     keys = ["seq", "order_id"]
     winners, dups = dedupe(requests, "order_id", keys)
-    missing = rejected(winners.join(orders.select("order_id"), "order_id", "left_anti"),
-                       "not found", keys)
+    missing = rejected(winners.join(restrict_to(orders.select("order_id"), winners, "order_id"),
+                                    "order_id", "left_anti"), "not found", keys)
     ch = winners.select("order_id", F.col("status").alias("_new_status"))
     snap = set_where_matched(orders, ch, "order_id", {"status": F.col("_new_status")},
                              keep_null=False)
@@ -343,8 +345,7 @@ def referenced_keys(child: DataFrame, fk: str, keys: DataFrame, key: str) -> Dat
     goes on the right and AQE broadcasts it when it is small; the child is
     never shuffled just to answer "is this key used?".  Only matching keys
     come out (de-duplicated after a map-side partial aggregate)."""
-    return (child.select(F.col(fk).alias(key)).join(keys.select(key), key, "left_semi")
-            .distinct())
+    return restrict_to(child.select(F.col(fk).alias(key)), keys, key).distinct()
 
 
 def delete_by_key(current: DataFrame, key: str, requests: DataFrame,
@@ -352,9 +353,10 @@ def delete_by_key(current: DataFrame, key: str, requests: DataFrame,
     """DELETE by key; a key still referenced by a child table is refused
     (the foreign key has no cascade), an unknown key is reported."""
     keys = requests.select(key).distinct()
-    missing = rejected(keys.join(current.select(key), key, "left_anti"), "not found", [key])
+    present_keys = restrict_to(current.select(key), keys, key)
+    missing = rejected(keys.join(present_keys, key, "left_anti"), "not found", [key])
     blocked = []
-    deletable = keys.join(current.select(key), key, "left_semi")
+    deletable = keys.join(present_keys, key, "left_semi")
     for child, fk in referencing:
         refs = referenced_keys(child, fk, deletable, key)
         blocked.append(rejected(deletable.join(refs, key, "left_semi"), "referenced", [key]))
@@ -376,8 +378,7 @@ def cascade_delete(customers: DataFrame, orders: DataFrame, order_items: DataFra
     """Delete customers; ON DELETE CASCADE removes their orders and those
     orders' lines.  Each level is an anti join keyed on the previous level's
     deleted ids."""
-    gone_c = requests.select("customer_id").distinct().join(
-        customers.select("customer_id"), "customer_id", "left_semi")
+    gone_c = restrict_to(customers.select("customer_id"), requests, "customer_id").distinct()
     gone_o = orders.select("order_id", "customer_id").join(gone_c, "customer_id", "left_semi") \
         .select("order_id")
     gone_i = (order_items.join(gone_o, "order_id", "left_semi")
@@ -404,9 +405,10 @@ def product_delete(books: DataFrame, order_items: DataFrame, requests: DataFrame
     archived (title prefix, stock 0, flag 1), since the line's foreign key
     would block the delete."""
     keys = requests.select("book_id").distinct()
-    missing = rejected(keys.join(books.select("book_id"), "book_id", "left_anti"), "not found",
+    present_keys = restrict_to(books.select("book_id"), keys, "book_id")
+    missing = rejected(keys.join(present_keys, "book_id", "left_anti"), "not found",
                        ["book_id"])
-    known = keys.join(books.select("book_id"), "book_id", "left_semi")
+    known = keys.join(present_keys, "book_id", "left_semi")
     refs = referenced_keys(order_items, "book_id", known, "book_id")
     archive = known.join(refs, "book_id", "left_semi").withColumn("_archive", F.lit(True))
     remove = known.join(refs, "book_id", "left_anti")
@@ -429,7 +431,7 @@ def product_delete(books: DataFrame, order_items: DataFrame, requests: DataFrame
 def add_to_cart(books: DataFrame, requests: DataFrame) -> Applied:
     """AddToCart: the current price is captured; lines have no order yet."""
     keys = ["seq", "book_id"]
-    prices = books.select("book_id", "price")
+    prices = restrict_to(books.select("book_id", "price"), requests, "book_id")
     lines = (requests.join(prices, "book_id")
              .select("seq", "customer_id", "book_id", F.col("qty").cast("long").alias("qty"),
                      "price", F.lit(None).cast("long").alias("order_id")))
@@ -442,7 +444,7 @@ def place_orders(orders: DataFrame, customers: DataFrame, cart: DataFrame, reque
     """PlaceOrder per requested customer: one new open order each (empty
     cart → total 0), cart lines of that customer move into it."""
     keys = ["seq", "customer_id"]
-    known = customers.select("customer_id")
+    known = restrict_to(customers.select("customer_id"), requests, "customer_id")
     missing = rejected(requests.join(known, "customer_id", "left_anti"), "unknown customer", keys)
     who = (requests.join(known, "customer_id", "left_semi")
            .groupBy("customer_id").agg(F.min("seq").alias("seq")))
@@ -463,7 +465,7 @@ def order_create(orders: DataFrame, customers: DataFrame, requests: DataFrame,
                  now: Column) -> Applied:
     """An empty open order per request (unknown customers refused)."""
     keys = ["seq", "customer_id"]
-    known = customers.select("customer_id")
+    known = restrict_to(customers.select("customer_id"), requests, "customer_id")
     missing = rejected(requests.join(known, "customer_id", "left_anti"), "unknown customer", keys)
     ok = requests.join(known, "customer_id", "left_semi")
     new = assign_new_ids(ok, orders, "order_id")
@@ -474,7 +476,7 @@ def order_create(orders: DataFrame, customers: DataFrame, requests: DataFrame,
 
 
 def _guard_open(orders: DataFrame, requests: DataFrame, keys: list[str]):
-    o = orders.select("order_id", "status")
+    o = restrict_to(orders.select("order_id", "status"), requests, "order_id")
     missing = rejected(requests.join(o, "order_id", "left_anti"), "order not found", keys)
     j = requests.join(o, "order_id")
     closed = rejected(j.filter(~F.col("status").eqNullSafe(S.ORDER_NEW)), "order not open", keys)
@@ -496,7 +498,7 @@ def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
     totals of touched orders refreshed.  Paid/shipped orders are unchanged."""
     keys = ["seq", "order_id"]
     ok, rej = _guard_open(orders, requests, keys)
-    prices = books.select("book_id", "price")
+    prices = restrict_to(books.select("book_id", "price"), ok, "book_id")
     rej.append(rejected(ok.join(prices, "book_id", "left_anti"), "book not found", keys))
     new_lines = (ok.join(prices, "book_id")
                  .select("order_id", "book_id", F.col("qty").cast("long").alias("qty"), "price"))
@@ -514,7 +516,8 @@ def order_remove_items(orders: DataFrame, order_items: DataFrame, requests: Data
     req = requests.groupBy("order_id", "book_id").agg(F.sum("qty").alias("_minus"))
     ok, rej = _guard_open(orders, req, keys)
     li = order_items.select("order_id", "book_id", "qty", "price")
-    rej.append(rejected(ok.join(li, keys, "left_anti"), "line not found", keys))
+    rej.append(rejected(ok.join(restrict_to(li.select(*keys), ok, keys), keys, "left_anti"),
+                        "line not found", keys))
     j = li.join(ok, keys, "left")
     new_items = (j.select("order_id", "book_id",
                           (F.col("qty") - F.coalesce(F.col("_minus"), F.lit(0))).alias("qty"),
@@ -532,12 +535,12 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     open a new one, then add the line with the current price.  The order is
     opened before the book is looked up (an unknown book still opens it)."""
     keys = ["seq", "username"]
-    who = (users.select("user_id", "username")
+    who = (restrict_to(users.select("user_id", "username"), requests, "username")
            .join(customers.select("user_id", "customer_id"), "user_id").drop("user_id"))
     r = requests.join(who, "username", "left")
     not_customer = rejected(r.filter(F.col("customer_id").isNull()), "not a customer", keys)
     r = r.filter(F.col("customer_id").isNotNull())
-    open_o = (orders.filter(F.col("status") == S.ORDER_NEW)
+    open_o = (restrict_to(orders.filter(F.col("status") == S.ORDER_NEW), r, "customer_id")
               .groupBy("customer_id").agg(F.min("order_id").alias("open_order")))
     r = r.join(open_o, "customer_id", "left")
     needs = (r.filter(F.col("open_order").isNull()).groupBy("customer_id")
@@ -545,7 +548,7 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     opened = assign_new_ids(needs, orders, "order_id").select(
         "customer_id", F.col("order_id").alias("new_order"))
     r = r.join(opened, "customer_id", "left")
-    prices = books.select("book_id", "price")
+    prices = restrict_to(books.select("book_id", "price"), r, "book_id")
     no_book = rejected(r.join(prices, "book_id", "left_anti"), "book not found", keys)
     lines = (r.join(prices, "book_id")
              .select("seq", "username", "customer_id",
@@ -569,7 +572,8 @@ def toggle_status(users: DataFrame, audit_log: DataFrame, requests: DataFrame, n
     request, with old and new status as JSON details."""
     keys = ["seq", "user_id"]
     winners, dups = dedupe(requests, "user_id", keys)
-    cur = users.select("user_id", F.col("status").alias("old_status"))
+    cur = restrict_to(users.select("user_id", F.col("status").alias("old_status")), winners,
+                      "user_id")
     missing = rejected(winners.join(cur, "user_id", "left_anti"), "not found", keys)
     ok = winners.join(cur, "user_id")
     snap = set_where_matched(users, ok.select("user_id", F.col("new_status").alias("_new")),
@@ -588,7 +592,7 @@ def contact_update(users: DataFrame, customers: DataFrame, requests: DataFrame)
     """Profile fields by login; NULL keeps the old value."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    who = (users.select("user_id", "username")
+    who = (restrict_to(users.select("user_id", "username"), winners, "username")
            .join(customers.select("user_id", "customer_id"), "user_id"))
     missing = rejected(winners.join(who, "username", "left_anti"), "no profile", keys)
     ch = winners.join(who, "username").select(
@@ -605,14 +609,16 @@ def security_update(users: DataFrame, roles: DataFrame, requests: DataFrame) ->
     it; NULL keeps the old value."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    admins = (users.select(F.col("username").alias("viewer"), "role_id")
+    admins = (restrict_to(users.select(F.col("username").alias("viewer"), "role_id"), winners,
+                          "viewer")
               .join(roles_dim(roles), "role_id")
               .select("viewer", (F.col("role_name") == S.ROLE_ADMIN).alias("_admin")))
     r = winners.join(admins, "viewer", "left")
     allowed = F.coalesce(F.col("_admin"), F.lit(False)) | F.col("viewer").eqNullSafe(F.col("username"))
     denied = rejected(r.filter(~allowed), "not allowed", keys)
     r = r.filter(allowed)
-    missing = rejected(r.join(users.select("username"), "username", "left_anti"), "not found", keys)
+    missing = rejected(r.join(restrict_to(users.select("username"), r, "username"), "username",
+                              "left_anti"), "not found", keys)
     ch = r.select("username", F.col("new_password_hash").alias("_new_hash"),
                   F.col("new_status").alias("_new_status"))
     snap = set_where_matched(users, ch, "username",
