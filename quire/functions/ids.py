@@ -41,7 +41,9 @@ def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0) -> D
     counts = {r["pid"]: r["n"] for r in
               stable.groupBy(F.spark_partition_id().alias("pid"))
                     .agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = stable.rdd.getNumPartitions()
+    # partitions without a count have no rows, so offsets up to the last
+    # non-empty partition suffice
+    n_parts = max(counts) + 1 if counts else 0
     offsets, running = [], 0
     for p in range(n_parts):
         offsets.append(running)

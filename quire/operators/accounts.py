@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.joins import restrict_to
-from ..functions.text import password_hash
+from ..functions.text import equals_ci, password_hash
 
 
 def first_by_seq(requests: DataFrame, key: str | list[str], seq: str = "seq") -> tuple[DataFrame, DataFrame]:
@@ -134,7 +134,7 @@ def check_accounts(users: DataFrame, roles: DataFrame, username=None, status=Non
     """Optional filters: case-insensitive username equality and status."""
     cond: Column = F.lit(True)
     if username is not None:
-        cond = cond & (F.upper("username") == F.upper(F.lit(username)))
+        cond = cond & equals_ci(F.col("username"), username)
     if status is not None:
         cond = cond & (F.col("status") == status)
     return (users.filter(cond).join(roles_dim(roles), "role_id", "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a local one only when the
     session has none (tests, local runs).  On a cluster the launcher names a
     shared folder in ``spark.checkpoint.dir`` and that one is used as is."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:          # Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -61,5 +65,4 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     # checkpoint dirs get a random sub-folder per context; keep files beside it
     root = base.rstrip("/")
-    import uuid
     return f"{root}/files/{name}-{uuid.uuid4().hex[:12]}"

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.text import empty_as_null
 
 CSV_SCHEMA = T.StructType([
     T.StructField("isbn", T.StringType()), T.StructField("title", T.StringType()),
@@ -122,6 +123,7 @@ def read_books_json(spark: SparkSession, path: str, multiline: bool = False) ->
     per file); JSON Lines split freely."""
     df = (spark.read.schema(IMPORT_SCHEMA).option("multiLine", multiline)
           .option("mode", "PERMISSIVE").json(path))
+    df = _empty_text_as_null(df, ["isbn", "title", "author", "category", "attributes_json"])
     return df.select(
         "book_id", "isbn", "title", "author", "price", "stock", "category", "attributes_json",
         F.try_to_timestamp(F.col("created_at"), F.lit(S.JSON_TS_FORMAT)).cast(S.TS)
@@ -140,4 +142,11 @@ def read_books_json_raw(spark: SparkSession, path: str, arrays: bool = False) ->
         elems = spark.read.text(path).select(F.col("value").alias("raw"))
         elems = elems.filter(F.trim("raw") != "")
     parsed = F.from_json("raw", RAW_FIELDS_SCHEMA)
-    return elems.select(parsed.alias("f"), "raw").select("f.*", F.col("raw").alias("attributes_json"))
+    out = elems.select(parsed.alias("f"), "raw").select("f.*", F.col("raw").alias("attributes_json"))
+    return _empty_text_as_null(out, ["isbn", "title", "author", "category"])
+
+
+def _empty_text_as_null(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The application stores '' as NULL; apply that on ingest."""
+    return df.select(*[empty_as_null(F.col(c)).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])

@@ -58,3 +58,19 @@ def test_assign_ids_empty_and_max_id(spark):
     empty = spark.createDataFrame([], "seq long")
     assert assign_ids(empty, ["seq"], "id", base=5).count() == 0
     assert max_id(empty.withColumnRenamed("seq", "id"), "id") == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(names=st.lists(st.sampled_from(["a", "b", "hot", "z", "Я"]), min_size=0, max_size=60),
+       parts=st.integers(min_value=1, max_value=9), base=st.integers(min_value=0, max_value=10**12))
+def test_assign_ids_property(spark, names, parts, base):
+    rows = [(i, n) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "seq long, name string").repartition(parts)
+    got = sorted((r.name, r.seq, r.new_id)
+                 for r in assign_ids(df, ["name", "seq"], "new_id", base=base).collect())
+    expected = [(n, s, base + k + 1) for k, (n, s) in enumerate(sorted((n, s) for s, n in rows))]
+    assert got == expected
