@@ -334,6 +334,19 @@ def recategorise(books: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return books.withColumn("category", expr.otherwise(F.col("category")))
 
 
+def recategorise_by_table(books: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The same for a mapping table (old_category, new_category): one left
+    join on category.  No broadcast hint: the mapping's size is not known
+    in advance, so AQE broadcasts it only when its measured size is small.
+    Several rows for one old category are not allowed (the first new name
+    by value is used, so the result never multiplies books)."""
+    m = (mapping.groupBy("old_category").agg(F.min("new_category").alias("_new"))
+         .withColumnRenamed("old_category", "category"))
+    j = books.join(m, "category", "left")
+    return j.select(*[F.coalesce(F.col("_new"), F.col("category")).alias("category")
+                      if c == "category" else F.col(c) for c in books.columns])
+
+
 # ---------------------------------------------------------------------------
 # deletes
 # ---------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from ..functions.combine import count_of, one_row
 from ..session import scratch_dir
 from ..sources import files as io
 from ..sources import generate as gen
+from ..sources import snapshot_store as store
 from ..sources.adapter import Domain
 from . import register
 
@@ -84,12 +85,19 @@ SELECT count(*) AS n_before, count(*) AS n_after, CAST(0 AS BIGINT) AS n_missing
 FROM v_books
 """)
 def reload_reconcile(d: Domain):
-    """Export, reload into an emptied table, and reconcile counts
-    and rows both ways."""
-    before = d.books.select(*COMPARE_COLS)
-    emptied = d.spark.createDataFrame([], before.schema)          # F10: truncate
-    loaded = io.read_books_json(d.spark, _export(d, as_array=True), multiline=True)
-    after = emptied.unionByName(loaded.select(*COMPARE_COLS))
+    """Publish the catalogue, export it, publish an emptied
+    version, load the export into a new version and reconcile counts and
+    rows both ways."""
+    spark = d.spark
+    root = scratch_dir(spark, "books-table")
+    store.publish(d.books.select(*COMPARE_COLS), root, 1)            # current snapshot
+    exported = _export(d, as_array=True)
+    emptied = store.truncate(store.read_version(spark, root, 1))   # F10: DELETE FROM books
+    store.publish(emptied, root, 2)
+    loaded = io.read_books_json(spark, exported, multiline=True).select(*COMPARE_COLS)
+    store.publish(store.read_version(spark, root, 2).unionByName(loaded), root, 3)
+    before = store.read_version(spark, root, 1)
+    after = store.read_version(spark, root, 3)
     return one_row({"n_before": count_of(before, "n_before"),
                     "n_after": count_of(after, "n_after"),
                     "n_missing": count_of(before.exceptAll(after), "n_missing"),

@@ -243,3 +243,23 @@ def test_snapshot_changes(spark, books):
     got = {r.book_id: (r.change, r.changed_columns)
            for r in snapshot_changes(books, after, "book_id").collect()}
     assert got == {1: ("UPDATE", "price"), 2: ("DELETE", None), 9: ("INSERT", None)}
+
+
+def test_recategorise_literal_and_table_agree(spark, books):
+    mapping = spark.createDataFrame([("C", "Учебная литература")], "old_category string, new_category string")
+    a = {r.book_id: r.category for r in ops.recategorise(books, {"C": "Учебная литература"}).collect()}
+    b = {r.book_id: r.category for r in ops.recategorise_by_table(books, mapping).collect()}
+    assert a == b and set(a.values()) == {"Учебная литература"}
+
+
+def test_publish_versions_and_truncate(spark, books):
+    from quire.session import scratch_dir
+    from quire.sources import snapshot_store as store
+    root = scratch_dir(spark, "store")
+    p1 = store.publish(books, root, 1)
+    p2 = store.publish(store.truncate(books), root, 2)
+    assert store.read_version(spark, root, 1).count() == 4
+    assert store.read_version(spark, root, 2).count() == 0
+    assert p1 != p2
+    with pytest.raises(Exception):
+        store.publish(books, root, 1)              # never overwrite a published version
