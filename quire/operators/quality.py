@@ -91,6 +91,19 @@ def constraint_violations(table: str, df: DataFrame, key: str) -> DataFrame:
             .select(F.lit(table).alias("table_name"), "key", F.explode("_rules").alias("rule")))
 
 
+def split_by_rules(table: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows breaking no rule, and rows breaking at least one (with the
+    array of broken rule names in ``broken_rules``) — one pass, no join."""
+    rules = rule_checks(table, df.columns)
+    if not rules:
+        return df, df.limit(0).withColumn("broken_rules", F.array().cast("array<string>"))
+    broken = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]),
+                      lambda x: x.isNotNull())
+    tagged = df.withColumn("broken_rules", broken)
+    return (tagged.filter(F.size("broken_rules") == 0).drop("broken_rules"),
+            tagged.filter(F.size("broken_rules") > 0))
+
+
 # G3 --------------------------------------------------------------------------
 def duplicate_keys(table: str, df: DataFrame, key: str) -> DataFrame:
     """Non-NULL key values that occur more than once (NULLs may repeat)."""

@@ -150,3 +150,18 @@ def _empty_text_as_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """The application stores '' as NULL; apply that on ingest."""
     return df.select(*[empty_as_null(F.col(c)).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
+
+
+def import_books_checked(spark: SparkSession, json_path: str, table_root: str, version: int,
+                         multiline: bool = True) -> tuple[str, DataFrame]:
+    """The reload job end to end: read the export with its schema, split rows
+    by the catalogue's constraint rules (lengths, JSON validity), publish the
+    valid rows as a new version of the table (the previous version is left
+    as it was: a reload replaces, it never appends into a live path) and
+    return the new path with the rejected rows."""
+    from ..operators.quality import split_by_rules
+    from .snapshot_store import publish
+
+    books = read_books_json(spark, json_path, multiline=multiline)
+    valid, rejects = split_by_rules("books", books)
+    return publish(valid, table_root, version), rejects

@@ -88,3 +88,19 @@ def test_truncate_then_reload_counts(spark):
     path = scratch_dir(spark, f"reload-{uuid.uuid4().hex[:6]}")
     io.export_books_json(books, path, as_array=True)
     assert io.read_books_json(spark, path, multiline=True).count() == 5
+
+
+def test_checked_import_publishes_valid_rows_and_returns_rejects(spark, fresh):
+    from quire.sources import snapshot_store as store
+    d = fresh("json-checked")
+    long_title = "x" * 401
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('[\n{"book_id": 1, "title": "ok", "attributes_json": {"pages": 3}}\n,\n'
+                f'{{"book_id": 2, "title": "{long_title}"}}\n,\n'
+                '{"book_id": 3, "title": "bad json", "attributes_json": "{\\"pages\\": 3"}\n]\n')
+    root = scratch_dir(spark, "books-root")
+    path, rejects = io.import_books_checked(spark, d, root, version=7)
+    assert path.endswith("version=7")
+    assert [r.book_id for r in store.read_version(spark, root, 7).collect()] == [1]
+    got = {r.book_id: list(r.broken_rules) for r in rejects.collect()}
+    assert got == {2: ["title_too_long"], 3: ["attributes_json_not_json"]}
