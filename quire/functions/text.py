@@ -46,3 +46,10 @@ def password_hash(plain: Column) -> Column:
 
 def starts_with(col: Column, prefix: str) -> Column:
     return F.startswith(col, F.lit(prefix))
+
+
+def is_open_order(status: Column) -> Column:
+    """Open order / cart: the canonical status or its legacy spelling
+    (never NULL: a NULL status is not open)."""
+    from ..schemas import ORDER_NEW, ORDER_NEW_LEGACY
+    return F.coalesce(status.isin(ORDER_NEW, ORDER_NEW_LEGACY), F.lit(False))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.joins import restrict_to
-from ..functions.text import equals_ci, password_hash
+from ..functions.text import equals_ci, is_open_order, password_hash
 
 
 def first_by_seq(requests: DataFrame, key: str | list[str], seq: str = "seq") -> tuple[DataFrame, DataFrame]:
@@ -75,7 +75,7 @@ def user_customer(users: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def open_carts_by_login(users: DataFrame, customers: DataFrame, orders: DataFrame) -> DataFrame:
-    return (orders.filter(F.col("status") == S.ORDER_NEW).select("order_id", "customer_id")
+    return (orders.filter(is_open_order(F.col("status"))).select("order_id", "customer_id")
             .join(customers.select("customer_id", "user_id"), "customer_id")
             .join(users.select("user_id", "username"), "user_id")
             .select("username", "customer_id", "order_id"))

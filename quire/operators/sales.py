@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.combine import count_of, one_row
+from ..functions.text import is_open_order
 
 
 def money(c: Column) -> Column:
@@ -136,7 +137,7 @@ def order_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 def first_open_order(orders: DataFrame) -> DataFrame:
     """The open order of each customer; of several, the lowest id (the
     application takes "the first" without an order)."""
-    return (orders.filter(F.col("status") == S.ORDER_NEW)
+    return (orders.filter(is_open_order(F.col("status")))
             .groupBy("customer_id").agg(F.min("order_id").alias("order_id")))
 
 

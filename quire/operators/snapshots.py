@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.ids import assign_ids, max_id
 from ..functions.joins import restrict_to
-from ..functions.text import password_hash, starts_with
+from ..functions.text import is_open_order, password_hash, starts_with
 from .accounts import first_by_seq, roles_dim
 from .quality import reserved_name
 
@@ -492,8 +492,9 @@ def _guard_open(orders: DataFrame, requests: DataFrame, keys: list[str]):
     o = restrict_to(orders.select("order_id", "status"), requests, "order_id")
     missing = rejected(requests.join(o, "order_id", "left_anti"), "order not found", keys)
     j = requests.join(o, "order_id")
-    closed = rejected(j.filter(~F.col("status").eqNullSafe(S.ORDER_NEW)), "order not open", keys)
-    return j.filter(F.col("status").eqNullSafe(S.ORDER_NEW)).drop("status"), [missing, closed]
+    open_ = is_open_order(F.col("status"))
+    closed = rejected(j.filter(~open_), "order not open", keys)
+    return j.filter(open_).drop("status"), [missing, closed]
 
 
 def refresh_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame) -> DataFrame:
@@ -553,7 +554,7 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     r = requests.join(who, "username", "left")
     not_customer = rejected(r.filter(F.col("customer_id").isNull()), "not a customer", keys)
     r = r.filter(F.col("customer_id").isNotNull())
-    open_o = (restrict_to(orders.filter(F.col("status") == S.ORDER_NEW), r, "customer_id")
+    open_o = (restrict_to(orders.filter(is_open_order(F.col("status"))), r, "customer_id")
               .groupBy("customer_id").agg(F.min("order_id").alias("open_order")))
     r = r.join(open_o, "customer_id", "left")
     needs = (r.filter(F.col("open_order").isNull()).groupBy("customer_id")

@@ -263,3 +263,16 @@ def test_publish_versions_and_truncate(spark, books):
     assert p1 != p2
     with pytest.raises(Exception):
         store.publish(books, root, 1)              # never overwrite a published version
+
+
+def test_legacy_new_status_counts_as_open(spark, books, items):
+    from quire.operators.sales import first_open_order
+    orders = spark.createDataFrame(
+        [(200, 10, None, S.ORDER_NEW_LEGACY, D("0.00")), (201, 10, None, None, D("0.00"))],
+        S.ORDERS_SCHEMA)
+    assert [r.order_id for r in first_open_order(orders).collect()] == [200]
+    req = spark.createDataFrame([(1, 200, 1, 1), (2, 201, 1, 1)],
+                                "seq long, order_id long, book_id long, qty long")
+    res = ops.order_add_items(orders, books, items, req)
+    assert [r.order_id for r in res.snapshot.collect()] == [200]
+    assert {r.seq: r.reason for r in res.rejects.collect()} == {2: "order not open"}
