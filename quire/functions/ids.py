@@ -10,7 +10,8 @@ into one task:
 2. the sorted rows are checkpointed, so the counting pass and the numbering
    pass see the same partitions even if executors are lost and tasks re-run;
 3. one count per partition is collected (bounded by the partition count) and
-   turned into prefix offsets on the driver;
+   turned into prefix offsets on the driver, which go back as a broadcast
+   table of one row per partition;
 4. each row's id = base + offset(partition) + position inside the partition,
    where the position comes from ``monotonically_increasing_id`` (partition
    index in the upper bits, row position in the lower 33 bits).
@@ -51,9 +52,12 @@ def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0) -> D
     if not offsets:
         offsets = [0]
 
-    mid = F.monotonically_increasing_id()
-    pid = F.shiftright(mid, _POS_BITS)
-    pos = mid - F.shiftleft(pid, _POS_BITS)
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), (pid + 1).cast("int"))
-    new_id: Column = (F.lit(base) + offset + pos + F.lit(1)).cast("long")
-    return stable.withColumn(id_col, new_id)
+    # one row per partition: a size bound by construction, so broadcast it
+    # (a literal array in the projection would ship with every task)
+    off = spark.createDataFrame([(p, o) for p, o in enumerate(offsets)], "_pid int, _off long")
+    tagged = stable.withColumn("_mid", F.monotonically_increasing_id())
+    tagged = tagged.withColumn("_pid", F.shiftright("_mid", _POS_BITS).cast("int"))
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS)
+    new_id: Column = (F.lit(base) + F.col("_off") + pos + F.lit(1)).cast("long")
+    return (tagged.join(F.broadcast(off), "_pid")
+            .withColumn(id_col, new_id).drop("_mid", "_pid", "_off"))
