@@ -72,6 +72,31 @@ def dedupe(requests: DataFrame, key, key_cols: list[str]):
     return winners, rejected(losers, "duplicate request", key_cols)
 
 
+def flag_present(df: DataFrame, lookup: DataFrame, on, flag: str,
+                 keys_from: DataFrame) -> DataFrame:
+    """Add a boolean ``flag``: does ``lookup`` hold the row's key?
+
+    The lookup is first restricted to the keys of ``keys_from`` (the
+    original request table), so the large table is streamed against a
+    broadcastable key set, and chaining several flags keeps the plan linear
+    (each check reads the base requests once instead of the previous
+    check's output)."""
+    cols = [on] if isinstance(on, str) else list(on)
+    hits = (restrict_to(lookup.select(*cols), keys_from, cols).distinct()
+            .withColumn(flag, F.lit(True)))
+    return (df.join(hits, cols, "left")
+              .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+
+
+def split_by_reason(df: DataFrame, reason: Column, key_cols: list[str]):
+    """``reason`` is NULL for accepted rows: (accepted rows, rejects)."""
+    tagged = df.withColumn("_reason", reason)
+    ok = tagged.filter(F.col("_reason").isNull()).drop("_reason")
+    rej = tagged.filter(F.col("_reason").isNotNull()).select(
+        *[F.col(c) for c in key_cols], F.col("_reason").alias("reason"))
+    return ok, rej
+
+
 def set_where_matched(current: DataFrame, changes: DataFrame, key: str,
                       new_values: dict[str, Column], keep_null: bool) -> DataFrame:
     """UPDATE current SET col = new WHERE key matches.
@@ -112,22 +137,20 @@ def assign_new_ids(new_rows: DataFrame, current: DataFrame, id_col: str,
 # Users and roles, insert if absent
 # ---------------------------------------------------------------------------
 def add_users(users: DataFrame, roles: DataFrame, requests: DataFrame, now: Column) -> Applied:
-    """AddUser for a batch: role must resolve, the reserved name is refused,
-    existing usernames are skipped."""
+    """AddUser for a batch: the role must resolve, the reserved name is
+    refused, existing usernames are skipped (in that order of reasons)."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    resolved = winners.join(roles_dim(roles), "role_name", "left")
-    unknown_role = rejected(resolved.filter(F.col("role_id").isNull()), "unknown role", keys)
-    ok = resolved.filter(F.col("role_id").isNotNull())
-    reserved = rejected(ok.filter(reserved_name()), "reserved username", keys)
-    ok = ok.filter(~reserved_name())
-    existing_names = restrict_to(users.select("username"), ok, "username")
-    exists = rejected(ok.join(existing_names, "username", "left_semi"), "exists", keys)
-    new = ok.join(existing_names, "username", "left_anti")
-    new = assign_new_ids(new, users, "user_id")
+    w = winners.join(roles_dim(roles), "role_name", "left")
+    w = flag_present(w, users, "username", "_exists", keys_from=requests)
+    reason = (F.when(F.col("role_id").isNull(), F.lit("unknown role"))
+              .when(reserved_name(), F.lit("reserved username"))
+              .when(F.col("_exists"), F.lit("exists")))
+    ok, rej = split_by_reason(w, reason, keys)
+    new = assign_new_ids(ok, users, "user_id")
     added = conform(apply_defaults(new.select("user_id", "username", "password_hash", "role_id"),
                                    "users", now), S.USERS_SCHEMA)
-    return Applied(users.unionByName(added), union_all([dups, unknown_role, reserved, exists]), added)
+    return Applied(users.unionByName(added), union_all([dups, rej]), added)
 
 
 def add_roles(roles: DataFrame, requests: DataFrame) -> Applied:
@@ -135,11 +158,11 @@ def add_roles(roles: DataFrame, requests: DataFrame) -> Applied:
     keys = ["seq", "role_name"]
     null_name = rejected(requests.filter(F.col("role_name").isNull()), "role_name null", keys)
     winners, dups = dedupe(requests.filter(F.col("role_name").isNotNull()), "role_name", keys)
-    names = roles.select("role_name")
-    exists = rejected(winners.join(names, "role_name", "left_semi"), "exists", keys)
-    new = assign_new_ids(winners.join(names, "role_name", "left_anti"), roles, "role_id")
+    w = flag_present(winners, roles, "role_name", "_exists", keys_from=requests)
+    ok, rej = split_by_reason(w, F.when(F.col("_exists"), F.lit("exists")), keys)
+    new = assign_new_ids(ok, roles, "role_id")
     added = new.select(F.col("role_id").cast("long"), "role_name")
-    return Applied(roles.unionByName(added), union_all([null_name, dups, exists]), added)
+    return Applied(roles.unionByName(added), union_all([null_name, dups, rej]), added)
 
 
 # ---------------------------------------------------------------------------
@@ -148,41 +171,39 @@ def add_roles(roles: DataFrame, requests: DataFrame) -> Applied:
 def register_clients(users: DataFrame, customers: DataFrame, roles: DataFrame,
                      requests: DataFrame, now: Column) -> Applied:
     """Register(username, hash, full_name, email) for a batch.  Creates a
-    user with the Customer role and a profile.  Taken usernames and emails
-    are refused (email is UNIQUE on profiles)."""
+    user with the Customer role and a profile.  Refused, in this order: the
+    reserved name, a taken username, a taken email (email is UNIQUE on
+    profiles), a missing Customer role; of several new requests with one
+    email only the first is kept."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    reserved = rejected(winners.filter(reserved_name()), "reserved username", keys)
-    ok = winners.filter(~reserved_name())
-    names = restrict_to(users.select("username"), ok, "username")
-    exists = rejected(ok.join(names, "username", "left_semi"), "exists", keys)
-    ok = ok.join(names, "username", "left_anti")
-    taken = restrict_to(customers.filter(F.col("email").isNotNull()).select("email"), ok, "email")
-    email_taken = rejected(ok.join(taken, "email", "left_semi"), "email exists", keys)
-    ok = ok.join(taken, "email", "left_anti")
-    with_email = ok.filter(F.col("email").isNotNull())
-    email_first, email_dups = first_by_seq(with_email, "email")
-    email_dup = rejected(email_dups, "email exists", keys)
-    ok = email_first.unionByName(ok.filter(F.col("email").isNull()))
+    w = flag_present(winners, users, "username", "_exists", keys_from=requests)
+    w = flag_present(w, customers.filter(F.col("email").isNotNull()), "email", "_email_taken",
+                     keys_from=requests)
     # every registration asks for the Customer role (an equi-join on the
     # constant name against the broadcast role table)
-    ok = (ok.drop("role_id").withColumn("role_name", F.lit(S.ROLE_CUSTOMER))
-          .join(roles_dim(roles), "role_name", "left"))
-    no_role = rejected(ok.filter(F.col("role_id").isNull()), "role missing", keys)
-    ok = ok.filter(F.col("role_id").isNotNull()).drop("role_name")
+    w = (w.drop("role_id", "role_name").withColumn("role_name", F.lit(S.ROLE_CUSTOMER))
+         .join(roles_dim(roles), "role_name", "left").drop("role_name"))
+    reason = (F.when(reserved_name(), F.lit("reserved username"))
+              .when(F.col("_exists"), F.lit("exists"))
+              .when(F.col("_email_taken"), F.lit("email exists"))
+              .when(F.col("role_id").isNull(), F.lit("role missing")))
+    ok, rej = split_by_reason(w, reason, keys)
+    email_first, email_dups = first_by_seq(ok.filter(F.col("email").isNotNull()), "email")
+    ok = email_first.unionByName(ok.filter(F.col("email").isNull()))
     ranked = assign_ids(ok, ["seq"], "_rank", base=0)
     base_u, base_c = max_id(users, "user_id"), max_id(customers, "customer_id")
     ranked = (ranked.withColumn("user_id", F.col("_rank") + F.lit(base_u))
                     .withColumn("customer_id", F.col("_rank") + F.lit(base_c)))
     new_users = conform(apply_defaults(ranked.select("user_id", "username", "password_hash",
                                                      "role_id"), "users", now), S.USERS_SCHEMA)
-    cols = ["customer_id", "user_id", "full_name", "email"] + (
-        ["phone"] if "phone" in ranked.columns else [])
-    new_customers = conform(apply_defaults(ranked.select(*cols), "customers", now),
-                            S.CUSTOMERS_SCHEMA)
+    phone = ["phone"] if "phone" in ranked.columns else []
+    new_customers = conform(apply_defaults(
+        ranked.select("customer_id", "user_id", "full_name", "email", *phone), "customers", now),
+        S.CUSTOMERS_SCHEMA)
     added = ranked.select("user_id", "customer_id", "username", "role_id", "full_name", "email",
-                          *(["phone"] if "phone" in ranked.columns else []))
-    rejects = union_all([dups, reserved, exists, email_taken, email_dup, no_role])
+                          *phone)
+    rejects = union_all([dups, rej, rejected(email_dups, "email exists", keys)])
     result = Applied(users.unionByName(new_users), rejects, added)
     result.customers = customers.unionByName(new_customers)  # second output table
     return result
@@ -216,19 +237,19 @@ def upsert_users(users: DataFrame, requests: DataFrame, now: Column) -> Applied:
     are inserted (through the reserved-name rule)."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    names = restrict_to(users.select("username"), winners, "username")
-    changes = winners.select("username", F.col("role_id").alias("_new_role_id"),
-                             F.col("status").alias("_new_status"))
+    w = flag_present(winners, users, "username", "_exists", keys_from=requests)
+    changes = w.filter(F.col("_exists")).select(
+        "username", F.col("role_id").alias("_new_role_id"), F.col("status").alias("_new_status"))
     updated = set_where_matched(users, changes, "username",
                                 {"role_id": F.col("_new_role_id"), "status": F.col("_new_status")},
                                 keep_null=False)
-    inserts = winners.join(names, "username", "left_anti")
-    reserved = rejected(inserts.filter(reserved_name()), "reserved username", keys)
-    inserts = assign_new_ids(inserts.filter(~reserved_name()), users, "user_id")
+    inserts, rej = split_by_reason(w.filter(~F.col("_exists")),
+                                   F.when(reserved_name(), F.lit("reserved username")), keys)
+    inserts = assign_new_ids(inserts, users, "user_id")
     added = conform(apply_defaults(inserts.select("user_id", "username", "password_hash",
                                                   "role_id", "status"), "users", now),
                     S.USERS_SCHEMA)
-    return Applied(updated.unionByName(added), union_all([dups, reserved]), added)
+    return Applied(updated.unionByName(added), union_all([dups, rej]), added)
 
 
 # ---------------------------------------------------------------------------
@@ -247,21 +268,17 @@ def product_add_validated(books: DataFrame, requests: DataFrame, now: Column) ->
     """Title present, price > 0, stock >= 0, isbn not in the catalogue and
     not earlier in the batch; the rest is added like F4."""
     keys = ["seq", "isbn"]
-    no_title = F.col("title").isNull() | (F.trim(F.col("title")) == "")
-    bad_price = ~F.coalesce(F.col("price") > 0, F.lit(False))
-    bad_stock = ~F.coalesce(F.col("stock") >= 0, F.lit(False))
-    r = [rejected(requests.filter(no_title), "title missing", keys),
-         rejected(requests.filter(~no_title & bad_price), "bad price", keys),
-         rejected(requests.filter(~no_title & ~bad_price & bad_stock), "bad stock", keys)]
-    ok = requests.filter(~no_title & ~bad_price & ~bad_stock)
-    seen = restrict_to(books.filter(F.col("isbn").isNotNull()).select("isbn"), ok, "isbn")
-    r.append(rejected(ok.join(seen, "isbn", "left_semi"), "isbn exists", keys))
-    ok = ok.join(seen, "isbn", "left_anti")
+    w = flag_present(requests, books.filter(F.col("isbn").isNotNull()), "isbn", "_seen",
+                     keys_from=requests)
+    reason = (F.when(F.col("title").isNull() | (F.trim(F.col("title")) == ""), F.lit("title missing"))
+              .when(~F.coalesce(F.col("price") > 0, F.lit(False)), F.lit("bad price"))
+              .when(~F.coalesce(F.col("stock") >= 0, F.lit(False)), F.lit("bad stock"))
+              .when(F.col("_seen"), F.lit("isbn exists")))
+    ok, rej = split_by_reason(w, reason, keys)
     with_isbn, dups = first_by_seq(ok.filter(F.col("isbn").isNotNull()), "isbn")
-    r.append(rejected(dups, "isbn exists", keys))
-    ok = with_isbn.unionByName(ok.filter(F.col("isbn").isNull()))
+    ok = with_isbn.unionByName(ok.filter(F.col("isbn").isNull())).drop("_seen")
     res = add_books(books, ok, now)
-    res.rejects = union_all(r)
+    res.rejects = union_all([rej, rejected(dups, "isbn exists", keys)])
     return res
 
 
@@ -272,7 +289,7 @@ def update_books(books: DataFrame, requests: DataFrame) -> Applied:
     """UpdateBook(id, price, stock): a NULL in the request overwrites."""
     keys = ["seq", "book_id"]
     winners, dups = dedupe(requests, "book_id", keys)
-    missing = rejected(winners.join(restrict_to(books.select("book_id"), winners, "book_id"),
+    missing = rejected(winners.join(restrict_to(books.select("book_id"), requests, "book_id"),
                                     "book_id", "left_anti"), "not found", keys)
     ch = winners.select("book_id", F.col("price").cast(S.PRICE).alias("_new_price"),
                         F.col("stock").cast("long").alias("_new_stock"))
@@ -291,7 +308,7 @@ def product_edit(books: DataFrame, requests: DataFrame) -> Applied:
     from the (new) price and the book's discount."""
     keys = ["seq", "book_id"]
     winners, dups = dedupe(requests, "book_id", keys)
-    missing = rejected(winners.join(restrict_to(books.select("book_id"), winners, "book_id"),
+    missing = rejected(winners.join(restrict_to(books.select("book_id"), requests, "book_id"),
                                     "book_id", "left_anti"), "not found", keys)
     ch = winners.select("book_id",
                         *[F.col(f"new_{c}").alias(f"_new_{c}")
@@ -311,7 +328,7 @@ def product_edit(books: DataFrame, requests: DataFrame) -> Applied:
 def update_order_status(orders: DataFrame, requests: DataFrame) -> Applied:
     keys = ["seq", "order_id"]
     winners, dups = dedupe(requests, "order_id", keys)
-    missing = rejected(winners.join(restrict_to(orders.select("order_id"), winners, "order_id"),
+    missing = rejected(winners.join(restrict_to(orders.select("order_id"), requests, "order_id"),
                                     "order_id", "left_anti"), "not found", keys)
     ch = winners.select("order_id", F.col("status").alias("_new_status"))
     snap = set_where_matched(orders, ch, "order_id", {"status": F.col("_new_status")},
@@ -350,32 +367,20 @@ def recategorise_by_table(books: DataFrame, mapping: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # deletes
 # ---------------------------------------------------------------------------
-def referenced_keys(child: DataFrame, fk: str, keys: DataFrame, key: str) -> DataFrame:
-    """The requested keys that a (large) child table references.
-
-    The child is streamed against the request keys (child ⋉ keys): for a
-    semi join Spark can only broadcast the right side, so the small key set
-    goes on the right and AQE broadcasts it when it is small; the child is
-    never shuffled just to answer "is this key used?".  Only matching keys
-    come out (de-duplicated after a map-side partial aggregate)."""
-    return restrict_to(child.select(F.col(fk).alias(key)), keys, key).distinct()
-
-
 def delete_by_key(current: DataFrame, key: str, requests: DataFrame,
                   referencing: list[tuple[DataFrame, str]]) -> Applied:
     """DELETE by key; a key still referenced by a child table is refused
-    (the foreign key has no cascade), an unknown key is reported."""
+    (the foreign key has no cascade), an unknown key is reported.  Each
+    check streams its table against the requested keys (flag_present)."""
     keys = requests.select(key).distinct()
-    present_keys = restrict_to(current.select(key), keys, key)
-    missing = rejected(keys.join(present_keys, key, "left_anti"), "not found", [key])
-    blocked = []
-    deletable = keys.join(present_keys, key, "left_semi")
-    for child, fk in referencing:
-        refs = referenced_keys(child, fk, deletable, key)
-        blocked.append(rejected(deletable.join(refs, key, "left_semi"), "referenced", [key]))
-        deletable = deletable.join(refs, key, "left_anti")
-    snap = current.join(deletable, key, "left_anti")
-    return Applied(snap, union_all([missing] + blocked), deletable)
+    w = flag_present(keys, current, key, "_present", keys_from=keys)
+    reason = F.when(~F.col("_present"), F.lit("not found"))
+    for i, (child, fk) in enumerate(referencing):
+        w = flag_present(w, child.select(F.col(fk).alias(key)), key, f"_ref{i}", keys_from=keys)
+        reason = reason.when(F.col(f"_ref{i}"), F.lit("referenced"))
+    deletable, rej = split_by_reason(w, reason, [key])
+    deletable = deletable.select(key)
+    return Applied(current.join(deletable, key, "left_anti"), rej, deletable)
 
 
 @dataclass
@@ -418,13 +423,12 @@ def product_delete(books: DataFrame, order_items: DataFrame, requests: DataFrame
     archived (title prefix, stock 0, flag 1), since the line's foreign key
     would block the delete."""
     keys = requests.select("book_id").distinct()
-    present_keys = restrict_to(books.select("book_id"), keys, "book_id")
-    missing = rejected(keys.join(present_keys, "book_id", "left_anti"), "not found",
-                       ["book_id"])
-    known = keys.join(present_keys, "book_id", "left_semi")
-    refs = referenced_keys(order_items, "book_id", known, "book_id")
-    archive = known.join(refs, "book_id", "left_semi").withColumn("_archive", F.lit(True))
-    remove = known.join(refs, "book_id", "left_anti")
+    w = flag_present(keys, books, "book_id", "_present", keys_from=keys)
+    w = flag_present(w, order_items, "book_id", "_sold", keys_from=keys)
+    missing = rejected(w.filter(~F.col("_present")), "not found", ["book_id"])
+    archive = (w.filter(F.col("_present") & F.col("_sold"))
+               .select("book_id", F.lit(True).alias("_archive")))
+    remove = w.filter(F.col("_present") & ~F.col("_sold")).select("book_id")
     kept = books.join(remove, "book_id", "left_anti").join(archive, "book_id", "left")
     hit = F.coalesce(F.col("_archive"), F.lit(False))
     title = F.when(hit & ~F.coalesce(starts_with(F.col("title"), S.ARCHIVE_PREFIX), F.lit(False)),
@@ -489,12 +493,15 @@ def order_create(orders: DataFrame, customers: DataFrame, requests: DataFrame,
 
 
 def _guard_open(orders: DataFrame, requests: DataFrame, keys: list[str]):
-    o = restrict_to(orders.select("order_id", "status"), requests, "order_id")
-    missing = rejected(requests.join(o, "order_id", "left_anti"), "order not found", keys)
-    j = requests.join(o, "order_id")
-    open_ = is_open_order(F.col("status"))
-    closed = rejected(j.filter(~open_), "order not open", keys)
-    return j.filter(open_).drop("status"), [missing, closed]
+    """Requests on unknown or closed orders are refused (paid and shipped
+    orders never change)."""
+    o = (restrict_to(orders.select("order_id", "status"), requests, "order_id")
+         .withColumn("_found", F.lit(True)))
+    j = requests.join(o, "order_id", "left")
+    reason = (F.when(F.col("_found").isNull(), F.lit("order not found"))
+              .when(~is_open_order(F.col("status")), F.lit("order not open")))
+    ok, rej = split_by_reason(j, reason, keys)
+    return ok.drop("status", "_found"), [rej]
 
 
 def refresh_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame) -> DataFrame:
@@ -512,13 +519,15 @@ def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
     totals of touched orders refreshed.  Paid/shipped orders are unchanged."""
     keys = ["seq", "order_id"]
     ok, rej = _guard_open(orders, requests, keys)
-    prices = restrict_to(books.select("book_id", "price"), ok, "book_id")
-    rej.append(rejected(ok.join(prices, "book_id", "left_anti"), "book not found", keys))
-    new_lines = (ok.join(prices, "book_id")
-                 .select("order_id", "book_id", F.col("qty").cast("long").alias("qty"), "price"))
+    prices = (restrict_to(books.select("book_id", "price"), requests, "book_id")
+              .withColumn("_book", F.lit(True)))
+    j = ok.join(prices, "book_id", "left")
+    found, no_book = split_by_reason(j, F.when(F.col("_book").isNull(), F.lit("book not found")),
+                                     keys)
+    new_lines = found.select("order_id", "book_id", F.col("qty").cast("long").alias("qty"), "price")
     items = order_items.select("order_id", "book_id", "qty", "price").unionByName(new_lines)
     touched = refresh_totals(orders, items, new_lines)
-    res = Applied(touched, union_all(rej), new_lines)
+    res = Applied(touched, union_all(rej + [no_book]), new_lines)
     res.order_items = items
     return res
 
@@ -530,8 +539,8 @@ def order_remove_items(orders: DataFrame, order_items: DataFrame, requests: Data
     req = requests.groupBy("order_id", "book_id").agg(F.sum("qty").alias("_minus"))
     ok, rej = _guard_open(orders, req, keys)
     li = order_items.select("order_id", "book_id", "qty", "price")
-    rej.append(rejected(ok.join(restrict_to(li.select(*keys), ok, keys), keys, "left_anti"),
-                        "line not found", keys))
+    w = flag_present(ok, li, keys, "_line", keys_from=req)
+    rej.append(rejected(w.filter(~F.col("_line")), "line not found", keys))
     j = li.join(ok, keys, "left")
     new_items = (j.select("order_id", "book_id",
                           (F.col("qty") - F.coalesce(F.col("_minus"), F.lit(0))).alias("qty"),
@@ -554,7 +563,8 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     r = requests.join(who, "username", "left")
     not_customer = rejected(r.filter(F.col("customer_id").isNull()), "not a customer", keys)
     r = r.filter(F.col("customer_id").isNotNull())
-    open_o = (restrict_to(orders.filter(is_open_order(F.col("status"))), r, "customer_id")
+    open_o = (restrict_to(orders.filter(is_open_order(F.col("status")))
+                          .select("order_id", "customer_id"), who, "customer_id")
               .groupBy("customer_id").agg(F.min("order_id").alias("open_order")))
     r = r.join(open_o, "customer_id", "left")
     needs = (r.filter(F.col("open_order").isNull()).groupBy("customer_id")
@@ -562,13 +572,14 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     opened = assign_new_ids(needs, orders, "order_id").select(
         "customer_id", F.col("order_id").alias("new_order"))
     r = r.join(opened, "customer_id", "left")
-    prices = restrict_to(books.select("book_id", "price"), r, "book_id")
-    no_book = rejected(r.join(prices, "book_id", "left_anti"), "book not found", keys)
-    lines = (r.join(prices, "book_id")
-             .select("seq", "username", "customer_id",
-                     F.coalesce("open_order", "new_order").alias("order_id"), "book_id",
-                     F.col("qty").cast("long").alias("qty"), "price",
-                     F.col("new_order").isNotNull().alias("new_order")))
+    prices = (restrict_to(books.select("book_id", "price"), requests, "book_id")
+              .withColumn("_book", F.lit(True)))
+    found, no_book = split_by_reason(r.join(prices, "book_id", "left"),
+                                     F.when(F.col("_book").isNull(), F.lit("book not found")), keys)
+    lines = found.select("seq", "username", "customer_id",
+                         F.coalesce("open_order", "new_order").alias("order_id"), "book_id",
+                         F.col("qty").cast("long").alias("qty"), "price",
+                         F.col("new_order").isNotNull().alias("new_order"))
     new_orders = opened.select(F.col("new_order").alias("order_id"), "customer_id",
                                now.alias("order_date"), F.lit(S.ORDER_NEW).alias("status"),
                                F.lit(0).cast(S.TOTAL).alias("total_amount"))
@@ -586,10 +597,10 @@ def toggle_status(users: DataFrame, audit_log: DataFrame, requests: DataFrame, n
     request, with old and new status as JSON details."""
     keys = ["seq", "user_id"]
     winners, dups = dedupe(requests, "user_id", keys)
-    cur = restrict_to(users.select("user_id", F.col("status").alias("old_status")), winners,
-                      "user_id")
-    missing = rejected(winners.join(cur, "user_id", "left_anti"), "not found", keys)
-    ok = winners.join(cur, "user_id")
+    cur = (restrict_to(users.select("user_id", F.col("status").alias("old_status")), requests,
+                       "user_id").withColumn("_found", F.lit(True)))
+    ok, missing = split_by_reason(winners.join(cur, "user_id", "left"),
+                                  F.when(F.col("_found").isNull(), F.lit("not found")), keys)
     snap = set_where_matched(users, ok.select("user_id", F.col("new_status").alias("_new")),
                              "user_id", {"status": F.col("_new")}, keep_null=False)
     logged = assign_new_ids(ok, audit_log, "log_id")
@@ -598,20 +609,19 @@ def toggle_status(users: DataFrame, audit_log: DataFrame, requests: DataFrame, n
     audit = logged.select("log_id", F.lit(actor).alias("who"), F.lit("users").alias("what_table"),
                           F.lit("STATUS_CHANGE").alias("action"), details.alias("details_json"),
                           now.alias("ts"))
-    res = Applied(snap, union_all([dups, missing]), audit)
-    return res
+    return Applied(snap, union_all([dups, missing]), audit)
 
 
 def contact_update(users: DataFrame, customers: DataFrame, requests: DataFrame) -> Applied:
     """Profile fields by login; NULL keeps the old value."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    who = (restrict_to(users.select("user_id", "username"), winners, "username")
+    who = (restrict_to(users.select("user_id", "username"), requests, "username")
            .join(customers.select("user_id", "customer_id"), "user_id"))
-    missing = rejected(winners.join(who, "username", "left_anti"), "no profile", keys)
-    ch = winners.join(who, "username").select(
-        "customer_id", *[F.col(f"new_{c}").alias(f"_new_{c}")
-                         for c in ("address", "phone", "full_name", "email")])
+    ok, missing = split_by_reason(winners.join(who, "username", "left"),
+                                  F.when(F.col("customer_id").isNull(), F.lit("no profile")), keys)
+    ch = ok.select("customer_id", *[F.col(f"new_{c}").alias(f"_new_{c}")
+                                    for c in ("address", "phone", "full_name", "email")])
     snap = set_where_matched(customers, ch, "customer_id",
                              {c: F.col(f"_new_{c}") for c in ("address", "phone", "full_name",
                                                               "email")}, keep_null=True)
@@ -623,19 +633,21 @@ def security_update(users: DataFrame, roles: DataFrame, requests: DataFrame) ->
     it; NULL keeps the old value."""
     keys = ["seq", "username"]
     winners, dups = dedupe(requests, "username", keys)
-    admins = (restrict_to(users.select(F.col("username").alias("viewer"), "role_id"), winners,
+    admins = (restrict_to(users.select(F.col("username").alias("viewer"), "role_id"), requests,
                           "viewer")
               .join(roles_dim(roles), "role_id")
               .select("viewer", (F.col("role_name") == S.ROLE_ADMIN).alias("_admin")))
-    r = winners.join(admins, "viewer", "left")
-    allowed = F.coalesce(F.col("_admin"), F.lit(False)) | F.col("viewer").eqNullSafe(F.col("username"))
-    denied = rejected(r.filter(~allowed), "not allowed", keys)
-    r = r.filter(allowed)
-    missing = rejected(r.join(restrict_to(users.select("username"), r, "username"), "username",
-                              "left_anti"), "not found", keys)
-    ch = r.select("username", F.col("new_password_hash").alias("_new_hash"),
-                  F.col("new_status").alias("_new_status"))
+    w = flag_present(winners.join(admins, "viewer", "left"), users, "username", "_exists",
+                     keys_from=requests)
+    allowed = (F.coalesce(F.col("_admin"), F.lit(False))
+               | F.col("viewer").eqNullSafe(F.col("username")))
+    reason = (F.when(~allowed, F.lit("not allowed"))
+              .when(~F.col("_exists"), F.lit("not found")))
+    ok, rej = split_by_reason(w, reason, keys)
+    ch = ok.select("username", F.col("new_password_hash").alias("_new_hash"),
+                   F.col("new_status").alias("_new_status"))
     snap = set_where_matched(users, ch, "username",
                              {"password_hash": F.col("_new_hash"), "status": F.col("_new_status")},
                              keep_null=True)
-    return Applied(snap, union_all([dups, denied, missing]))
+    return Applied(snap, union_all([dups, rej]))
+
