@@ -6,7 +6,8 @@
 into one task:
 
 1. ``orderBy`` range-partitions and sorts the rows (a sample-based split, so
-   partitions are balanced when the order key is unique);
+   partitions are balanced when the order key is unique); the input is kept
+   (memory and disk) for the sampling and sorting passes;
 2. the sorted rows are checkpointed, so the counting pass and the numbering
    pass see the same partitions even if executors are lost and tasks re-run;
 3. one count per partition is collected (bounded by the partition count) and
@@ -19,6 +20,7 @@ into one task:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,15 @@ def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0) -> D
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    stable = df.orderBy(*order).checkpoint(eager=True)
+    # the range sort reads its input twice (a sampling job for the range
+    # bounds, then the sort): keep the input for the two passes instead of
+    # evaluating its plan twice.  A lost cached block is recomputed from
+    # lineage; the checkpoint below is what fixes the partitions.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stable = src.orderBy(*order).checkpoint(eager=True)
+    finally:
+        src.unpersist()
 
     counts = {r["pid"]: r["n"] for r in
               stable.groupBy(F.spark_partition_id().alias("pid"))
