@@ -42,8 +42,10 @@ def build_session(master: str | None = None, app: str = "quire",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a local one only when the
-    session has none (tests, local runs).  On a cluster the launcher names a
-    shared folder in ``spark.checkpoint.dir`` and that one is used as is."""
+    session has none and runs in local mode (tests).  On a cluster the
+    launcher names a shared folder in ``spark.checkpoint.dir`` and that one
+    is used as is; without it the job stops rather than write to a
+    machine-local folder."""
     try:
         sc = spark.sparkContext
     except Exception:          # Spark Connect: the server's configuration applies
@@ -54,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                               "(a machine-local folder is lost with its executor)")
         conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
