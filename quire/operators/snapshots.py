@@ -35,9 +35,18 @@ from .quality import reserved_name
 
 @dataclass
 class Applied:
+    """Result of a change job.  ``snapshot``: the new table; ``rejects``:
+    refused requests with a ``reason``; ``added``: the new rows.  Jobs that
+    change a second table return it too (``customers`` for registrations,
+    ``order_items`` for line changes, ``new_orders`` and ``lines`` for
+    purchases)."""
     snapshot: DataFrame | None
     rejects: DataFrame
     added: DataFrame | None = None
+    customers: DataFrame | None = None
+    order_items: DataFrame | None = None
+    new_orders: DataFrame | None = None
+    lines: DataFrame | None = None
 
 
 # ---------------------------------------------------------------------------
@@ -204,9 +213,8 @@ def register_clients(users: DataFrame, customers: DataFrame, roles: DataFrame,
     added = ranked.select("user_id", "customer_id", "username", "role_id", "full_name", "email",
                           *phone)
     rejects = union_all([dups, rej, rejected(email_dups, "email exists", keys)])
-    result = Applied(users.unionByName(new_users), rejects, added)
-    result.customers = customers.unionByName(new_customers)  # second output table
-    return result
+    return Applied(users.unionByName(new_users), rejects, added,
+                   customers=customers.unionByName(new_customers))
 
 
 EMAIL_RULE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
