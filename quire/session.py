@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:          # Spark Connect: the server's configuration applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
