@@ -1,4 +1,5 @@
-"""Text functions with the application's (Oracle-flavoured) semantics, built
+"""Text functions with the application's SQL semantics (NULL concatenation,
+LIKE without an escape character, upper-case hex hashes), built
 from JVM-side column expressions only."""
 
 from __future__ import annotations
