@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 def snapshot_changes(before: DataFrame, after: DataFrame, key: str,
                      columns: list[str] | None = None) -> DataFrame:
     """Rows of kind INSERT / DELETE / UPDATE with the names of the changed
-    columns (comma separated, in column order) for updates."""
+    columns (comma separated, in column order) for updates and the changed
+    fields as JSON."""
     cols = columns or [c for c in before.columns if c != key]
     b = before.select(key, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
     a = after.select(key, *[F.col(c).alias(f"_a_{c}") for c in cols], F.lit(True).alias("_in_a"))
@@ -25,8 +26,19 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: str,
                                  for c in cols])
     kind = (F.when(F.col("_in_b").isNull(), F.lit("INSERT"))
             .when(F.col("_in_a").isNull(), F.lit("DELETE")).otherwise(F.lit("UPDATE")))
+    # details: {column: value as text} — the changed columns with their new
+    # value for an update, every column for an insert (new values) or a
+    # delete (old values)
+    entries = []
+    for c in cols:
+        take = (kind != "UPDATE") | ~F.col(f"_b_{c}").eqNullSafe(F.col(f"_a_{c}"))
+        value = F.when(kind == "DELETE", F.col(f"_b_{c}").cast("string")) \
+            .otherwise(F.col(f"_a_{c}").cast("string"))
+        entries.append(F.when(take, F.struct(F.lit(c).alias("k"), value.alias("v"))))
+    details = F.to_json(F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull())))
     return (j.select(key, kind.alias("change"),
-                     F.when(kind == "UPDATE", changed).alias("changed_columns"))
+                     F.when(kind == "UPDATE", changed).alias("changed_columns"),
+                     details.alias("details_json"))
             .filter((F.col("change") != "UPDATE") | (F.col("changed_columns") != "")))
 
 

@@ -23,18 +23,28 @@ s1 AS ({product_edit_sql('v_books')}),
 s2 AS ({product_delete_sql('s1')}),
 s3 AS ({add_books_sql('s2', 'r_newbooks')})""")
 
-_CHANGED = ", ".join(f"CASE WHEN b.{c} IS DISTINCT FROM a.{c} THEN '{c}' END" for c in _COMPARED)
+_CHANGED = ", ".join(f"CASE WHEN b_{c} IS DISTINCT FROM a_{c} THEN '{c}' END" for c in _COMPARED)
+_DETAILS = ", ".join(
+    f"CASE WHEN change <> 'UPDATE' OR b_{c} IS DISTINCT FROM a_{c} THEN "
+    f"{{'k': '{c}', 'v': CAST(CASE WHEN change = 'DELETE' THEN b_{c} ELSE a_{c} END AS VARCHAR)}} END"
+    for c in _COMPARED)
+_SIDES = ", ".join(f"b.{c} AS b_{c}, a.{c} AS a_{c}" for c in _COMPARED)
 
 
 @register("snapshot_changes", f"""
-SELECT * FROM (
-  SELECT COALESCE(b.book_id, a.book_id) AS book_id,
-         CASE WHEN b.book_id IS NULL THEN 'INSERT' WHEN a.book_id IS NULL THEN 'DELETE'
-              ELSE 'UPDATE' END AS change,
-         CASE WHEN b.book_id IS NOT NULL AND a.book_id IS NOT NULL
-              THEN concat_ws(',', {_CHANGED}) END AS changed_columns
-  FROM v_books b FULL OUTER JOIN s3 a ON b.book_id = a.book_id
-) x WHERE change <> 'UPDATE' OR changed_columns <> ''
+SELECT book_id, change, changed_columns, details_json FROM (
+  SELECT book_id, change,
+         CASE WHEN change = 'UPDATE' THEN concat_ws(',', {_CHANGED}) END AS changed_columns,
+         to_json(map_from_entries(list_filter([{_DETAILS}], lambda e: e IS NOT NULL)))
+           AS details_json
+  FROM (
+    SELECT COALESCE(b.book_id, a.book_id) AS book_id,
+           CASE WHEN b.book_id IS NULL THEN 'INSERT' WHEN a.book_id IS NULL THEN 'DELETE'
+                ELSE 'UPDATE' END AS change,
+           {_SIDES}
+    FROM v_books b FULL OUTER JOIN s3 a ON b.book_id = a.book_id
+  ) x
+) y WHERE change <> 'UPDATE' OR changed_columns <> ''
 """, extra_ctes=_CHANGE_CTES)
 def snapshot_changes(d: Domain):
     """Change log of the catalogue across edit (I10), delete (I11) and

@@ -240,9 +240,12 @@ def test_snapshot_changes(spark, books):
              .withColumn("price", F.when(F.col("book_id") == 1, F.lit(D("1.00")).cast(S.PRICE))
                          .otherwise(F.col("price")))
              .unionByName(books.filter("book_id = 4").withColumn("book_id", F.lit(9).cast("long"))))
-    got = {r.book_id: (r.change, r.changed_columns)
-           for r in snapshot_changes(books, after, "book_id").collect()}
+    rows = {r.book_id: r for r in snapshot_changes(books, after, "book_id").collect()}
+    got = {k: (r.change, r.changed_columns) for k, r in rows.items()}
     assert got == {1: ("UPDATE", "price"), 2: ("DELETE", None), 9: ("INSERT", None)}
+    assert json.loads(rows[1].details_json) == {"price": "1.00"}
+    assert json.loads(rows[2].details_json)["title"] == "Two"          # old values kept
+    assert json.loads(rows[9].details_json)["price"] == "60.00"        # new values
 
 
 def test_recategorise_literal_and_table_agree(spark, books):
