@@ -77,8 +77,13 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
 
 
 def dedupe(requests: DataFrame, key, key_cols: list[str]):
-    winners, losers = first_by_seq(requests, key)
-    return winners, rejected(losers, "duplicate request", key_cols)
+    """First request per key (lowest seq); later ones are duplicates and a
+    request without a key is refused as such."""
+    keys = [key] if isinstance(key, str) else list(key)
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    winners, losers = first_by_seq(requests.filter(has_key), key)
+    return winners, union_all([rejected(losers, "duplicate request", key_cols),
+                               rejected(requests.filter(~has_key), "key missing", key_cols)])
 
 
 def flag_present(df: DataFrame, lookup: DataFrame, on, flag: str,

@@ -279,3 +279,11 @@ def test_legacy_new_status_counts_as_open(spark, books, items):
     res = ops.order_add_items(orders, books, items, req)
     assert [r.order_id for r in res.snapshot.collect()] == [200]
     assert {r.seq: r.reason for r in res.rejects.collect()} == {2: "order not open"}
+
+
+def test_request_without_key_is_refused(spark, users, roles):
+    req = spark.createDataFrame([(1, None, "h", "Customer"), (2, "neo", "h", "Customer")],
+                                "seq long, username string, password_hash string, role_name string")
+    res = ops.add_users(users, roles, req, now())
+    assert [r.username for r in res.added.collect()] == ["neo"]
+    assert {r.seq: r.reason for r in res.rejects.collect()} == {1: "key missing"}
