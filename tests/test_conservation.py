@@ -85,3 +85,16 @@ def test_toggle_and_order_items_conserve_requests(d):
     add = P.add_item_requests(d)
     res2 = ops.order_add_items(d.orders, d.books, d.order_items, add)
     assert n(res2.added) + n(res2.rejects) == n(add)
+
+
+def test_totals_equal_sum_of_lines(d):
+    from quire.operators import sales
+    rec = sales.receipt(d.orders, d.order_items, d.books)
+    per_order = rec.groupBy("order_id").agg(F.sum("subtotal").alias("s"),
+                                            F.max("lines_total").alias("t"),
+                                            F.min("lines_total").alias("t2"))
+    assert per_order.filter((F.col("s") != F.col("t")) | (F.col("t") != F.col("t2"))).count() == 0
+    tot = sales.order_totals(d.orders, d.order_items).select("order_id", "lines_total")
+    joined = per_order.join(tot, "order_id")
+    assert joined.count() == per_order.count()
+    assert joined.filter(F.col("s") != F.col("lines_total")).count() == 0
