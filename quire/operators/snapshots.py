@@ -11,10 +11,13 @@ Batch rules (the same for every job):
 * new ids follow ``seq`` order and start after the current maximum (F2);
 * "now" is a parameter, so a re-run produces the same rows.
 
-Scale: request tables are joined to snapshots by key with no broadcast hint
-(AQE broadcasts them when their measured size is small, otherwise both sides
-are shuffled on the key once).  Lines are reduced per key before they meet
-orders or books.
+Scale: each check is a boolean flag from a left join against the lookup
+table restricted to the request keys (``flag_present``: the large table is
+streamed against the key set, which AQE broadcasts when it is small), and
+one ``reason`` column splits accepted rows from rejects, so a job's plan
+grows linearly with its checks.  The snapshot itself is rewritten with one
+join on its key (``set_where_matched``, changes on the broadcastable right
+side).  Lines are reduced per key before they meet orders or books.
 """
 
 from __future__ import annotations
