@@ -38,3 +38,21 @@ def test_category_layout_prunes_partitions(spark, small_dir):
 def test_receipt_totals_are_aggregates_not_windows(spark, small_dir):
     p = plan(REG["receipt"].build(spark, small_dir))
     assert "Window" not in p
+
+
+def test_bucketed_orders_and_lines_join_without_shuffle(spark, small_dir):
+    import uuid
+
+    from quire.operators import sales
+    from quire.sources import snapshot_store as store
+    d = Domain(spark, small_dir)
+    tag = uuid.uuid4().hex[:8]
+    o = store.publish_bucketed(d.orders, f"orders_{tag}", "order_id", 8,
+                               scratch_dir(spark, f"orders-{tag}"))
+    li = store.publish_bucketed(d.order_items, f"items_{tag}", "order_id", 8,
+                                scratch_dir(spark, f"items-{tag}"))
+    with_b = sales.order_totals(spark.table(o), spark.table(li))
+    plan = with_b._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(order_id" not in plan
+    plain = sales.order_totals(d.orders, d.order_items)
+    assert sorted(with_b.collect()) == sorted(plain.collect())
