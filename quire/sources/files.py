@@ -131,16 +131,27 @@ def read_books_json(spark: SparkSession, path: str, multiline: bool = False) ->
         "discount_percent", "price_after_discount")
 
 
-def read_books_json_raw(spark: SparkSession, path: str, arrays: bool = False) -> DataFrame:
+def read_books_json_raw(spark: SparkSession, path: str, arrays: bool = False,
+                        one_element_per_line: bool = True) -> DataFrame:
     """Raw-keeping import: six typed fields plus ``attributes_json`` = the
-    whole element text.  JSON Lines: one element per line.  Arrays: each
-    file is one array (read whole, split into its elements)."""
-    if arrays:
+    whole element text.
+
+    JSON Lines, and JSON arrays in the application's layout (``[``, ``,``
+    and ``]`` on lines of their own, one element per line), are read as text
+    lines: the files split like any text file and no file is held whole.
+    Other arrays (elements spread over several lines) need
+    ``one_element_per_line=False``: each file is then read whole, one task
+    per file, and split into its elements."""
+    if arrays and not one_element_per_line:
         files = spark.read.text(path, wholetext=True)
         elems = files.select(F.explode(F.from_json("value", "array<string>")).alias("raw"))
     else:
-        elems = spark.read.text(path).select(F.col("value").alias("raw"))
-        elems = elems.filter(F.trim("raw") != "")
+        line = F.trim(F.col("value"))
+        if arrays:
+            line = F.regexp_replace(line, r",$", "")        # tolerate "{...}," lines
+            elems = spark.read.text(path).select(line.alias("raw")).filter(F.col("raw").startswith("{"))
+        else:
+            elems = spark.read.text(path).select(line.alias("raw")).filter(F.col("raw") != "")
     parsed = F.from_json("raw", RAW_FIELDS_SCHEMA)
     out = elems.select(parsed.alias("f"), "raw").select("f.*", F.col("raw").alias("attributes_json"))
     return _empty_text_as_null(out, ["isbn", "title", "author", "category"])

@@ -104,3 +104,12 @@ def test_checked_import_publishes_valid_rows_and_returns_rejects(spark, fresh):
     assert [r.book_id for r in store.read_version(spark, root, 7).collect()] == [1]
     got = {r.book_id: list(r.broken_rules) for r in rejects.collect()}
     assert got == {2: ["title_too_long"], 3: ["attributes_json_not_json"]}
+
+
+def test_raw_import_of_pretty_printed_array_reads_files_whole(spark, fresh):
+    d = fresh("json-pretty")
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('[\n  {\n    "isbn": "x1",\n    "price": 5\n  },\n  {\n    "isbn": "x2"\n  }\n]\n')
+    rows = io.read_books_json_raw(spark, d, arrays=True, one_element_per_line=False).collect()
+    assert sorted(r.isbn for r in rows) == ["x1", "x2"]
+    assert all(r.attributes_json.startswith("{") for r in rows)
