@@ -117,12 +117,22 @@ def _wrap_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 # ---------------------------------------------------------------------------
 # JSON import (A3 typed, A4 raw-keeping)
 # ---------------------------------------------------------------------------
-def read_books_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
+                    one_element_per_line: bool = True) -> DataFrame:
     """Typed import: explicit schema, created_at text to timestamp (seconds
-    precision, as exported).  ``multiline`` reads JSON-array files (one task
-    per file); JSON Lines split freely."""
-    df = (spark.read.schema(IMPORT_SCHEMA).option("multiLine", multiline)
-          .option("mode", "PERMISSIVE").json(path))
+    precision, as exported).  JSON Lines split freely.  ``multiline`` reads
+    JSON-array files: in the application's layout (one element per line)
+    they are parsed line by line, so they split too; other arrays
+    (``one_element_per_line=False``) go through the multi-line reader, one
+    task per file."""
+    if multiline and one_element_per_line:
+        line = F.regexp_replace(F.trim(F.col("value")), r",$", "")
+        df = (spark.read.text(path).select(line.alias("raw")).filter(F.col("raw").startswith("{"))
+              .select(F.from_json("raw", IMPORT_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"))
+              .select("r.*"))
+    else:
+        df = (spark.read.schema(IMPORT_SCHEMA).option("multiLine", multiline)
+              .option("mode", "PERMISSIVE").json(path))
     df = _empty_text_as_null(df, ["isbn", "title", "author", "category", "attributes_json"])
     return df.select(
         "book_id", "isbn", "title", "author", "price", "stock", "category", "attributes_json",

@@ -113,3 +113,5 @@ def test_raw_import_of_pretty_printed_array_reads_files_whole(spark, fresh):
     rows = io.read_books_json_raw(spark, d, arrays=True, one_element_per_line=False).collect()
     assert sorted(r.isbn for r in rows) == ["x1", "x2"]
     assert all(r.attributes_json.startswith("{") for r in rows)
+    typed = io.read_books_json(spark, d, multiline=True, one_element_per_line=False).collect()
+    assert sorted((r.isbn, r.price) for r in typed) == [("x1", Decimal("5.00")), ("x2", None)]
