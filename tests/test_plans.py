@@ -56,3 +56,14 @@ def test_bucketed_orders_and_lines_join_without_shuffle(spark, small_dir):
     assert "Exchange hashpartitioning(order_id" not in plan
     plain = sales.order_totals(d.orders, d.order_items)
     assert sorted(with_b.collect()) == sorted(plain.collect())
+
+
+def test_author_lookup_on_layout_pushes_filter_to_row_groups(spark, small_dir):
+    from pyspark.sql import functions as F
+    d = Domain(spark, small_dir)
+    path = scratch_dir(spark, "layout-author")
+    layout.write_category_layout(d.books, path)
+    df = spark.read.parquet(path).filter(F.col("author") == "Brand#10").select("title")
+    p = plan(df)
+    assert "PushedFilters: [IsNotNull(author), EqualTo(author,Brand#10)]" in p
+    assert df.count() == d.books.filter("author = 'Brand#10'").count()
