@@ -35,7 +35,10 @@ def max_id(df: DataFrame, col: str) -> int:
     return int(v) if v is not None else 0
 
 
-def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0) -> DataFrame:
+def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0,
+               base_from: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """``base_from=(table, column)`` starts the ids after that column's
+    maximum; it is computed in the same job as the partition counts."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
@@ -49,9 +52,18 @@ def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0) -> D
     finally:
         src.unpersist()
 
-    counts = {r["pid"]: r["n"] for r in
-              stable.groupBy(F.spark_partition_id().alias("pid"))
-                    .agg(F.count(F.lit(1)).alias("n")).collect()}
+    stats = (stable.groupBy(F.spark_partition_id().alias("pid"))
+             .agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("m")))
+    if base_from is not None:
+        table, col = base_from
+        stats = stats.unionByName(table.agg(F.lit(-1).alias("pid"), F.lit(0).cast("long").alias("n"),
+                                            F.max(F.col(col)).cast("long").alias("m")))
+    counts = {}
+    for r in stats.collect():           # one row per partition, plus the maximum
+        if r["pid"] == -1:
+            base = int(r["m"]) if r["m"] is not None else 0
+        else:
+            counts[r["pid"]] = r["n"]
     # partitions without a count have no rows, so offsets up to the last
     # non-empty partition suffice
     n_parts = max(counts) + 1 if counts else 0

@@ -147,7 +147,7 @@ def lines_total(order_items: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def assign_new_ids(new_rows: DataFrame, current: DataFrame, id_col: str,
                    order_cols=("seq",)) -> DataFrame:
-    return assign_ids(new_rows, list(order_cols), id_col, base=max_id(current, id_col))
+    return assign_ids(new_rows, list(order_cols), id_col, base_from=(current, id_col))
 
 
 # ---------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.ids import assign_ids, max_id
+from ..functions.ids import assign_ids
 from ..functions.text import password_hash
 from ..operators import snapshots as ops
 from ..operators.catalog import archived_check as archived_check_op
@@ -45,7 +45,7 @@ def assign_ids_q(d: Domain):
     """one new user per supplier, ids after the current maximum in name
     order (range-partitioned numbering, no single-task window)."""
     s = d.raw("supplier").select(F.col("s_suppkey").alias("seq"), F.col("s_name").alias("username"))
-    out = assign_ids(s, ["username", "seq"], "user_id", base=max_id(d.users, "user_id"))
+    out = assign_ids(s, ["username", "seq"], "user_id", base_from=(d.users, "user_id"))
     return out.select("user_id", "username")
 
 
