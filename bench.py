@@ -57,14 +57,19 @@ def main() -> None:
     reg = load_all()
     run(spark.range(1000).selectExpr("sum(id)"))          # JVM warm-up
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     cold = 0.0
     for name in HEADLINE:
         q = reg[name]
         runs = []
-        for _ in range(2):
-            t0 = time.perf_counter()
-            run(q.build(spark, sf_dir))
-            runs.append(time.perf_counter() - t0)
+        try:
+            for _ in range(2):
+                t0 = time.perf_counter()
+                run(q.build(spark, sf_dir))
+                runs.append(time.perf_counter() - t0)
+        except Exception as e:          # report and go on: one failure keeps the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         cold += runs[0]
         times[name] = round(min(runs), 3)
 
@@ -100,8 +105,11 @@ def main() -> None:
     times["category_layout_100k"] = round(min(lay_runs), 3)
 
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cold_total": round(cold, 3)}))
+    out = {"metric": "total_sec", "value": total, "unit": "sec", "queries": times, "sf": sf,
+           "cold_total": round(cold, 3)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
