@@ -35,6 +35,15 @@ def max_id(df: DataFrame, col: str) -> int:
     return int(v) if v is not None else 0
 
 
+def max_ids(pairs: list[tuple[DataFrame, str]]) -> list[int]:
+    """Largest existing id of several tables in one job (0 for an empty
+    table)."""
+    from .combine import one_row
+    row = one_row({f"m{i}": t.agg(F.max(F.col(c)).cast("long").alias(f"m{i}"))
+                   for i, (t, c) in enumerate(pairs)}).first()
+    return [int(row[f"m{i}"]) if row[f"m{i}"] is not None else 0 for i in range(len(pairs))]
+
+
 def assign_ids(df: DataFrame, order_cols: list, id_col: str, base: int = 0,
                base_from: tuple[DataFrame, str] | None = None) -> DataFrame:
     """``base_from=(table, column)`` starts the ids after that column's

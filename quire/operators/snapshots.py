@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.ids import assign_ids, max_id
+from ..functions.ids import assign_ids, max_ids
 from ..functions.joins import restrict_to
 from ..functions.text import is_open_order, password_hash, starts_with
 from .accounts import first_by_seq, roles_dim
@@ -209,7 +209,7 @@ def register_clients(users: DataFrame, customers: DataFrame, roles: DataFrame,
     email_first, email_dups = first_by_seq(ok.filter(F.col("email").isNotNull()), "email")
     ok = email_first.unionByName(ok.filter(F.col("email").isNull()))
     ranked = assign_ids(ok, ["seq"], "_rank", base=0)
-    base_u, base_c = max_id(users, "user_id"), max_id(customers, "customer_id")
+    base_u, base_c = max_ids([(users, "user_id"), (customers, "customer_id")])
     ranked = (ranked.withColumn("user_id", F.col("_rank") + F.lit(base_u))
                     .withColumn("customer_id", F.col("_rank") + F.lit(base_c)))
     new_users = conform(apply_defaults(ranked.select("user_id", "username", "password_hash",
