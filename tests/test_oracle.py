@@ -50,3 +50,10 @@ def test_money_columns_declared(spark, small_dir):
         types = {f.name: f.dataType for f in df.schema.fields}
         assert all(isinstance(types[c], DoubleType) for c in cols), name
         assert not any(isinstance(t, DecimalType) for t in types.values()), name
+
+
+def test_cli_lists_every_key(capsys):
+    from quire.__main__ import main
+    assert main(["--list"]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == len(REG) and out[0].startswith("popular_products")
