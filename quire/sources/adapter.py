@@ -150,6 +150,40 @@ class Domain:
         )
 
 
+class StoredDomain(Domain):
+    """Domain tables read from published snapshots instead of the test
+    tables: ``sources`` maps a table name (roles, users, customers, books,
+    orders, order_items, audit_log) to a Parquet path or a catalog table
+    name.  The operators take these DataFrames as they take the adapter's."""
+
+    TABLES = ("roles", "users", "customers", "books", "orders", "order_items", "audit_log")
+
+    def __init__(self, spark: SparkSession, sources: dict[str, str]):
+        super().__init__(spark, "")
+        unknown = set(sources) - set(self.TABLES)
+        if unknown:
+            raise ValueError(f"unknown domain tables {sorted(unknown)}")
+        self.sources = dict(sources)
+
+    def _load(self, name: str) -> DataFrame:
+        if name not in self.sources:
+            raise KeyError(f"no source given for {name!r}")
+        src = self.sources[name]
+        is_path = "/" in src or ":" in src
+        return self.spark.read.parquet(src) if is_path else self.spark.table(src)
+
+    def raw(self, name: str) -> DataFrame:
+        raise KeyError("a stored domain has no raw test tables")
+
+    roles = cached_property(lambda self: self._load("roles"))
+    users = cached_property(lambda self: self._load("users"))
+    customers = cached_property(lambda self: self._load("customers"))
+    books = cached_property(lambda self: self._load("books"))
+    orders = cached_property(lambda self: self._load("orders"))
+    order_items = cached_property(lambda self: self._load("order_items"))
+    audit_log = cached_property(lambda self: self._load("audit_log"))
+
+
 # ---------------------------------------------------------------------------
 # The same views for DuckDB (oracle side).  Names carry a v_ prefix because
 # the raw table "orders" is registered under its own name.

@@ -115,3 +115,18 @@ def test_raw_import_of_pretty_printed_array_reads_files_whole(spark, fresh):
     assert all(r.attributes_json.startswith("{") for r in rows)
     typed = io.read_books_json(spark, d, multiline=True, one_element_per_line=False).collect()
     assert sorted((r.isbn, r.price) for r in typed) == [("x1", Decimal("5.00")), ("x2", None)]
+
+
+def test_stored_domain_runs_operators_on_published_snapshots(spark, small_dir):
+    from quire.operators import sales
+    from quire.sources import snapshot_store as store
+    from quire.sources.adapter import Domain, StoredDomain
+    d = Domain(spark, small_dir)
+    root = scratch_dir(spark, "stored-domain")
+    paths = {t: store.publish(getattr(d, t), f"{root}/{t}", 1)
+             for t in ("books", "order_items")}
+    sd = StoredDomain(spark, paths)
+    got = sales.popular_products(sd.order_items, sd.books, 5).collect()
+    assert got == sales.popular_products(d.order_items, d.books, 5).collect()
+    with pytest.raises(KeyError):
+        sd.users
