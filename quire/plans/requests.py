@@ -8,8 +8,10 @@ Rules in words:
 * existing names are re-requested by the customers of nation 0;
 * the role asked for cycles with the supplier's nation: Seller, Admin,
   Customer, and an unknown role "Courier";
-* login attempts come from every customer (nation multiple of 4: wrong
-  password) plus unknown supplier names;
+* hash logins (C9): every user tries with the stored hash, except sellers
+  (role 2) who send a wrong one, plus unknown supplier names;
+* plain-password logins (I25): every customer, with a wrong password when
+  the nation is a multiple of 4;
 * profile views: every user views themself and the next user by key.
 """
 
