@@ -1,4 +1,4 @@
-"""Run a registered query: ``python -m quire KEY [SF_DIR] [--out PATH] [--show N]``.
+"""Run a registered query: ``python -m quire KEY [SF_DIR] [--out PATH] [--show N] [--explain]``.
 
 Without ``--out`` the first N rows are printed; with it the full result is
 written as Parquet (one Spark job, nothing collected).  ``--list`` prints
@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--show", type=int, default=20)
     ap.add_argument("--master", default=None)
     ap.add_argument("--list", action="store_true")
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     args = ap.parse_args(argv)
     reg = load_all()
     if args.list or not args.key:
@@ -34,7 +35,9 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     spark = build_session(args.master, f"quire-{args.key}")
     df = reg[args.key].build(spark, args.sf_dir)
-    if args.out:
+    if args.explain:
+        df.explain("formatted")
+    elif args.out:
         df.write.mode("errorifexists").parquet(args.out)
     else:
         df.show(args.show, truncate=False)
