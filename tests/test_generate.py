@@ -44,3 +44,14 @@ def test_basic_catalog_ranges_and_isbn_collision(spark):
     five = gen.basic_catalog(spark.createDataFrame([(10000,), (100000,)], "i long"), isbn_digits=5)
     isbns = [r.isbn for r in five.collect()]
     assert isbns[0] == isbns[1] == "978-3-10000"
+
+
+def test_generated_catalogue_is_published_by_category(spark):
+    from quire.operators import layout
+    from quire.session import scratch_dir
+    path = scratch_dir(spark, "gen-publish")
+    gen.write_generated(gen.words_catalog(ids(spark, 1200, 3)), path)
+    back = spark.read.parquet(path)
+    assert back.count() == 1200
+    one = layout.lookup_category(spark, path, gen.CATEGORIES[0], ("book_id",))
+    assert one.count() == back.filter(F.col("category") == gen.CATEGORIES[0]).count()

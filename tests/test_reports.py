@@ -100,3 +100,17 @@ def test_fk_violations_and_duplicate_keys(spark, books, orders, items):
     assert q.fk_violations(edges).count() == 0
     dup = q.duplicate_keys("books", books, "isbn").collect()
     assert [(r.key_value, r.n) for r in dup] == [("i-1", 2)]
+
+
+def test_column_profile_exact_and_approximate(spark, small_dir):
+    from quire.operators import layout
+    from quire.sources.adapter import Domain
+    books = Domain(spark, small_dir).books.select("book_id", "title", "category", "price")
+    exact = {r.column_name: r for r in layout.column_profile(books).collect()}
+    approx = {r.column_name: r for r in layout.column_profile(books, exact=False).collect()}
+    assert exact["category"].n_distinct == books.select("category").distinct().count()
+    for c, r in exact.items():
+        assert (r.n_rows, r.n_nulls, r.min_value, r.max_value) == \
+            (approx[c].n_rows, approx[c].n_nulls, approx[c].min_value, approx[c].max_value)
+        # HyperLogLog's default relative standard deviation is 5 %: allow 3 sigma
+        assert abs(approx[c].n_distinct - r.n_distinct) <= max(2, 0.15 * r.n_distinct)
