@@ -106,7 +106,7 @@ def main() -> None:
 
     total = round(sum(times.values()), 3)
     out = {"metric": "total_sec", "value": total, "unit": "sec", "queries": times, "sf": sf,
-           "cold_total": round(cold, 3)}
+           "cold_total": round(cold, 3), "spark": spark.version, "cpus": int(cpus)}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
