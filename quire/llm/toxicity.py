@@ -9,9 +9,9 @@ Model (numpy, forward and backward written out below):
 * document: the largest logit over all overlapping windows (``WINDOW`` words,
   every ``STRIDE`` words) through a fitted slope and offset.
 
-Training sees a bounded sample of labelled documents (``MAX_TOXIC``
-and ``MAX_CLEAN``, in hash order).  A document's label says that some window is toxic, so
-windows are relabelled: after a first pass over all windows of toxic documents
+Training is one task over a bounded sample of labelled documents (``MAX_TOXIC``
+and ``MAX_CLEAN``, in hash order).  A document's label says that some window is
+toxic, so windows are relabelled: after a first pass over all windows of toxic documents
 only those near the largest logit of their document count as toxic.
 
 Scoring is one Arrow pass.  A word's vector depends on the word alone, so each
@@ -29,6 +29,7 @@ not read.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -388,8 +389,8 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "toxic", max_toxic: int = MAX_TOXIC,
-                   max_clean: int = MAX_CLEAN) -> list[tuple[str, int]]:
-    """At most ``max_toxic`` and ``max_clean`` labelled texts that are not held
+                   max_clean: int = MAX_CLEAN) -> DataFrame:
+    """(t, y): at most ``max_toxic`` and ``max_clean`` labelled texts that are not held
     out, in hash order of their id."""
     rows = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
             .where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id"))))
@@ -397,9 +398,19 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     for y, most in ((0, max_clean), (1, max_toxic)):
         part = rows.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
         some = part if some is None else some.union(part)
-    met = docs.select(F.col(id_col).alias("id"), utf8(text_col).cast("string").alias("t")).join(F.broadcast(some), "id")
-    got = met.limit(max_toxic + max_clean).collect()
-    return sorted((r["t"], r["y"]) for r in got)
+    met = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("t")).join(F.broadcast(some), "id")
+    return met.select("t", "y").limit(max_toxic + max_clean)
+
+
+def train_in_task(sample: DataFrame) -> ToxicModel:
+    """Fit in one task on the bounded sample; a lost executor repeats it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((t.decode("utf-8", "replace"), y) for b in batches
+                      for t, y in zip(b.column("t").to_pylist(), b.column("y").to_pylist()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([pickle.dumps(train([t for t, _ in rows], [y for _, y in rows]))], pa.binary())], names=["model"])
+
+    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").collect()[0]["model"])
 
 
 def held_out(id_col) -> "F.Column":
@@ -433,8 +444,7 @@ def score_documents(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
-    got = labelled_texts(docs, labels, id_col, text_col)
-    model = train([t for t, _ in got], [y for _, y in got])
+    model = train_in_task(labelled_texts(docs, labels, id_col, text_col))
     s = score_documents(docs, model, id_col, text_col)
     return s.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score",
                     F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
