@@ -14,7 +14,7 @@ from ..session import scratch_dir
 #: White space of the text contracts: space, tab, LF, VT, FF, CR.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text worked on at once inside a task; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 U64 = np.uint64
 

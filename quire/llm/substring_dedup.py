@@ -54,7 +54,7 @@ SIDE = 3
 ROUNDS = 2
 #: Bytes of text whose records make a bucket, about.
 BUCKET_BYTES = 32 << 20
-SLICE = 3 << 20
+SLICE = (2 << 20) - (1 << 16)
 NO_ID = (1 << 63) - 1
 
 

@@ -8,7 +8,7 @@ pieces in order:
 * ``byte``: a word takes the one space before it.  A text is cut before a
   single space, and around a single line end, between two characters that are
   surely no white space.  Other white space stays inside a piece.
-* both: a text is cut between an ASCII letter and a closing mark.
+* both: a text is cut between a Latin letter and an ASCII mark after it.
 
 Pieces are cut and hashed (64 bits) with numpy over a whole slice of texts and
 looked up in a bounded table per Python worker; the library encodes the ones
@@ -36,7 +36,8 @@ _SLOTS = 1 << 21
 _BYTE = np.arange(256)
 _LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
 _LETTER = ((_BYTE | 32) >= 97) & ((_BYTE | 32) <= 122) & (_BYTE < 128)
-_MARK = np.isin(_BYTE, [ord(c) for c in ".,;:!?"])
+# no apostrophe (contractions), nothing that the special tokens hold
+_MARK = np.isin(_BYTE, [ord(c) for c in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"])
 _SPACE = (_BYTE == 32) | ((_BYTE >= 9) & (_BYTE <= 13))
 # white space beyond ASCII starts with one of these bytes
 _MAYBE = np.isin(_BYTE, [0xC2, 0xE1, 0xE2, 0xE3])
@@ -64,7 +65,10 @@ class PieceTable:
         """Start and end of every piece."""
         inner = offsets[:-1][np.diff(offsets) > 0]                 # first bytes of texts
         mark = np.zeros(len(data), bool)
-        mark[1:] = _MARK[data[1:]] & _LETTER[data[:-1]]
+        letter = _LETTER[data]
+        # two-byte letters from U+00C0 to U+00FF
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        mark[1:] = _MARK[data[1:]] & letter[:-1]
         if self.kind == "word":
             word = ~_SPACE[data]
             first = word.copy()
@@ -94,20 +98,21 @@ class PieceTable:
         """Ids of pieces; plain words go through the library side by side in
         one text, where each is one pre-token and so tells its own ids."""
         out: list[list[int] | None] = [None] * len(pieces)
-        glue = " " if self.kind == "word" else ""
-        if glue:
-            plain = [i for i, p in enumerate(pieces) if p.isalpha()]
-        else:
-            plain = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:].isalpha()]
-        groups = [plain[k:k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
-        encoded = self.tokenizer.encode_batch_fast([glue.join(pieces[i] for i in g) for g in groups],
-                                                   add_special_tokens=False)
-        for g, e in zip(groups, encoded):
-            ids, words = e.ids, np.array(e.word_ids)
-            ends = (np.flatnonzero(words[1:] != words[:-1]) + 1).tolist()
-            if len(ends) + 1 == len(g):                  # else some word was more than one pre-token
-                for i, lo, hi in zip(g, [0, *ends], [*ends, len(ids)]):
-                    out[i] = ids[lo:hi]
+        if self.kind == "word":
+            kinds = [(" ", 1, [i for i, p in enumerate(pieces) if p.isalpha()])]
+        else:                                            # a line end between words is a pre-token of its own
+            kinds = [("", 1, [i for i, p in enumerate(pieces) if p[0] == " " and p[1:].isalpha()]),
+                     ("\n", 2, [i for i, p in enumerate(pieces) if p.isalpha()])]
+        for glue, step, plain in kinds:
+            groups = [plain[k:k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+            encoded = self.tokenizer.encode_batch_fast([glue.join([pieces[i] for i in g]) for g in groups],
+                                                       add_special_tokens=False)
+            for g, e in zip(groups, encoded):
+                ids, words = e.ids, np.array(e.word_ids)
+                ends = (np.flatnonzero(words[1:] != words[:-1]) + 1).tolist()
+                if len(ends) + 1 == step * (len(g) - 1) + 1:     # else some word was more than one pre-token
+                    for i, lo, hi in zip(g, [0, *ends][::step], [*ends, len(ids)][::step]):
+                        out[i] = ids[lo:hi]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
             out[i] = e.ids
