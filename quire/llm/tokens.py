@@ -28,7 +28,7 @@ from .common import U64, ranges, word_hashes
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bounds of the table of pieces.
-MAX_PIECES, MAX_IDS = 1_000_000, 8_000_000
+MAX_PIECES, MAX_IDS = 600_000, 5_000_000
 #: Plain words encoded in one text.
 TOGETHER = 500
 _SLOTS = 1 << 21
