@@ -30,7 +30,9 @@ def first_by_seq(requests: DataFrame, key: str | list[str], seq: str = "seq") ->
 
 
 def roles_dim(roles: DataFrame) -> DataFrame:
-    return F.broadcast(roles.select("role_id", "role_name"))
+    """The role columns; no broadcast hint, the table grows with add_roles and
+    its size decides at run time."""
+    return roles.select("role_id", "role_name")
 
 
 # B6 --------------------------------------------------------------------------

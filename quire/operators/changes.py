@@ -42,8 +42,9 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: str,
             .filter((F.col("change") != "UPDATE") | (F.col("changed_columns") != "")))
 
 
-def view_logs(audit_log: DataFrame, n: int, action: str | None = None) -> DataFrame:
-    """Newest audit rows first (ties by id), optionally of one action: a
-    pushed-down filter and a top-n (TakeOrderedAndProject)."""
+def view_logs(audit_log: DataFrame, n: int | None = None, action: str | None = None) -> DataFrame:
+    """Audit rows, newest first (ties by id); optionally of one action (a
+    pushed-down filter) or the first n (TakeOrderedAndProject)."""
     df = audit_log if action is None else audit_log.filter(F.col("action") == action)
-    return df.orderBy(F.col("ts").desc_nulls_last(), F.col("log_id").desc()).limit(n)
+    df = df.orderBy(F.col("ts").desc_nulls_last(), F.col("log_id").desc())
+    return df if n is None else df.limit(n)

@@ -69,7 +69,8 @@ def seller_view_orders(orders: DataFrame, customers: DataFrame, order_items: Dat
     oc = o.join(c, "customer_id")
     return (li.join(oc, "order_id").join(b, "book_id")
             .select("order_id", "client", "title", "qty", "status")
-            .orderBy(F.col("order_id").asc_nulls_last()))
+            # the other columns split an order with very many lines over tasks
+            .orderBy(F.col("order_id").asc_nulls_last(), "title", "qty", "client"))
 
 
 # D1 -------------------------------------------------------------------------

@@ -25,7 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -529,6 +529,15 @@ def refresh_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame
                     F.coalesce(F.col("_t"), F.lit(0)).cast(S.TOTAL).alias("total_amount")))
 
 
+def with_refreshed_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame) -> DataFrame:
+    """All orders; those of ``touched`` with total_amount = Σ qty × price."""
+    t = touched.select("order_id").distinct().withColumn("_touched", F.lit(True))
+    lt = lines_total(order_items.join(t, "order_id", "left_semi"))
+    total = F.when(F.col("_touched"), F.coalesce(F.col("_t"), F.lit(0))).otherwise(F.col("total_amount"))
+    return (orders.join(t, "order_id", "left").join(lt, "order_id", "left")
+            .withColumn("total_amount", total.cast(S.TOTAL)).select(*orders.columns))
+
+
 def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
                     requests: DataFrame) -> Applied:
     """Only open orders accept lines; price captured from the book;
@@ -543,36 +552,45 @@ def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
     new_lines = found.select("order_id", "book_id", F.col("qty").cast("long").alias("qty"), "price")
     items = order_items.select("order_id", "book_id", "qty", "price").unionByName(new_lines)
     touched = refresh_totals(orders, items, new_lines)
-    res = Applied(touched, union_all(rej + [no_book]), new_lines)
+    res = Applied(with_refreshed_totals(orders, items, new_lines), union_all(rej + [no_book]), new_lines)
+    res.touched = touched
     res.order_items = items
     return res
 
 
 def order_remove_items(orders: DataFrame, order_items: DataFrame, requests: DataFrame) -> Applied:
     """Lower the quantity of the order's lines of that book (requests
-    for one line are summed), drop lines at <= 0, refresh totals."""
+    for one line are summed), drop lines at <= 0, refresh totals.  Several
+    lines of one book give up the quantity one after the other, cheapest
+    first (running sum over the order's lines of the book), never each in
+    full."""
     keys = ["order_id", "book_id"]
     req = requests.groupBy("order_id", "book_id").agg(F.sum("qty").alias("_minus"))
     ok, rej = _guard_open(orders, req, keys)
     li = order_items.select("order_id", "book_id", "qty", "price")
     w = flag_present(ok, li, keys, "_line", keys_from=req)
     rej.append(rejected(w.filter(~F.col("_line")), "line not found", keys))
-    j = li.join(ok, keys, "left")
-    new_items = (j.select("order_id", "book_id",
-                          (F.col("qty") - F.coalesce(F.col("_minus"), F.lit(0))).alias("qty"),
-                          "price")
-                 .filter(F.col("qty").isNull() | (F.col("qty") > 0)))
+    hit = li.join(ok.select("order_id", "book_id", "_minus"), keys)
+    before = (Window.partitionBy(*keys).orderBy("price", "qty")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    left_over = F.greatest(F.col("_minus") - F.coalesce(F.sum("qty").over(before), F.lit(0)), F.lit(0))
+    lowered = (hit.withColumn("_take", left_over)
+               .select("order_id", "book_id", (F.col("qty") - F.col("_take")).alias("qty"), "price")
+               .filter(F.col("qty").isNull() | (F.col("qty") > 0)))
+    new_items = li.join(ok.select(*keys).distinct(), keys, "left_anti").unionByName(lowered)
     touched = refresh_totals(orders, new_items, ok)
-    res = Applied(touched, union_all(rej), None)
+    res = Applied(with_refreshed_totals(orders, new_items, ok), union_all(rej), None)
+    res.touched = touched
     res.order_items = new_items
     return res
 
 
 def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: DataFrame,
-             requests: DataFrame, now: Column) -> Applied:
+             order_items: DataFrame, requests: DataFrame, now: Column) -> Applied:
     """I16: resolve the login to its customer, use the lowest open order or
-    open a new one, then add the line with the current price.  The order is
-    opened before the book is looked up (an unknown book still opens it)."""
+    open a new one, then add the line with the current price and refresh the
+    totals.  The order is opened before the book is looked up (an unknown book
+    still opens it).  ``snapshot`` is all orders, ``order_items`` all lines."""
     keys = ["seq", "username"]
     who = (restrict_to(users.select("user_id", "username"), requests, "username")
            .join(customers.select("user_id", "customer_id"), "user_id").drop("user_id"))
@@ -599,8 +617,12 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     new_orders = opened.select(F.col("new_order").alias("order_id"), "customer_id",
                                now.alias("order_date"), F.lit(S.ORDER_NEW).alias("status"),
                                F.lit(0).cast(S.TOTAL).alias("total_amount"))
-    res = Applied(orders.unionByName(new_orders), union_all([not_customer, no_book]), lines)
+    items = (order_items.select("order_id", "book_id", "qty", "price")
+             .unionByName(lines.select("order_id", "book_id", "qty", "price")))
+    res = Applied(with_refreshed_totals(orders.unionByName(new_orders), items, lines),
+                  union_all([not_customer, no_book]), lines)
     res.new_orders = new_orders
+    res.order_items = items
     return res
 
 

@@ -13,8 +13,6 @@ from .requests import as_of
 from .snapshots import (_EDIT_REQ_SQL, _NEW_BOOKS_SQL, add_books_sql, delete_requests,
                         edit_requests, new_book_requests, product_delete_sql, product_edit_sql)
 
-LOG_ACTION = "error"
-LOG_LIMIT = 20
 _COMPARED = ["isbn", "title", "author", "price", "stock", "category", "attributes_json",
              "created_at", "image_url", "discount_percent", "price_after_discount", "is_archived"]
 
@@ -55,13 +53,10 @@ def snapshot_changes(d: Domain):
     return ops.snapshot_changes(d.books, s3, "book_id", _COMPARED)
 
 
-@register("view_logs", f"""
-SELECT * FROM v_audit_log WHERE action = '{LOG_ACTION}'
-ORDER BY ts DESC NULLS LAST, log_id DESC LIMIT {LOG_LIMIT}
-""")
+@register("view_logs", "SELECT * FROM v_audit_log ORDER BY ts DESC NULLS LAST, log_id DESC")
 def view_logs(d: Domain):
-    """Newest audit rows of one action."""
-    return ops.view_logs(d.audit_log, LOG_LIMIT, LOG_ACTION)
+    """The whole audit listing, newest first."""
+    return ops.view_logs(d.audit_log)
 
 
 @register("hash_column", """

@@ -41,7 +41,7 @@ FROM v_books
 """)
 def json_import_typed(d: Domain):
     """A3: export as JSON arrays, import with the typed 11-field schema."""
-    return io.read_books_json(d.spark, _export(d, as_array=True), multiline=True)
+    return io.read_books_json(d.spark, _export(d, as_array=True), multiline=True, one_element_per_line=True)
 
 
 @register("json_import_raw", """
@@ -52,7 +52,7 @@ FROM v_books
 def json_import_raw(d: Domain):
     """A4: import that keeps each whole array element; fields are checked
     against what the kept text contains."""
-    df = io.read_books_json_raw(d.spark, _export(d, as_array=True), arrays=True)
+    df = io.read_books_json_raw(d.spark, _export(d, as_array=True), arrays=True, one_element_per_line=True)
     raw = F.col("attributes_json")
     return df.select(*io.CSV_COLUMNS,
                      F.get_json_object(raw, "$.book_id").cast("long").alias("raw_book_id"),
@@ -94,7 +94,7 @@ def reload_reconcile(d: Domain):
     exported = _export(d, as_array=True)
     emptied = store.truncate(store.read_version(spark, root, 1))   # F10: DELETE FROM books
     store.publish(emptied, root, 2)
-    loaded = io.read_books_json(spark, exported, multiline=True).select(*COMPARE_COLS)
+    loaded = io.read_books_json(spark, exported, multiline=True, one_element_per_line=True).select(*COMPARE_COLS)
     store.publish(store.read_version(spark, root, 2).unionByName(loaded), root, 3)
     before = store.read_version(spark, root, 1)
     after = store.read_version(spark, root, 3)

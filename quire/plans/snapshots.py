@@ -750,7 +750,7 @@ LEFT JOIN (SELECT order_id, sum(qty * price) AS t FROM r_items GROUP BY order_id
 """, extra_ctes=_ADD_ITEMS_SQL)
 def order_add_items(d: Domain):
     """Lines added to open orders only; touched orders with new totals."""
-    return ops.order_add_items(d.orders, d.books, d.order_items, add_item_requests(d)).snapshot
+    return ops.order_add_items(d.orders, d.books, d.order_items, add_item_requests(d)).touched
 
 
 _REMOVE_SQL = f"""
@@ -763,10 +763,16 @@ r_rem_ok AS (
   FROM (SELECT order_id, book_id, sum(qty) AS minus FROM r_rem GROUP BY order_id, book_id) q
   JOIN v_orders o ON q.order_id = o.order_id AND o.status = '{NEW}'
 ),
-r_kept AS (
-  SELECT i.order_id, i.qty - COALESCE(k.minus, 0) AS qty, i.price
+r_upto AS (
+  SELECT i.order_id, i.book_id, i.qty, i.price, k.minus,
+         sum(i.qty) OVER (PARTITION BY i.order_id, i.book_id ORDER BY i.price, i.qty
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM v_order_items i LEFT JOIN r_rem_ok k ON i.order_id = k.order_id AND i.book_id = k.book_id
   WHERE i.order_id IN (SELECT order_id FROM r_rem_ok)
+),
+r_kept AS (
+  -- what all lines up to this one keep together, at most this line's own quantity
+  SELECT order_id, CASE WHEN minus IS NULL THEN qty ELSE least(qty, upto - minus) END AS qty, price FROM r_upto
 )"""
 
 
@@ -785,7 +791,7 @@ LEFT JOIN (SELECT order_id, sum(qty * price) AS t FROM r_kept WHERE qty IS NULL
 """, extra_ctes=_REMOVE_SQL)
 def order_remove_items(d: Domain):
     """Quantities lowered, empty lines dropped, totals refreshed."""
-    return ops.order_remove_items(d.orders, d.order_items, remove_item_requests(d)).snapshot
+    return ops.order_remove_items(d.orders, d.order_items, remove_item_requests(d)).touched
 
 
 _BUY_SQL = f"""
@@ -833,7 +839,7 @@ JOIN v_books b ON r.book_id = b.book_id
 """, extra_ctes=_BUY_SQL)
 def buy_auto(d: Domain):
     """I16: login → open order or a new one → line with the current price."""
-    return ops.buy_auto(d.users, d.customers, d.orders, d.books, buy_requests(d), as_of()).added
+    return ops.buy_auto(d.users, d.customers, d.orders, d.books, d.order_items, buy_requests(d), as_of()).added
 
 
 # ---------------------------------------------------------------------------

@@ -83,16 +83,17 @@ def export_objects(books: DataFrame) -> DataFrame:
 
 
 def export_books_json(books: DataFrame, path: str, as_array: bool = False,
-                      max_records_per_file: int = 1_000_000) -> None:
+                      max_records_per_file: int | None = None) -> None:
     """Write the export.  ``as_array`` wraps each part file in ``[`` ... ``]``
-    with ``,`` lines between objects (the application's layout)."""
+    with ``,`` lines between objects (the application's layout); such a file is
+    one partition, so a limit of records per file is refused."""
+    if as_array and max_records_per_file is not None:
+        raise ValueError("as_array writes one array per partition: repartition instead of max_records_per_file")
     lines = export_objects(books)
     if as_array:
         lines = lines.mapInPandas(_wrap_array, "value string")
-        # one array per part file: do not let the writer split a partition
-        max_records_per_file = 0
-    (lines.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
-     .text(path))
+    limit = 0 if as_array else 1_000_000 if max_records_per_file is None else max_records_per_file
+    lines.write.mode("errorifexists").option("maxRecordsPerFile", limit).text(path)
 
 
 def _wrap_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,16 +119,14 @@ def _wrap_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 # JSON import (A3 typed, A4 raw-keeping)
 # ---------------------------------------------------------------------------
 def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
-                    one_element_per_line: bool = True) -> DataFrame:
+                    one_element_per_line: bool = False) -> DataFrame:
     """Typed import: explicit schema, created_at text to timestamp (seconds
     precision, as exported).  JSON Lines split freely.  ``multiline`` reads
-    JSON-array files: in the application's layout (one element per line)
-    they are parsed line by line, so they split too; other arrays
-    (``one_element_per_line=False``) go through the multi-line reader, one
-    task per file."""
+    JSON-array files of any layout, one task per file.  Large exports in the
+    application's layout can be read with ``one_element_per_line=True``: line
+    by line, so they split; any other line stops the job."""
     if multiline and one_element_per_line:
-        line = F.regexp_replace(F.trim(F.col("value")), r",$", "")
-        df = (spark.read.text(path).select(line.alias("raw")).filter(F.col("raw").startswith("{"))
+        df = (_element_lines(spark, path)
               .select(F.from_json("raw", IMPORT_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"))
               .select("r.*"))
     else:
@@ -141,27 +140,33 @@ def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
         "discount_percent", "price_after_discount")
 
 
+def _element_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Elements of arrays written one per line; a line that is neither an
+    element nor ``[``, ``]``, ``,`` or blank raises an error."""
+    line = F.regexp_replace(F.trim(F.col("value")), r",$", "")
+    whole = F.col("raw").startswith("{") & F.col("raw").endswith("}")
+    wrong = F.raise_error(F.concat(F.lit("not one element per line: "), F.substring("raw", 1, 80))).cast("boolean")
+    return (spark.read.text(path).select(line.alias("raw"))
+            .filter(F.when(whole, F.lit(True)).when(F.col("raw").isin("[", "]", ""), F.lit(False)).otherwise(wrong)))
+
+
 def read_books_json_raw(spark: SparkSession, path: str, arrays: bool = False,
-                        one_element_per_line: bool = True) -> DataFrame:
+                        one_element_per_line: bool = False) -> DataFrame:
     """Raw-keeping import: six typed fields plus ``attributes_json`` = the
     whole element text.
 
-    JSON Lines, and JSON arrays in the application's layout (``[``, ``,``
-    and ``]`` on lines of their own, one element per line), are read as text
-    lines: the files split like any text file and no file is held whole.
-    Other arrays (elements spread over several lines) need
-    ``one_element_per_line=False``: each file is then read whole, one task
-    per file, and split into its elements."""
+    JSON Lines are read as text lines: the files split like any text file.
+    ``arrays`` reads JSON arrays of any layout: each file is read whole, one
+    task per file, and split into its elements, so a file must fit a task's
+    memory.  ``one_element_per_line=True`` reads arrays in the application's
+    layout (``[``, ``,`` and ``]`` on lines of their own) line by line; any
+    other line stops the job."""
     if arrays and not one_element_per_line:
         files = spark.read.text(path, wholetext=True)
         elems = files.select(F.explode(F.from_json("value", "array<string>")).alias("raw"))
     else:
-        line = F.trim(F.col("value"))
-        if arrays:
-            line = F.regexp_replace(line, r",$", "")        # tolerate "{...}," lines
-            elems = spark.read.text(path).select(line.alias("raw")).filter(F.col("raw").startswith("{"))
-        else:
-            elems = spark.read.text(path).select(line.alias("raw")).filter(F.col("raw") != "")
+        elems = (_element_lines(spark, path) if arrays else
+                 spark.read.text(path).select(F.trim(F.col("value")).alias("raw")).filter(F.col("raw") != ""))
     parsed = F.from_json("raw", RAW_FIELDS_SCHEMA)
     out = elems.select(parsed.alias("f"), "raw").select("f.*", F.col("raw").alias("attributes_json"))
     return _empty_text_as_null(out, ["isbn", "title", "author", "category"])

@@ -59,7 +59,7 @@ def basic_catalog(ids: DataFrame, seed: int = 42, isbn_digits: int = 6) -> DataF
     pages = F.round(between(i, seed, 3, 100, 1000)).cast("long")
     return ids.select(
         i.cast("long").alias("book_id"),
-        F.concat(F.lit(BASIC_ISBN_PREFIX), F.lpad(i.cast("string"), isbn_digits, "0")).alias("isbn"),
+        F.concat(F.lit(BASIC_ISBN_PREFIX), F.lpad(i.cast("string"), F.greatest(F.lit(isbn_digits), F.length(i.cast("string"))), F.lit("0"))).alias("isbn"),
         F.concat(F.lit("Book Title "), i.cast("string")).alias("title"),
         F.concat(F.lit("Author "), (i % 100).cast("string")).alias("author"),
         F.round(between(i, seed, 1, 100, 1000), 2).cast(S.PRICE).alias("price"),
@@ -85,7 +85,7 @@ def words_catalog(ids: DataFrame, seed: int = 42) -> DataFrame:
     return ids.select(
         i.cast("long").alias("book_id"),
         F.concat(F.lit(WORDS_ISBN_PREFIX), F.lpad(block.cast("string"), 2, " "), F.lit("-"),
-                 F.lpad(i.cast("string"), 6, "0")).alias("isbn"),
+                 F.lpad(i.cast("string"), F.greatest(F.lit(6), F.length(i.cast("string"))), F.lit("0"))).alias("isbn"),
         title.alias("title"), author.alias("author"), price.alias("price"),
         F.round(between(i, seed, 18, 0, 100)).cast("long").alias("stock"),
         pick(CATEGORIES, i, seed, 19).alias("category"),

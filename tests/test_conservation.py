@@ -62,7 +62,7 @@ def test_cart_and_buy_conserve_requests(d):
     cart = ops.add_to_cart(d.books, req)
     assert n(cart.added) + n(cart.rejects) == n(req)
     buy = P.buy_requests(d)
-    res = ops.buy_auto(d.users, d.customers, d.orders, d.books, buy, R.as_of())
+    res = ops.buy_auto(d.users, d.customers, d.orders, d.books, d.order_items, buy, R.as_of())
     assert n(res.added) + n(res.rejects) == n(buy)
     # every new order id is unique and above the current maximum
     new = res.new_orders

@@ -80,6 +80,20 @@ def test_empty_array_and_malformed_element(spark, fresh):
     assert got == {(1, Decimal("5.00")), (None, Decimal("7.00"))}   # bad field → NULL, row kept
 
 
+def test_arrays_of_any_layout(spark, fresh):
+    d = fresh("json-layouts")
+    with open(os.path.join(d, "compact.json"), "w") as f:
+        f.write('[{"book_id": 1, "price": 5}, {"book_id": 2, "price": 6}]')
+    with open(os.path.join(d, "pretty.json"), "w") as f:
+        f.write('[\n  {\n    "book_id": 3,\n    "price": 7\n  },\n  {\n    "book_id": 4\n  }\n]\n')
+    assert {r.book_id for r in io.read_books_json(spark, d, multiline=True).collect()} == {1, 2, 3, 4}
+    raw = io.read_books_json_raw(spark, d, arrays=True).collect()
+    assert len(raw) == 4 and all('"book_id"' in r.attributes_json for r in raw)
+    # the line mode refuses what it does not understand
+    with pytest.raises(Exception, match="not one element per line"):
+        io.read_books_json(spark, d, multiline=True, one_element_per_line=True).collect()
+
+
 def test_truncate_then_reload_counts(spark):
     books = _books(spark, [(i, f"i{i}", f"T{i}", "A", Decimal("1.00"), 1, "C", None, None, None,
                             None, None, 0) for i in range(5)])

@@ -173,7 +173,9 @@ def test_paid_order_unchanged_by_add_items(spark, orders, books, items):
     req = spark.createDataFrame([(1, 101, 2, 1), (2, 100, 2, 3), (3, 999, 2, 1)],
                                 "seq long, order_id long, book_id long, qty long")
     res = ops.order_add_items(orders, books, items, req)
-    assert {r.order_id: r.total_amount for r in res.snapshot.collect()} == {100: D("700.00")}
+    assert {r.order_id: r.total_amount for r in res.touched.collect()} == {100: D("700.00")}
+    # the snapshot is the whole table
+    assert res.snapshot.columns == orders.columns and res.snapshot.count() == orders.count()
     assert {r.seq: r.reason for r in res.rejects.collect()} == \
         {1: "order not open", 3: "order not found"}
 
@@ -182,21 +184,33 @@ def test_remove_items_drops_empty_lines(spark, orders, items):
     req = spark.createDataFrame([(100, 3, 1), (100, 3, 1)], "order_id long, book_id long, qty long")
     res = ops.order_remove_items(orders, items, req)
     assert res.order_items.filter("order_id = 100").count() == 0
-    assert res.snapshot.first().total_amount == D("0.00")
+    assert res.touched.first().total_amount == D("0.00")
+    assert res.snapshot.count() == orders.count()
 
 
-def test_buy_auto_uses_lowest_open_order_or_opens_one(spark, users, customers, orders, books):
+def test_remove_items_takes_the_quantity_once(spark, orders):
+    lines = spark.createDataFrame([(100, 3, 5, D("10.00")), (100, 3, 4, D("10.00")), (100, 4, 1, D("2.00"))],
+                                  "order_id long, book_id long, qty long, price decimal(10,2)")
+    req = spark.createDataFrame([(100, 3, 6)], "order_id long, book_id long, qty long")
+    res = ops.order_remove_items(orders, lines, req)
+    left = sorted((r.book_id, r.qty) for r in res.order_items.collect())
+    assert left == [(3, 3), (4, 1)] and res.touched.first().total_amount == D("32.00")
+
+
+def test_buy_auto_uses_lowest_open_order_or_opens_one(spark, users, customers, orders, books, items):
     req = spark.createDataFrame([(1, "ivan", 1, 1), (2, "anna", 1, 1), (3, "ivan", 99, 1)],
                                 "seq long, username string, book_id long, qty long")
-    res = ops.buy_auto(users, customers, orders, books, req, now())
+    res = ops.buy_auto(users, customers, orders, books, items, req, now())
     lines = res.added.collect()
     assert [(r.username, r.order_id, r.new_order) for r in lines] == [("ivan", 100, False)]
     assert reasons(res.rejects) == {"anna": "not a customer", "ivan": "book not found"}
 
     none_open = orders.filter(F.col("status") != S.ORDER_NEW)
-    res2 = ops.buy_auto(users, customers, none_open, books, req.limit(1), now())
+    res2 = ops.buy_auto(users, customers, none_open, books, items, req.limit(1), now())
     r = res2.added.first()
     assert (r.order_id, r.new_order) == (102, True)
+    totals = {x.order_id: x.total_amount for x in res2.snapshot.collect()}
+    assert totals[102] == r.qty * r.price and res2.order_items.count() == items.count() + 1
 
 
 def test_toggle_status_audit_json(spark, users, customers):
@@ -277,7 +291,7 @@ def test_legacy_new_status_counts_as_open(spark, books, items):
     req = spark.createDataFrame([(1, 200, 1, 1), (2, 201, 1, 1)],
                                 "seq long, order_id long, book_id long, qty long")
     res = ops.order_add_items(orders, books, items, req)
-    assert [r.order_id for r in res.snapshot.collect()] == [200]
+    assert [r.order_id for r in res.touched.collect()] == [200]
     assert {r.seq: r.reason for r in res.rejects.collect()} == {2: "order not open"}
 
 
