@@ -1,10 +1,8 @@
 """Users, roles and customer profiles: lookups, joins, visibility rules and
 login matching (B6–B8, B11, C3–C9, I6, I7, I25).
 
-All lookups are batch joins of a request table against the snapshot.  The
-role dimension is the only side broadcast by hint: it has one row per role.
-Other dimensions are left to AQE, which broadcasts only below its measured
-size threshold.
+All lookups are batch joins of a request table against the snapshot.  No side
+is broadcast by hint; AQE broadcasts only below its measured size threshold.
 """
 
 from __future__ import annotations
@@ -17,15 +15,32 @@ from ..functions.joins import restrict_to
 from ..functions.text import equals_ci, is_open_order, password_hash
 
 
+REPEATS_PER_ARRAY = 4096
+
+
 def first_by_seq(requests: DataFrame, key: str | list[str], seq: str = "seq") -> tuple[DataFrame, DataFrame]:
-    """Split requests into the first per key (lowest seq) and the later
-    duplicates.  The lowest seq per key is an aggregate joined back on
-    (key, seq): no window, so a key repeated a million times costs a
-    map-side reduced aggregate, not one task holding all its rows."""
+    """Split requests into the first per key and the others.
+
+    Exactly one row per key wins: the lowest ``seq``, a NULL ``seq`` after all
+    numbers, ties by the remaining columns.  Rows that are equal in every column
+    count as one winner and n - 1 losers.  Both steps are map-side reduced
+    aggregates without a window, so a key repeated a million times costs no
+    task all its rows; repeats come back in short arrays."""
     keys = [key] if isinstance(key, str) else list(key)
-    firsts = requests.groupBy(*keys).agg(F.min(seq).alias(seq))
-    winners = requests.join(firsts, keys + [seq], "left_semi")
-    losers = requests.join(firsts, keys + [seq], "left_anti")
+    cols = requests.columns
+    rank = F.struct(F.col(seq).isNull().alias("no_seq"), F.col(seq),
+                    *[F.col(c) for c in cols if c != seq and c not in keys])
+    tally = requests.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = tally.groupBy(*keys).agg(F.min(rank).alias("_first"))
+    winners = firsts.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in cols])
+    rest = (tally.join(firsts, keys)
+            .withColumn("_n", F.col("_n") - F.when(rank.eqNullSafe(F.col("_first")), 1).otherwise(0))
+            .filter(F.col("_n") > 0).select(*cols, "_n"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {REPEATS_PER_ARRAY}")))
+    losers = (rest.withColumn("_chunk", chunk)
+              .withColumn("_copy", F.explode(F.expr(
+                  f"sequence(1L, least({REPEATS_PER_ARRAY}L, _n - _chunk * {REPEATS_PER_ARRAY}L))")))
+              .select(*cols))
     return winners, losers
 
 
@@ -93,6 +108,12 @@ def user_profile_left(users: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 # C7 --------------------------------------------------------------------------
+def resolve_role_ci(requests: DataFrame, roles: DataFrame) -> DataFrame:
+    """UPPER(role_name) = UPPER(asked name); unresolved names keep NULL."""
+    r = roles_dim(roles).select(F.upper("role_name").alias("_k"), "role_id")
+    return (requests.withColumn("_k", F.upper("role_name")).join(r, "_k", "left").drop("_k"))
+
+
 def resolve_role(requests: DataFrame, roles: DataFrame) -> DataFrame:
     """Role name → role_id; unresolved names keep role_id NULL."""
     return (requests.join(roles_dim(roles), "role_name", "left")

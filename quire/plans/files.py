@@ -109,27 +109,59 @@ def _gen_ids(d: Domain):
     return d.raw("part").select((F.col("p_partkey") + 1).alias("i"))
 
 
-@register("gen_catalog_basic", """
-SELECT p_partkey + 1 AS book_id,
-       '978-3-' || lpad(CAST(p_partkey + 1 AS VARCHAR), 6, '0') AS isbn,
-       'Book Title ' || CAST(p_partkey + 1 AS VARCHAR) AS title,
-       'Author ' || CAST((p_partkey + 1) % 100 AS VARCHAR) AS author,
-       'Category ' || CAST((p_partkey + 1) % 10 AS VARCHAR) AS category,
-       true AS price_ok, true AS stock_ok, true AS pages_ok
-FROM part
-""")
-def gen_catalog_basic(d: Domain):
-    """Basic generator; deterministic columns compared exactly, the
-    hashed ones by their ranges."""
-    g = gen.basic_catalog(_gen_ids(d))
-    pages = F.get_json_object("attributes_json", "$.pages").cast("long")
-    return g.select("book_id", "isbn", "title", "author", "category",
-                    F.col("price").between(100, 1000).alias("price_ok"),
-                    F.col("stock").between(0, 50).alias("stock_ok"),
-                    pages.between(100, 1000).alias("pages_ok"))
+SEED = 42
+
+
+def _hash_sql(salt: int) -> str:
+    return f"CAST('0x' || substr(md5('{SEED}:' || CAST(i AS VARCHAR) || ':{salt}'), 1, 8) AS BIGINT)"
+
+
+def _between_sql(salt: int, lo: int, hi: int, scale: int = 1, nearest: bool = True) -> str:
+    """floor((lo + (hi - lo) * hash / 2^32) * scale + 1/2) in whole numbers."""
+    half = 2147483648 if nearest else 0
+    return f"(({lo * scale} * 4294967296 + {(hi - lo) * scale} * {_hash_sql(salt)} + {half}) // 4294967296)"
+
 
+def _pick_sql(words: list[str], salt: int) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + f"][1 + {_hash_sql(salt)} % {len(words)}]"
 
-@register("gen_catalog_words", None)
+
+_PADDED_SQL = "lpad(CAST(i AS VARCHAR), CAST(greatest(6, length(CAST(i AS VARCHAR))) AS INTEGER), '0')"
+
+
+@register("gen_catalog_basic", f"""
+SELECT i AS book_id, '978-3-' || {_PADDED_SQL} AS isbn,
+       'Book Title ' || CAST(i AS VARCHAR) AS title,
+       'Author ' || CAST(i % 100 AS VARCHAR) AS author,
+       CAST(CAST({_between_sql(1, 100, 1000, 100)} AS DECIMAL(12,0)) * 0.01 AS DECIMAL(10,2)) AS price,
+       {_between_sql(2, 0, 50)} AS stock,
+       'Category ' || CAST(i % 10 AS VARCHAR) AS category,
+       '{{"pages": ' || CAST({_between_sql(3, 100, 1000)} AS VARCHAR) || ', "format":"paperback"}}' AS attributes_json
+FROM (SELECT p_partkey + 1 AS i FROM part)
+""")
+def gen_catalog_basic(d: Domain):
+    """Basic generator, every column compared."""
+    return gen.basic_catalog(_gen_ids(d), SEED)
+
+
+@register("gen_catalog_words", f"""
+SELECT book_id, isbn, title, author, price, stock, category, attributes_json,
+       '{gen.IMAGE_URL_PREFIX}' || replace(title, ' ', '+') AS image_url, discount_percent,
+       CAST(price * (100 - discount_percent) * 0.01 AS DECIMAL(10,2)) AS price_after_discount
+FROM (
+  SELECT i AS book_id,
+         '978-0-' || CAST({_between_sql(16, 10, 99, nearest=False)} AS VARCHAR) || '-' || {_PADDED_SQL} AS isbn,
+         {_pick_sql(gen.ADJECTIVES, 11)} || ' ' || {_pick_sql(gen.NOUNS, 12)} || ' '
+           || {_pick_sql(gen.SUFFIXES, 13)} AS title,
+         {_pick_sql(gen.FIRST_NAMES, 14)} || ' ' || {_pick_sql(gen.LAST_NAMES, 15)} AS author,
+         CAST({_between_sql(17, 300, 3000)} AS DECIMAL(10,2)) AS price,
+         {_between_sql(18, 0, 100)} AS stock,
+         {_pick_sql(gen.CATEGORIES, 19)} AS category,
+         '{{"pages": ' || CAST({_between_sql(21, 100, 900)} AS VARCHAR) || '}}' AS attributes_json,
+         CAST({_between_sql(20, 0, 30)} AS DECIMAL(5,2)) AS discount_percent
+  FROM (SELECT p_partkey + 1 AS i FROM part)
+) g
+""")
 def gen_catalog_words(d: Domain):
-    """Word-list generator (random-looking columns: property-tested)."""
-    return gen.words_catalog(_gen_ids(d))
+    """Word-list generator, every column compared."""
+    return gen.words_catalog(_gen_ids(d), SEED)

@@ -4,8 +4,8 @@ Rows come from a DataFrame of sequence numbers ``i`` (for example one per
 input part row), so generation is as parallel as its input.  "Random"
 columns are a hash of (seed, i, column), hence the same on every run and
 under any partitioning: a task retried after an executor loss produces the
-same rows.  Uniform picks use ``1 + pmod(hash, n)`` (every word equally
-likely).
+same rows.  Uniform picks use ``1 + pmod(hash, n)`` (every word equally likely
+but for n / 2^32).
 """
 
 from __future__ import annotations
@@ -33,37 +33,51 @@ IMAGE_URL_PREFIX = "https://dummyimage.com/400x600/000/fff&text="
 BASIC_ISBN_PREFIX = "978-3-"
 WORDS_ISBN_PREFIX = "978-0-"
 
-_HASH_RANGE = 1 << 30
+HASH_BITS = 32
 
 
-def uniform(i: Column, seed: int, salt: int) -> Column:
-    """Deterministic value in [0, 1) from (seed, i, salt)."""
-    return F.pmod(F.xxhash64(F.lit(seed), i, F.lit(salt)), F.lit(_HASH_RANGE)) / F.lit(float(_HASH_RANGE))
+def hashed(i: Column, seed: int, salt: int) -> Column:
+    """Whole number below 2^32 from (seed, i, salt): the first eight hex digits
+    of an MD5, which other engines compute alike."""
+    text = F.concat_ws(":", F.lit(str(seed)), i.cast("string"), F.lit(str(salt)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def between(i: Column, seed: int, salt: int, lo: float, hi: float) -> Column:
-    return F.lit(lo) + F.lit(hi - lo) * uniform(i, seed, salt)
+def between(i: Column, seed: int, salt: int, lo: int, hi: int, scale: int = 1,
+            nearest: bool = True) -> Column:
+    """Uniform value in [lo, hi] in units of 1/scale, rounded to the nearest
+    unit or cut down to one; whole-number arithmetic, hence exact."""
+    exact = F.lit(lo * scale << HASH_BITS) + F.lit((hi - lo) * scale) * hashed(i, seed, salt)
+    half = (1 << HASH_BITS - 1) if nearest else 0
+    return F.shiftright(exact + F.lit(half), HASH_BITS)
 
 
 def pick(words: list[str], i: Column, seed: int, salt: int) -> Column:
-    k = F.pmod(F.xxhash64(F.lit(seed), i, F.lit(salt)), F.lit(len(words))) + 1
+    k = F.pmod(hashed(i, seed, salt), F.lit(len(words))) + 1
     return F.element_at(F.array(*[F.lit(w) for w in words]), k.cast("int"))
 
 
-def basic_catalog(ids: DataFrame, seed: int = 42, isbn_digits: int = 6) -> DataFrame:
-    """Isbn '978-3-' + zero-padded i (``isbn_digits`` wide; LPAD
-    truncates, so 5 digits make i = 10000 and 100000 collide), 'Book Title i',
-    'Author i%100', 'Category i%10', price 100–1000 (cents), stock 0–50,
-    pages 100–1000."""
+def padded(i: Column, digits: int = 6) -> Column:
+    """Zero-padded; numbers longer than the pad are kept whole."""
+    t = i.cast("string")
+    return F.lpad(t, F.greatest(F.lit(digits), F.length(t)), F.lit("0"))
+
+
+def basic_catalog(ids: DataFrame, seed: int = 42, cut_isbn_digits: int | None = None) -> DataFrame:
+    """Isbn '978-3-' + zero-padded i, 'Book Title i', 'Author i%100',
+    'Category i%10', price 100–1000 (cents), stock 0–50, pages 100–1000.
+    ``cut_isbn_digits=5`` gives the application's fixed width instead, where
+    LPAD truncates and i = 10000 and 100000 collide."""
     i = F.col("i")
-    pages = F.round(between(i, seed, 3, 100, 1000)).cast("long")
+    pages = between(i, seed, 3, 100, 1000)
+    number = padded(i) if cut_isbn_digits is None else F.lpad(i.cast("string"), cut_isbn_digits, "0")
     return ids.select(
         i.cast("long").alias("book_id"),
-        F.concat(F.lit(BASIC_ISBN_PREFIX), F.lpad(i.cast("string"), isbn_digits, "0")).alias("isbn"),
+        F.concat(F.lit(BASIC_ISBN_PREFIX), number).alias("isbn"),
         F.concat(F.lit("Book Title "), i.cast("string")).alias("title"),
         F.concat(F.lit("Author "), (i % 100).cast("string")).alias("author"),
-        F.round(between(i, seed, 1, 100, 1000), 2).cast(S.PRICE).alias("price"),
-        F.round(between(i, seed, 2, 0, 50)).cast("long").alias("stock"),
+        (between(i, seed, 1, 100, 1000, scale=100).cast("decimal(12,0)") / 100).cast(S.PRICE).alias("price"),
+        between(i, seed, 2, 0, 50).alias("stock"),
         F.concat(F.lit("Category "), (i % 10).cast("string")).alias("category"),
         F.concat(F.lit('{"pages": '), pages.cast("string"), F.lit(', "format":"paperback"}'))
          .alias("attributes_json"),
@@ -79,18 +93,17 @@ def words_catalog(ids: DataFrame, seed: int = 42) -> DataFrame:
     title = F.concat_ws(" ", pick(ADJECTIVES, i, seed, 11), pick(NOUNS, i, seed, 12),
                         pick(SUFFIXES, i, seed, 13))
     author = F.concat_ws(" ", pick(FIRST_NAMES, i, seed, 14), pick(LAST_NAMES, i, seed, 15))
-    block = F.floor(between(i, seed, 16, 10, 99)).cast("int")   # TRUNC(VALUE(10,99)): 10..98
-    price = F.round(between(i, seed, 17, 300, 3000)).cast(S.PRICE)
-    discount = F.round(between(i, seed, 20, 0, 30)).cast(S.DISCOUNT)
+    block = between(i, seed, 16, 10, 99, nearest=False)   # TRUNC(VALUE(10,99)): 10..98
+    price = between(i, seed, 17, 300, 3000).cast(S.PRICE)
+    discount = between(i, seed, 20, 0, 30).cast(S.DISCOUNT)
     return ids.select(
         i.cast("long").alias("book_id"),
         F.concat(F.lit(WORDS_ISBN_PREFIX), F.lpad(block.cast("string"), 2, " "), F.lit("-"),
-                 F.lpad(i.cast("string"), F.greatest(F.lit(6), F.length(i.cast("string"))), F.lit("0"))).alias("isbn"),
+                 padded(i)).alias("isbn"),
         title.alias("title"), author.alias("author"), price.alias("price"),
-        F.round(between(i, seed, 18, 0, 100)).cast("long").alias("stock"),
+        between(i, seed, 18, 0, 100).alias("stock"),
         pick(CATEGORIES, i, seed, 19).alias("category"),
-        F.concat(F.lit('{"pages": '), F.round(between(i, seed, 21, 100, 900)).cast("long")
-                 .cast("string"), F.lit("}")).alias("attributes_json"),
+        F.concat(F.lit('{"pages": '), between(i, seed, 21, 100, 900).cast("string"), F.lit("}")).alias("attributes_json"),
         F.concat(F.lit(IMAGE_URL_PREFIX), F.replace(title, F.lit(" "), F.lit("+"))).alias("image_url"),
         discount.alias("discount_percent"),
         (price * (F.lit(100) - discount) * F.lit(0.01).cast("decimal(2,2)")).cast(S.PRICE)

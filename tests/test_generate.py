@@ -41,9 +41,11 @@ def test_basic_catalog_ranges_and_isbn_collision(spark):
     rows = gen.basic_catalog(ids(spark, 2000, 3)).collect()
     assert all(100 <= r.price <= 1000 and 0 <= r.stock <= 50 for r in rows)
     assert rows[0].isbn == "978-3-000001" and rows[0].author == "Author 1"
-    five = gen.basic_catalog(spark.createDataFrame([(10000,), (100000,)], "i long"), isbn_digits=5)
+    five = gen.basic_catalog(spark.createDataFrame([(10000,), (100000,)], "i long"), cut_isbn_digits=5)
     isbns = [r.isbn for r in five.collect()]
     assert isbns[0] == isbns[1] == "978-3-10000"
+    wide = gen.basic_catalog(spark.createDataFrame([(100000,), (1000000,)], "i long")).collect()
+    assert [r.isbn for r in wide] == ["978-3-100000", "978-3-1000000"]
 
 
 def test_generated_catalogue_is_published_by_category(spark):

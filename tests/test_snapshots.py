@@ -71,6 +71,26 @@ def test_first_by_seq_keeps_lowest(spark):
     assert [r.seq for r in l.collect()] == [2]
 
 
+def test_first_by_seq_one_winner_per_key(spark):
+    rows = [(1, "a", 5), (1, "a", 4), (1, "a", 4), (None, "b", 1), (None, "c", 1), (7, "c", 2)]
+    rows += [(3, "d", 0)] * 9000                       # repeats come back in several arrays
+    req = spark.createDataFrame(rows, "seq long, k string, v int")
+    w, l = first_by_seq(req, "k")
+    won, lost = [tuple(r) for r in w.collect()], [tuple(r) for r in l.collect()]
+    assert sorted(won, key=str) == sorted([(1, "a", 4), (None, "b", 1), (7, "c", 2), (3, "d", 0)], key=str)
+    assert sorted(won + lost, key=str) == sorted(rows, key=str)
+
+
+def test_update_with_tied_requests_keeps_the_row_count(spark):
+    books = spark.range(10).select(F.col("id").alias("book_id"), F.lit(D("1.00")).cast(S.PRICE).alias("price"),
+                                   F.lit(1).cast("long").alias("stock"))
+    req = spark.createDataFrame([(1, 3, D("2.00"), 5), (1, 3, D("3.00"), 6), (None, 4, D("4.00"), 7)],
+                                "seq long, book_id long, price decimal(10,2), stock long")
+    res = ops.update_books(books, req)
+    assert res.snapshot.count() == 10 and res.rejects.count() == 1
+    assert {r.book_id: r.stock for r in res.snapshot.collect() if r.stock > 1} == {3: 5, 4: 7}
+
+
 def test_add_users_rejects_and_ids(spark, users, roles):
     req = spark.createDataFrame(
         [(1, "new1", "h", "Customer"), (2, "new1", "h", "Seller"), (3, "ivan", "h", "Customer"),
