@@ -38,7 +38,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "scan_books": ("price", "discount_percent", "price_after_discount"),
     "browse_catalog": ("price",), "search_author": ("price",), "search_category": ("price",),
     "filter_author": ("price", "discount_percent", "price_after_discount"),
-    "search_books": ("price",), "orders_of_customer": ("total_amount",),
+    "search_books": ("price",), "search_books_all": ("price",), "search_books_keyword": ("price",),
+    "orders_of_customer": ("total_amount",),
     "add_books": ("price", "discount_percent", "price_after_discount"),
     "product_add_validated": ("price", "discount_percent", "price_after_discount"),
     "update_books": ("price", "discount_percent", "price_after_discount"),

@@ -11,6 +11,7 @@ from . import register
 from . import requests as R
 
 CHECK_STATUS = S.STATUS_BLOCKED
+CHECK_NAME = "staff FRANCE"
 
 
 @register("orders_of_customer", f"""
@@ -155,6 +156,36 @@ def check_accounts(d: Domain):
     return ops.check_accounts(d.users, d.roles, status=CHECK_STATUS)
 
 
+@register("check_account_by_name", f"""
+SELECT u.user_id, u.username, ro.role_name, u.status
+FROM v_users u LEFT JOIN v_roles ro ON u.role_id = ro.role_id
+WHERE lower(u.username) = lower('{CHECK_NAME}')
+""")
+def check_account_by_name(d: Domain):
+    """Accounts of one username, in any case."""
+    return ops.check_accounts(d.users, d.roles, username=CHECK_NAME)
+
+
+@register("check_account_by_name_status", f"""
+SELECT u.user_id, u.username, ro.role_name, u.status
+FROM v_users u LEFT JOIN v_roles ro ON u.role_id = ro.role_id
+WHERE lower(u.username) = lower('{CHECK_NAME}') AND u.status = '{S.STATUS_ACTIVE}'
+""")
+def check_account_by_name_status(d: Domain):
+    """Both filters."""
+    return ops.check_accounts(d.users, d.roles, username=CHECK_NAME, status=S.STATUS_ACTIVE)
+
+
+@register("resolve_role_ci", """
+SELECT r.seq, r.username, lower(r.role_name) AS role_name, ro.role_id
+FROM r_signups r LEFT JOIN v_roles ro ON upper(r.role_name) = upper(ro.role_name)
+""", extra_ctes=R.USER_SIGNUPS_SQL)
+def resolve_role_ci(d: Domain):
+    """Role name to role id in any case; the requests send lower case."""
+    req = R.user_signups(d).select("seq", "username", F.lower("role_name").alias("role_name"))
+    return ops.resolve_role_ci(req, d.roles).select("seq", "username", "role_name", "role_id")
+
+
 @register("users_report", """
 SELECT u.user_id, u.username, ro.role_name, u.status, c.customer_id, c.full_name, c.email, c.phone
 FROM v_users u JOIN v_roles ro ON u.role_id = ro.role_id

@@ -77,3 +77,21 @@ WHERE COALESCE(is_archived, 0) <> 1
 def search_books(d: Domain):
     """Optional keyword / category / max price, archived excluded."""
     return ops.search_books(d.books, SEARCH_KEYWORD, SEARCH_CATEGORY, SEARCH_MAX_PRICE)
+
+
+@register("search_books_all", f"""
+SELECT {_SEARCH_COLS} FROM v_books WHERE COALESCE(is_archived, 0) <> 1
+""")
+def search_books_all(d: Domain):
+    """I5 without arguments: every book that is not archived."""
+    return ops.search_books(d.books)
+
+
+@register("search_books_keyword", f"""
+SELECT {_SEARCH_COLS} FROM v_books
+WHERE COALESCE(is_archived, 0) <> 1
+  AND (lower(title) LIKE '%{SEARCH_KEYWORD}%' OR lower(author) LIKE '%{SEARCH_KEYWORD}%')
+""")
+def search_books_keyword(d: Domain):
+    """I5 by keyword alone."""
+    return ops.search_books(d.books, SEARCH_KEYWORD)

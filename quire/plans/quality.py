@@ -14,31 +14,57 @@ JUNK_PER_SIZE = 9        # incoming titles get p_size × 9 filler characters
 BAD_JSON_EVERY = 7       # sizes divisible by this arrive with a cut-off JSON text
 
 
+# A staged load with dangling references, all derived from the tables: blocked users ask for a role that
+# does not exist, profiles of blocked customers, paid orders and lines of one quantity each point at keys
+# beyond the parent's.
+UNKNOWN_SHIFT = 1_000_000_000_000
+BAD_ORDER_QTY, BAD_BOOK_QTY = 49, 50
+
+_STAGED_SQL = f"""
+s_users AS (SELECT user_id, CASE WHEN status = '{S.STATUS_BLOCKED}' THEN role_id + {UNKNOWN_SHIFT}
+                                 ELSE role_id END AS role_id FROM v_users),
+s_customers AS (SELECT customer_id, CASE WHEN status = '{S.STATUS_BLOCKED}' THEN user_id + {UNKNOWN_SHIFT}
+                                         ELSE user_id END AS user_id FROM v_customers),
+s_orders AS (SELECT order_id, CASE WHEN status = '{S.ORDER_PAID}' THEN customer_id + {UNKNOWN_SHIFT}
+                                   ELSE customer_id END AS customer_id FROM v_orders),
+s_items AS (SELECT CASE WHEN qty = {BAD_ORDER_QTY} THEN order_id + {UNKNOWN_SHIFT} ELSE order_id END AS order_id,
+                   CASE WHEN qty = {BAD_BOOK_QTY} THEN book_id + {UNKNOWN_SHIFT} ELSE book_id END AS book_id
+            FROM v_order_items)"""
+
+
+def _shifted(df, col: str, bad):
+    return df.withColumn(col, F.when(bad, F.col(col) + UNKNOWN_SHIFT).otherwise(F.col(col)))
+
+
 @register("fk_violations", """
-SELECT 'users.role_id->roles' AS fk_name, role_id AS key, count(*) AS n_rows FROM v_users x
+SELECT 'users.role_id->roles' AS fk_name, role_id AS key, count(*) AS n_rows FROM s_users x
 WHERE role_id IS NOT NULL AND role_id NOT IN (SELECT role_id FROM v_roles) GROUP BY role_id
 UNION ALL
-SELECT 'customers.user_id->users', user_id, count(*) FROM v_customers x
+SELECT 'customers.user_id->users', user_id, count(*) FROM s_customers x
 WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM v_users p WHERE p.user_id = x.user_id)
 GROUP BY user_id
 UNION ALL
-SELECT 'orders.customer_id->customers', customer_id, count(*) FROM v_orders x
+SELECT 'orders.customer_id->customers', customer_id, count(*) FROM s_orders x
 WHERE customer_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM v_customers p WHERE p.customer_id = x.customer_id)
 GROUP BY customer_id
 UNION ALL
-SELECT 'order_items.order_id->orders', order_id, count(*) FROM v_order_items x
+SELECT 'order_items.order_id->orders', order_id, count(*) FROM s_items x
 WHERE order_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM v_orders p WHERE p.order_id = x.order_id)
 GROUP BY order_id
 UNION ALL
-SELECT 'order_items.book_id->books', book_id, count(*) FROM v_order_items x
+SELECT 'order_items.book_id->books', book_id, count(*) FROM s_items x
 WHERE book_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM v_books p WHERE p.book_id = x.book_id)
 GROUP BY book_id
-""")
+""", extra_ctes=_STAGED_SQL)
 def fk_violations(d: Domain):
-    """Dangling foreign keys over the five references."""
-    return ops.fk_violations(ops.domain_fk_edges(d.roles, d.users, d.customers, d.books,
-                                                 d.orders, d.order_items))
+    """Dangling foreign keys of a staged load over the five references."""
+    blocked = F.col("status") == S.STATUS_BLOCKED
+    items = _shifted(d.order_items, "order_id", F.col("qty") == BAD_ORDER_QTY)
+    return ops.fk_violations(ops.domain_fk_edges(
+        d.roles, _shifted(d.users, "role_id", blocked), _shifted(d.customers, "user_id", blocked), d.books,
+        _shifted(d.orders, "customer_id", F.col("status") == S.ORDER_PAID),
+        _shifted(items, "book_id", F.col("qty") == BAD_BOOK_QTY)))
 
 
 _RESERVED_REQ_SQL = f"""
@@ -115,46 +141,44 @@ def _rules_sql(table: str, src: str, key: str) -> list[str]:
     return out
 
 
+_RULE_SOURCES = {"roles": "v_roles", "users": "v_users", "customers": "v_customers", "books": "r_incoming",
+                 "orders": "v_orders", "audit_log": "v_audit_log"}
 _CV_SQL = "\nUNION ALL\n".join(
-    _rules_sql("books", "r_incoming", "book_id") + _rules_sql("users", "v_users", "user_id")
-    + _rules_sql("audit_log", "v_audit_log", "log_id"))
+    rule for table, src in _RULE_SOURCES.items() for rule in _rules_sql(table, src, S.PRIMARY_KEYS[table]))
 
 
 @register("constraint_violations", _CV_SQL, extra_ctes=_INCOMING_SQL)
 def constraint_violations(d: Domain):
-    """NOT NULL, length and JSON rules over an incoming catalogue batch,
-    the users table and the audit log."""
-    return ops.union_all([
-        ops.constraint_violations("books", incoming_books(d), "book_id"),
-        ops.constraint_violations("users", d.users, "user_id"),
-        ops.constraint_violations("audit_log", d.audit_log, "log_id"),
-    ])
-
-
-@register("duplicate_keys", """
-SELECT 'users' AS table_name, 'username' AS key_name, username AS key_value, count(*) AS n
-FROM (SELECT username FROM v_users UNION ALL SELECT username FROM r_signups) x
-WHERE username IS NOT NULL GROUP BY username HAVING count(*) > 1
-UNION ALL
-SELECT 'customers', 'email', email, count(*)
-FROM (SELECT email FROM v_customers UNION ALL SELECT email FROM r_signups) x
-WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1
-UNION ALL
-SELECT 'books', 'book_id', CAST(book_id AS VARCHAR), count(*) FROM v_books
-GROUP BY book_id HAVING count(*) > 1
-UNION ALL
-SELECT 'orders', 'order_id', CAST(order_id AS VARCHAR), count(*) FROM v_orders
-GROUP BY order_id HAVING count(*) > 1
-""", extra_ctes=R.USER_SIGNUPS_SQL)
+    """NOT NULL, length and JSON rules of every table that has rules; the
+    books are an incoming catalogue batch."""
+    tables = {t: getattr(d, t) for t in _RULE_SOURCES} | {"books": incoming_books(d)}
+    return ops.union_all([ops.constraint_violations(t, df, S.PRIMARY_KEYS[t]) for t, df in tables.items()])
+
+
+def _duplicates_sql(table: str, key: str, source: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{key}' AS key_name, CAST({key} AS VARCHAR) AS key_value, "
+            f"count(*) AS n FROM {source} x WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1")
+
+
+_STAGED_KEYS_SQL = {
+    ("users", "username"): "(SELECT username FROM v_users UNION ALL SELECT username FROM r_signups)",
+    ("customers", "email"): "(SELECT email FROM v_customers UNION ALL SELECT email FROM r_signups)",
+    ("roles", "role_name"): "(SELECT role_name FROM v_roles UNION ALL SELECT DISTINCT role_name FROM r_signups)",
+}
+
+
+@register("duplicate_keys", "\nUNION ALL\n".join(
+    [_duplicates_sql(t, k, _STAGED_KEYS_SQL[t, k]) for t, keys in S.UNIQUE_KEYS.items() for k in keys]
+    + [_duplicates_sql(t, k, f"v_{t}") for t, k in S.PRIMARY_KEYS.items()]), extra_ctes=R.USER_SIGNUPS_SQL)
 def duplicate_keys(d: Domain):
-    """Unique keys that would break if the sign-ups were loaded as they
-    are, plus primary keys of books and orders."""
+    """Unique keys that would break if the sign-ups and the roles they
+    name were loaded as they are, plus every table's primary key."""
     signups = R.user_signups(d)
-    staged_users = d.users.select("username").unionByName(signups.select("username"))
-    staged_emails = d.customers.select("email").unionByName(signups.select("email"))
-    return ops.union_all([
-        ops.duplicate_keys("users", staged_users, "username"),
-        ops.duplicate_keys("customers", staged_emails, "email"),
-        ops.duplicate_keys("books", d.books, "book_id"),
-        ops.duplicate_keys("orders", d.orders, "order_id"),
-    ])
+    staged = {
+        ("users", "username"): d.users.select("username").unionByName(signups.select("username")),
+        ("customers", "email"): d.customers.select("email").unionByName(signups.select("email")),
+        ("roles", "role_name"): d.roles.select("role_name").unionByName(signups.select("role_name").distinct()),
+    }
+    return ops.union_all(
+        [ops.duplicate_keys(t, staged[t, k], k) for t, keys in S.UNIQUE_KEYS.items() for k in keys]
+        + [ops.duplicate_keys(t, getattr(d, t), k) for t, k in S.PRIMARY_KEYS.items()])

@@ -93,8 +93,9 @@ MAX_LEN = {
     "audit_log": {"who": 200, "what_table": 200, "action": 50},
 }
 NOT_NULL = {
-    "roles": ["role_name"],
-    "users": ["username", "password_hash", "role_id"],
+    "roles": ["role_id", "role_name"],
+    "users": ["user_id", "username", "password_hash", "role_id"],
+    "customers": ["customer_id"], "books": ["book_id"], "orders": ["order_id"], "audit_log": ["log_id"],
 }
 JSON_COLUMNS = {"books": "attributes_json", "audit_log": "details_json"}
 PRIMARY_KEYS = {

@@ -18,7 +18,7 @@ from .. import schemas as S
 from .tables import read_table
 
 # Fixed mapping values (part of the data model, mirrored in ADAPTER_SQL).
-NO_PROFILE_SEGMENT = "AUTOMOBILE"   # users of this market segment have no customer profile
+STAFF_PREFIX = "Staff "              # logins without a customer profile, one per nation
 ISBN_PREFIX = "978-3-"
 ISBN_DIGITS = 6
 DISCOUNT_CYCLE = 31                 # discount_percent = book_id mod 31
@@ -58,14 +58,19 @@ class Domain:
 
     @cached_property
     def roles(self) -> DataFrame:
-        # Three fixed rows: the role dimension.  Its size is bounded by
-        # definition, so joins may broadcast it.
+        # Three fixed rows: the application's initial roles.
         return self.spark.createDataFrame(S.ROLES, S.ROLES_SCHEMA)
 
     @cached_property
     def users(self) -> DataFrame:
-        c = self.raw("customer")
-        return c.select(
+        """A login per customer, and a staff login (no profile) per nation.
+        Staff ids are below zero, so they meet no customer key at any size."""
+        c, n = self.raw("customer"), self.raw("nation")
+        logins = c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal").unionByName(n.select(
+            (-F.col("n_nationkey") - 1).cast("long").alias("c_custkey"),
+            F.concat(F.lit(STAFF_PREFIX), F.col("n_name")).alias("c_name"),
+            F.col("n_nationkey").alias("c_nationkey"), F.lit(0.0).alias("c_acctbal")))
+        return logins.select(
             F.col("c_custkey").alias("user_id"),
             F.col("c_name").alias("username"),
             F.upper(F.sha2(F.col("c_name"), 256)).alias("password_hash"),
@@ -77,7 +82,7 @@ class Domain:
 
     @cached_property
     def customers(self) -> DataFrame:
-        c = self.raw("customer").filter(~F.col("c_mktsegment").eqNullSafe(NO_PROFILE_SEGMENT))
+        c = self.raw("customer")
         return c.select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_custkey").alias("user_id"),
@@ -198,7 +203,8 @@ v_users AS (
          CAST(c_nationkey % 3 + 1 AS BIGINT) AS role_id,
          CASE WHEN c_acctbal < 0 THEN '{S.STATUS_BLOCKED}' ELSE '{S.STATUS_ACTIVE}' END AS status,
          CAST(NULL AS TIMESTAMP) AS created_at
-  FROM customer
+  FROM (SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer UNION ALL
+        SELECT -n_nationkey - 1, '{STAFF_PREFIX}' || n_name, n_nationkey, 0.0 FROM nation) logins
 ),
 v_customers AS (
   SELECT c_custkey AS customer_id, c_custkey AS user_id, c_name AS full_name,
@@ -207,7 +213,7 @@ v_customers AS (
          'Nation ' || CAST(c_nationkey AS VARCHAR) || ', ' || c_mktsegment AS address,
          CASE WHEN c_acctbal < 0 THEN '{S.STATUS_BLOCKED}' ELSE '{S.STATUS_ACTIVE}' END AS status,
          CAST(NULL AS TIMESTAMP) AS created_at
-  FROM customer WHERE c_mktsegment IS DISTINCT FROM '{NO_PROFILE_SEGMENT}'
+  FROM customer
 ),
 v_books AS (
   SELECT p_partkey AS book_id,
