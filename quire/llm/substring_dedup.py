@@ -24,9 +24,12 @@ border.  Equal windows have equal anchors.  Hence three passes:
 
 Hot content: a task merges its own slice first.  A key or window that occurs
 many times in a slice is one record from there on, and what can be decided in
-the slice is decided there, so a passage that a third of all rows share is one
-record per slice.  Buckets hold a bounded number of records and their number
-grows with the input.
+the slice is decided there.  A task also remembers, in a table of fixed size,
+keys it has already told to be shared and the smallest id it has sent for a
+window; later slices of the task settle these without a record.  So a passage
+that a third of all rows share is about one record per task.  What the table
+forgets is sent again, which costs a record and changes no result.  The number
+of buckets grows with the input.
 
 Defined results: words are compared unchanged; null and empty texts have no
 words and the SHA-256 of the empty string; a null id counts as larger than all
@@ -55,6 +58,8 @@ ROUNDS = 2
 #: Bytes of text whose records make a bucket, about.
 BUCKET_BYTES = 32 << 20
 SLICE = (2 << 20) - (1 << 16)
+#: Places of a task's table of keys or windows met in earlier slices.
+MET = 1 << 18
 NO_ID = (1 << 63) - 1
 
 
@@ -111,6 +116,7 @@ KEY_ROWS = "bucket long, keys binary, refs binary, many binary"
 
 def key_records(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met_key, met_ref, told = np.zeros(MET, np.uint64), np.zeros(MET, np.int64), np.zeros(MET, bool)
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 data, off = byte_view(part.column("text"))
@@ -132,12 +138,17 @@ def key_records(n_buckets: int):
                 first[1:] = key[1:] != key[:-1]
                 group = np.cumsum(first) - 1
                 size = np.bincount(group)
-                many = size[group] > 1
+                spot = (mix(key[first], 7) % U64(MET)).astype(np.int64)
+                known = met_key[spot] == key[first]
+                done = known & told[spot]              # an earlier slice has told that it is shared
+                shared = (size > 1) | done | (known & (met_ref[spot] != ref[first]))
+                met_key[spot], met_ref[spot], told[spot] = key[first], ref[first], shared
+                many = shared[group]
                 out = []
-                if many.any():                         # shared within the slice: known already
+                if many.any():                         # shared within the task: known already
                     spread = n_buckets + int(mix(refs[:1].view(np.uint64))[0] % U64(n_buckets))
                     out.append((spread, key[many], ref[many], np.ones(int(many.sum()), np.uint8)))
-                key, ref, many = key[first], ref[first], many[first]
+                key, ref, many = key[first][~done], ref[first][~done], shared[~done]
                 bucket = (mix(key, 5) % U64(n_buckets)).astype(np.int64)
                 out += [(int(bucket[p[0]]), key[p], ref[p], many[p].astype(np.uint8)) for p in _deal(bucket, key)]
                 yield pa.RecordBatch.from_arrays(
@@ -164,7 +175,7 @@ def shared_keys(n_buckets: int):
             other = np.zeros(len(key), bool)
             other[1:] = ~first[1:] & (ref[1:] != ref[:-1])
             hit = np.bincount(group, other | many) > 0
-            # the documents of a "many" record were told in their slice
+            # the documents of a "many" record were told in their task
             out = hit[group] & ~many
             key, ref = key[out], ref[out]
         return pa.table({"ref": pa.array(ref), "key": pa.array(key.view(np.int64))})
@@ -192,6 +203,8 @@ def _places(doc: np.ndarray, place: np.ndarray, ids: np.ndarray, refs: np.ndarra
 
 def window_records(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met_name, met_more = np.zeros(MET, np.uint64), np.zeros(MET, np.uint32)
+        met_least = np.full(MET, NO_ID)
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 data, off = byte_view(part.column("text"))
@@ -217,8 +230,12 @@ def window_records(n_buckets: int):
                 name, more, owner, place, key = (x[order] for x in (name, more, owner, place, key))
                 first = np.ones(len(name), bool)
                 first[1:] = (name[1:] != name[:-1]) | (more[1:] != more[:-1])
-                least = ids[owner[first]][np.cumsum(first) - 1]
-                later = ids[owner] > least                  # decided within the slice
+                least = ids[owner[first]]
+                spot = (mix(name[first], 7) % U64(MET)).astype(np.int64)
+                known = (met_name[spot] == name[first]) & (met_more[spot] == more[first])
+                least = np.where(known, np.minimum(least, met_least[spot]), least)
+                met_name[spot], met_more[spot], met_least[spot] = name[first], more[first], least
+                later = ids[owner] > least[np.cumsum(first) - 1]          # decided within the task
                 out = []
                 none = np.zeros(0)
                 if later.any():

@@ -118,6 +118,29 @@ def test_substring_dedup(spark, seed):
     assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substring(texts, ids)
 
 
+def test_substring_hot_passage_over_slices(spark):
+    """One task, many slices: what it remembers of earlier slices settles the
+    hot passage in about one record, in any order of ids."""
+    r = random.Random(5)
+    hot = words(60, 9, 500)
+    texts = [" ".join(words(r.randrange(20), k, 500) + hot * (k % 3 > 0) + words(r.randrange(20), -k - 1, 500))
+             for k in range(120)]
+    ids = list(range(len(texts)))
+    r.shuffle(ids)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        docs = make(spark, texts, ids).coalesce(1)
+        got = substring_dedup.substring_dedup(docs)
+        assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substring(texts, ids)
+        src = substring_dedup.source_rows(docs).select("ref", "text")
+        sent = src.mapInArrow(substring_dedup.key_records(8), substring_dedup.KEY_ROWS).where("bucket < 8").collect()
+        keys = np.concatenate([np.frombuffer(x["keys"], np.uint64) for x in sent])
+        assert np.unique(keys, return_counts=True)[1].max() <= 3
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_substring_empty(spark):
     assert substring_dedup.substring_dedup(make(spark, ["x"]).limit(0)).count() == 0
 
