@@ -18,12 +18,15 @@ from ..functions.combine import stack_rows
 
 def write_category_layout(books: DataFrame, path: str, n_files_per_category: int | None = None
                           ) -> None:
-    """Partition by category; within files sort by author.  Repartitioning
-    by (category, author) keeps one category's rows in a few files without
-    sending a whole hot category to one task (author splits it)."""
-    df = books
+    """Partition by category; within files sort by author.  By default rows
+    are rebalanced on category: a category's rows come together (not one small
+    file per task and category), AQE merges small categories into a task and
+    splits a hot one at the advisory partition size.  ``n_files_per_category``
+    hashes rows by (category, author) into that many tasks instead."""
     if n_files_per_category:
-        df = df.repartition(n_files_per_category, "category", "author")
+        df = books.repartition(n_files_per_category, "category", "author")
+    else:
+        df = books.hint("rebalance", "category")
     (df.sortWithinPartitions("category", "author")
        .write.mode("errorifexists").partitionBy("category").parquet(path))
 

@@ -442,11 +442,11 @@ def product_delete(books: DataFrame, order_items: DataFrame, requests: DataFrame
     w = flag_present(keys, books, "book_id", "_present", keys_from=keys)
     w = flag_present(w, order_items, "book_id", "_sold", keys_from=keys)
     missing = rejected(w.filter(~F.col("_present")), "not found", ["book_id"])
-    archive = (w.filter(F.col("_present") & F.col("_sold"))
-               .select("book_id", F.lit(True).alias("_archive")))
-    remove = w.filter(F.col("_present") & ~F.col("_sold")).select("book_id")
-    kept = books.join(remove, "book_id", "left_anti").join(archive, "book_id", "left")
-    hit = F.coalesce(F.col("_archive"), F.lit(False))
+    act = w.filter(F.col("_present")).select("book_id", "_sold")
+    remove = act.filter(~F.col("_sold")).select("book_id")
+    # one join on the catalogue: no match keeps the row, unsold drops it, sold archives it
+    kept = books.join(act, "book_id", "left").filter(F.coalesce(F.col("_sold"), F.lit(True)))
+    hit = F.coalesce(F.col("_sold"), F.lit(False))
     title = F.when(hit & ~F.coalesce(starts_with(F.col("title"), S.ARCHIVE_PREFIX), F.lit(False)),
                    F.concat_ws(" ", F.lit(S.ARCHIVE_PREFIX), F.col("title"))) \
         .otherwise(F.col("title"))
@@ -488,9 +488,11 @@ def place_orders(orders: DataFrame, customers: DataFrame, cart: DataFrame, reque
                   .select("order_id", "customer_id", now.alias("order_date"),
                           F.lit(S.ORDER_NEW).alias("status"),
                           F.coalesce(F.col("_t"), F.lit(0)).cast(S.TOTAL).alias("total_amount")))
-    moved = (cart.drop("order_id").join(new.select("customer_id", "order_id"), "customer_id"))
+    # the whole line table: lines of these customers move, the others stay in the cart
+    lines = cart.drop("order_id").join(new.select("customer_id", "order_id"), "customer_id", "left")
     res = Applied(orders.unionByName(new_orders), missing, new_orders)
-    res.lines = moved
+    res.order_items = lines
+    res.lines = lines.filter(F.col("order_id").isNotNull())
     return res
 
 

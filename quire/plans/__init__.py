@@ -53,6 +53,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "order_remove_items": ("total_amount",), "buy_auto": ("price",), "csv_import": ("price",),
     "json_import_typed": ("price", "discount_percent", "price_after_discount"),
     "json_import_raw": ("price",), "json_export": ("price",),
+    "json_import_compact": ("price", "discount_percent", "price_after_discount"),
+    "json_import_rejects": ("price",), "csv_import_rejects": ("price",), "place_orders_lines": ("price",),
     "gen_catalog_basic": ("price",),
     "gen_catalog_words": ("price", "discount_percent", "price_after_discount"),
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.text import password_hash
 from ..operators import changes as ops
 from ..operators import snapshots as snap_ops
+from ..session import scratch_dir
+from ..sources import snapshot_store as store
 from ..sources.adapter import Domain
 from . import register
 from .requests import as_of
@@ -46,10 +48,17 @@ SELECT book_id, change, changed_columns, details_json FROM (
 """, extra_ctes=_CHANGE_CTES)
 def snapshot_changes(d: Domain):
     """Change log of the catalogue across edit (I10), delete (I11) and
-    add (F4) jobs run one after another."""
-    s1 = snap_ops.product_edit(d.books, edit_requests(d)).snapshot
-    s2 = snap_ops.product_delete(s1, d.order_items, delete_requests(s1)).snapshot
-    s3 = snap_ops.add_books(s2, new_book_requests(d), as_of()).snapshot
+    add (F4) jobs run one after another.  Each job starts from the version
+    the job before published, so plans do not pile up."""
+    root = scratch_dir(d.spark, "books-versions")
+
+    def published(snapshot, version: int):
+        store.publish(snapshot, root, version)
+        return store.read_version(d.spark, root, version)
+
+    s1 = published(snap_ops.product_edit(d.books, edit_requests(d)).snapshot, 1)
+    s2 = published(snap_ops.product_delete(s1, d.order_items, delete_requests(s1)).snapshot, 2)
+    s3 = published(snap_ops.add_books(s2, new_book_requests(d), as_of()).snapshot, 3)
     return ops.snapshot_changes(d.books, s3, "book_id", _COMPARED)
 
 

@@ -13,8 +13,11 @@ from ..sources import files as io
 from ..sources import generate as gen
 from ..sources import snapshot_store as store
 from ..sources.adapter import Domain
+from ..operators.quality import split_by_rules
 from . import register
 
+#: Books per array of the compact layout, about.
+COMPACT_ROWS = 10_000
 COMPARE_COLS = ["book_id", "isbn", "title", "author", "price", "stock", "category",
                 "discount_percent", "price_after_discount"]
 
@@ -44,6 +47,68 @@ def json_import_typed(d: Domain):
     return io.read_books_json(d.spark, _export(d, as_array=True), multiline=True, one_element_per_line=True)
 
 
+@register("json_import_compact", """
+SELECT book_id, isbn, title, author, price, stock, category,
+       CAST(json(attributes_json) AS VARCHAR) AS attributes_json,
+       date_trunc('second', created_at) AS created_at, discount_percent, price_after_discount
+FROM v_books
+""")
+def json_import_compact(d: Domain):
+    """A3: arrays without line breaks, as other tools write them; about
+    ``COMPACT_ROWS`` books per array, so files stay small as the table grows."""
+    path = scratch_dir(d.spark, "compact")
+    arrays = d.books.count() // COMPACT_ROWS + 1
+    (io.export_objects(d.books).groupBy(F.pmod(F.xxhash64("value"), F.lit(arrays)).alias("part"))
+     .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("value")), F.lit("]")).alias("value"))
+     .select("value").write.option("maxRecordsPerFile", 1).text(path))
+    return io.read_books_json(d.spark, path, multiline=True)
+
+
+@register("json_import_rejects", f"""
+SELECT isbn, CASE WHEN stock < 3 THEN '{io.MALFORMED}' WHEN stock = 3 THEN 'book_id_null' ELSE 'loaded' END AS outcome,
+       CASE WHEN stock > 3 THEN price END AS price
+FROM v_books
+""")
+def json_import_rejects(d: Domain):
+    """An export with cut-off elements, wrong types and missing keys;
+    where every element went."""
+    value, size = F.col("value"), F.col("stock")
+    damaged = (F.when(size == 1, F.regexp_replace(value, r'"price":[0-9.]+', '"price":"n/a"'))
+               .when(size == 2, F.expr("substring(value, 1, length(value) - 1)"))
+               .when(size == 3, F.regexp_replace(value, r'"book_id":[0-9]+', '"book_id":null')).otherwise(value))
+    path = scratch_dir(d.spark, "damaged")
+    (io.export_objects(d.books).withColumn("stock", F.get_json_object("value", "$.stock").cast("long"))
+     .select(damaged.alias("value")).write.text(path))
+    rows, unread = io.read_books_json_checked(d.spark, path)
+    valid, broken = split_by_rules("books", rows)
+    return (valid.select("isbn", F.lit("loaded").alias("outcome"), "price")
+            .unionByName(broken.select("isbn", F.concat_ws(",", "broken_rules").alias("outcome")),
+                         allowMissingColumns=True)
+            .unionByName(unread.select(F.regexp_extract("raw", '"isbn":"([^"]*)"', 1).alias("isbn"),
+                                       F.col("reason").alias("outcome")), allowMissingColumns=True))
+
+
+@register("csv_import_rejects", f"""
+SELECT isbn, CASE WHEN stock < 4 THEN '{io.MALFORMED}' ELSE 'loaded' END AS outcome,
+       CASE WHEN stock > 3 THEN title END AS title, CASE WHEN stock > 3 THEN price END AS price
+FROM v_books
+""")
+def csv_import_rejects(d: Domain):
+    """A2: a catalogue file with unreadable prices and stocks and short lines;
+    where every line went."""
+    b, size = d.books, F.col("stock")
+    line = F.concat_ws(",", "isbn", "title", "author",
+                       F.when(size == 1, F.lit("n/a")).otherwise(F.col("price").cast("string")),
+                       F.when(size == 2, F.lit("xx")).otherwise(size.cast("string")),
+                       F.when(size == 3, F.lit(None)).otherwise(F.col("category")))
+    path = scratch_dir(d.spark, "damaged-csv")
+    b.select(line.alias("value")).write.text(path)
+    rows, unread = io.read_catalog_csv_checked(d.spark, path)
+    return (rows.select("isbn", F.lit("loaded").alias("outcome"), "title", "price")
+            .unionByName(unread.select(F.regexp_extract("raw", "^[^,]*", 0).alias("isbn"),
+                                       F.col("reason").alias("outcome")), allowMissingColumns=True))
+
+
 @register("json_import_raw", """
 SELECT isbn, title, author, price, stock, category, book_id AS raw_book_id,
        CAST(json_extract_string(attributes_json, '$.pages') AS BIGINT) AS raw_pages

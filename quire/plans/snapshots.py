@@ -689,6 +689,22 @@ def place_orders(d: Domain):
     return ops.place_orders(d.orders, d.customers, cart, req, as_of()).added
 
 
+@register("place_orders_lines", """
+SELECT l.seq, l.customer_id, l.book_id, l.qty, l.price, o.order_id
+FROM r_cart_lines l LEFT JOIN (
+  SELECT customer_id, (SELECT max(order_id) FROM v_orders) + row_number() OVER (ORDER BY customer_id) AS order_id
+  FROM (SELECT DISTINCT c_custkey AS customer_id FROM customer WHERE c_nationkey < 10) w) o
+  ON l.customer_id = o.customer_id
+""", extra_ctes=_CART_REQ_SQL)
+def place_orders_lines(d: Domain):
+    """the whole line table after placing: moved lines carry their order,
+    lines of other customers stay in the cart."""
+    cart = ops.add_to_cart(d.books, cart_requests(d)).added
+    req = d.raw("customer").filter(F.col("c_nationkey") < 10).select(
+        F.col("c_custkey").alias("seq"), F.col("c_custkey").alias("customer_id"))
+    return ops.place_orders(d.orders, d.customers, cart, req, as_of()).order_items
+
+
 @register("order_create", f"""
 SELECT (SELECT max(order_id) FROM v_orders) + row_number() OVER (ORDER BY c.customer_id)
          AS order_id,

@@ -54,6 +54,11 @@ RAW_FIELDS_SCHEMA = T.StructType([
 ])
 
 
+#: Column that holds a record the parser could not read, and its reject reason.
+BAD = "_malformed"
+MALFORMED = "malformed"
+
+
 # ---------------------------------------------------------------------------
 # CSV (A2)
 # ---------------------------------------------------------------------------
@@ -68,6 +73,19 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
             .option("mode", "PERMISSIVE").csv(path))
 
 
+def read_catalog_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): lines with a field that does not parse or without
+    exactly six fields go to rejects (raw, reason) instead of becoming NULLs."""
+    schema = T.StructType([*CSV_SCHEMA.fields, T.StructField(BAD, T.StringType())])
+    line = F.regexp_replace(F.col("value"), "^\ufeff|\r$", "")
+    parsed = (spark.read.text(path).select(line.alias("raw")).filter(F.trim(F.col("raw")) != "")
+              .withColumn("r", F.from_csv("raw", schema.simpleString()[7:-1].replace(":", " "),
+                                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})))
+    bad = F.col(f"r.{BAD}").isNotNull()
+    return (parsed.filter(~bad).select(*[f"r.{c}" for c in CSV_COLUMNS]),
+            parsed.filter(bad).select("raw", F.lit(MALFORMED).alias("reason")))
+
+
 # ---------------------------------------------------------------------------
 # JSON export (A5)
 # ---------------------------------------------------------------------------
@@ -132,12 +150,45 @@ def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
     else:
         df = (spark.read.schema(IMPORT_SCHEMA).option("multiLine", multiline)
               .option("mode", "PERMISSIVE").json(path))
+    return _typed(df)
+
+
+def _typed(df: DataFrame, *more: str) -> DataFrame:
+    """Imported fields as the catalogue's columns (and ``more`` untouched)."""
     df = _empty_text_as_null(df, ["isbn", "title", "author", "category", "attributes_json"])
     return df.select(
         "book_id", "isbn", "title", "author", "price", "stock", "category", "attributes_json",
         F.try_to_timestamp(F.col("created_at"), F.lit(S.JSON_TS_FORMAT)).cast(S.TS)
          .alias("created_at"),
-        "discount_percent", "price_after_discount")
+        "discount_percent", "price_after_discount", *more)
+
+
+def read_books_json_checked(spark: SparkSession, path: str, multiline: bool = False,
+                            one_element_per_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): as ``read_books_json``, but an element that is cut off,
+    is no object or has a field of a wrong type goes to rejects (raw, reason),
+    and so does a whole file that is not a JSON array."""
+    if multiline and one_element_per_line:
+        elements = _element_lines(spark, path).withColumn("reason", F.lit(None).cast("string"))
+    elif multiline:
+        # one task per file; an unreadable file is one reject with its whole text
+        files = (spark.read.text(path, wholetext=True)
+                 .select(F.regexp_replace("value", "^\ufeff", "").alias("value"))
+                 .withColumn("n", F.expr("json_array_length(value)")))
+        elements = files.select(
+            F.explode(F.when(F.col("n").isNull(), F.array("value"))
+                      .otherwise(F.from_json("value", "array<string>"))).alias("raw"),
+            F.when(F.col("n").isNull(), F.lit("not a JSON array")).alias("reason"))
+    else:
+        elements = (spark.read.text(path).select(F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("raw"))
+                    .filter(F.col("raw") != "").withColumn("reason", F.lit(None).cast("string")))
+    schema = T.StructType([*IMPORT_SCHEMA.fields, T.StructField(BAD, T.StringType())])
+    parsed = elements.withColumn("r", F.from_json(
+        "raw", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
+    bad = F.col("raw").isNull() | F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
+    tagged = parsed.withColumn("reason", F.coalesce("reason", F.when(bad, F.lit(MALFORMED))))
+    return (_typed(tagged.filter(F.col("reason").isNull()).select(*[f"r.{f.name}" for f in IMPORT_SCHEMA.fields])),
+            tagged.filter(F.col("reason").isNotNull()).select("raw", "reason"))
 
 
 def _element_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -181,13 +232,16 @@ def _empty_text_as_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def import_books_checked(spark: SparkSession, json_path: str, table_root: str, version: int,
                          multiline: bool = True) -> tuple[str, DataFrame]:
     """The reload job end to end: read the export with its schema, split rows
-    by the catalogue's constraint rules (lengths, JSON validity), publish the
-    valid rows as a new version of the table (the previous version is left
+    by the catalogue's constraint rules (keys, lengths, JSON validity), publish
+    the valid rows as a new version of the table (the previous version is left
     as it was: a reload replaces, it never appends into a live path) and
-    return the new path with the rejected rows."""
+    return the new path with the rejected rows; elements that cannot be read
+    are rejects too, with their text in ``raw``."""
     from ..operators.quality import split_by_rules
     from .snapshot_store import publish
 
-    books = read_books_json(spark, json_path, multiline=multiline)
+    books, unread = read_books_json_checked(spark, json_path, multiline=multiline)
     valid, rejects = split_by_rules("books", books)
+    rejects = rejects.unionByName(unread.select("raw", F.array("reason").alias("broken_rules")),
+                                  allowMissingColumns=True)
     return publish(valid, table_root, version), rejects
