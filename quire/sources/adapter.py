@@ -22,6 +22,10 @@ STAFF_PREFIX = "Staff "              # logins without a customer profile, one pe
 ISBN_PREFIX = "978-3-"
 ISBN_DIGITS = 6
 DISCOUNT_CYCLE = 31                 # discount_percent = book_id mod 31
+# books: created FIRST_DAY + size days, unknown above DATED_SIZE; one size is archived
+FIRST_DAY = "2020-01-01"
+DATED_SIZE = 45
+ARCHIVED_SIZE = 50
 PAGES_PER_SIZE = 10
 EMAIL_DOMAIN = "@example.org"
 ORDER_STATUS_CODES = {"O": S.ORDER_NEW, "F": S.ORDER_PAID, "P": S.ORDER_SHIPPED}
@@ -112,11 +116,13 @@ class Domain:
             F.col("p_type").alias("category"),
             F.concat(F.lit('{"pages": '), (F.col("p_size") * PAGES_PER_SIZE).cast("string"),
                      F.lit("}")).alias("attributes_json"),
-            F.lit(None).cast(S.TS).alias("created_at"),
+            # known for books of up to DATED_SIZE only, so NULLs occur
+            F.when(F.col("p_size") <= DATED_SIZE, F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("p_size").cast("int")))
+             .cast(S.TS).alias("created_at"),
             F.lit(None).cast("string").alias("image_url"),
             disc.alias("discount_percent"),
             discounted(price, disc).alias("price_after_discount"),
-            F.lit(0).alias("is_archived"),
+            F.when(F.col("p_size") == ARCHIVED_SIZE, 1).otherwise(0).alias("is_archived"),
         )
 
     @cached_property
@@ -223,12 +229,13 @@ v_books AS (
          CAST(p_retailprice AS DECIMAL(10,2)) AS price,
          CAST(p_size AS BIGINT) AS stock, p_type AS category,
          '{{"pages": ' || CAST(p_size * {PAGES_PER_SIZE} AS VARCHAR) || '}}' AS attributes_json,
-         CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS VARCHAR) AS image_url,
+         CASE WHEN p_size <= {DATED_SIZE} THEN CAST(DATE '{FIRST_DAY}' + CAST(p_size AS INTEGER) AS TIMESTAMP) END
+           AS created_at, CAST(NULL AS VARCHAR) AS image_url,
          CAST(p_partkey % {DISCOUNT_CYCLE} AS DECIMAL(5,2)) AS discount_percent,
          CAST(CAST(p_retailprice AS DECIMAL(10,2))
               * (100 - CAST(p_partkey % {DISCOUNT_CYCLE} AS DECIMAL(5,2))) * 0.01
               AS DECIMAL(10,2)) AS price_after_discount,
-         0 AS is_archived
+         CASE WHEN p_size = {ARCHIVED_SIZE} THEN 1 ELSE 0 END AS is_archived
   FROM part
 ),
 v_orders AS (

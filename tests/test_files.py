@@ -120,6 +120,54 @@ def test_checked_import_publishes_valid_rows_and_returns_rejects(spark, fresh):
     assert got == {2: ["title_too_long"], 3: ["attributes_json_not_json"]}
 
 
+def test_json_rejects(spark, fresh):
+    d = fresh("json-rejects")
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('[{"book_id": 1, "price": 5}, {"book_id": "x", "price": 7}, 3, null, {"book_id": 2, "title": ""}]')
+    with open(os.path.join(d, "b.json"), "w") as f:
+        f.write('\ufeff[\n {"book_id": 4,\n "created_at": "2020-01-02 03:04:05"}\n]')
+    with open(os.path.join(d, "cut.json"), "w") as f:
+        f.write('[{"book_id": 5}, {"book_id": 6')
+    rows, rejects = io.read_books_json_checked(spark, d, multiline=True)
+    got = {r.book_id: (r.price, r.title, str(r.created_at)) for r in rows.collect()}
+    assert got == {1: (Decimal("5.00"), None, "None"), 2: (None, None, "None"), 4: (None, None, "2020-01-02 03:04:05")}
+    bad = sorted((r.raw or "", r.reason) for r in rejects.collect())
+    assert [x[1] for x in bad] == ["malformed", "malformed", "not a JSON array", "malformed"]
+    assert bad[2][0] == '[{"book_id": 5}, {"book_id": 6' and "x" in bad[3][0]
+
+
+def test_json_lines_rejects_keep_every_line(spark, fresh):
+    d = fresh("json-line-rejects")
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('{"book_id": 1}\n{"book_id": 2\n\nnot json\n{"book_id": 3, "price": "n/a"}\n')
+    rows, rejects = io.read_books_json_checked(spark, d)
+    assert [r.book_id for r in rows.collect()] == [1]
+    assert rejects.count() == 3 and rejects.select("raw").collect()
+
+
+def test_csv_rejects(spark, fresh):
+    d = fresh("csv-rejects")
+    with open(os.path.join(d, "a.csv"), "w", newline="") as f:
+        f.write('\ufeffi1,"T, 1",A,5.00,1,C\r\ni2,T,A,abc,1,C\r\ni3,T,A,5.00,xx,C\ni4,T,A\n\ni5,T,A,5,1,C,extra\n'
+                'i6,,A,,2,C\n')
+    rows, rejects = io.read_catalog_csv_checked(spark, d)
+    assert {(r.isbn, r.title, r.price) for r in rows.collect()} == {
+        ("i1", "T, 1", Decimal("5.00")), ("i6", None, None)}
+    assert sorted(r.raw[:2] for r in rejects.collect()) == ["i2", "i3", "i4", "i5"]
+    assert rows.select("isbn").count() == 2 and rows.select("stock").distinct().count() == 2
+
+
+def test_checked_import_never_publishes_a_cut_off_element(spark, fresh):
+    from quire.sources import snapshot_store as store
+    d = fresh("json-cut")
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('[{"book_id": 1, "title": "ok"}, {"title": "no key"}, {"book_id": 2, "stock": "many"}]')
+    root = scratch_dir(spark, "books-cut")
+    _, rejects = io.import_books_checked(spark, d, root, version=1)
+    assert [r.book_id for r in store.read_version(spark, root, 1).collect()] == [1]
+    assert sorted(list(r.broken_rules)[0] for r in rejects.collect()) == ["book_id_null", "malformed"]
+
+
 def test_raw_import_of_pretty_printed_array_reads_files_whole(spark, fresh):
     d = fresh("json-pretty")
     with open(os.path.join(d, "a.json"), "w") as f:

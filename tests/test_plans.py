@@ -67,3 +67,32 @@ def test_author_lookup_on_layout_pushes_filter_to_row_groups(spark, small_dir):
     p = plan(df)
     assert "PushedFilters: [IsNotNull(author), EqualTo(author,Brand#10)]" in p
     assert df.count() == d.books.filter("author = 'Brand#10'").count()
+
+
+def logical(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_receipt_and_product_delete_read_the_catalogue_once(spark, small_dir):
+    assert plan(REG["receipt"].build(spark, small_dir)).count("part.parquet") == 1
+    d = Domain(spark, small_dir)
+    from quire.operators import snapshots
+    books = d.books
+    res = snapshots.product_delete(books, d.order_items, books.select("book_id"))
+    # the catalogue itself, its keys for the check, and the requests taken from it
+    assert "LeftAnti" not in logical(res.snapshot)
+
+
+def test_change_log_joins_published_versions(spark, small_dir):
+    text = logical(REG["snapshot_changes"].build(spark, small_dir))
+    assert text.count("Join ") == 1 and "FullOuter" in text
+
+
+def test_layout_writes_few_files_per_category(spark, small_dir):
+    import glob
+    d = Domain(spark, small_dir)
+    path = scratch_dir(spark, "layout-files")
+    layout.write_category_layout(d.books.repartition(16), path)
+    local = path.removeprefix("file:")
+    folders = glob.glob(f"{local}/category=*")
+    assert folders and all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in folders)
