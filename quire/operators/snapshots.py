@@ -150,6 +150,20 @@ def assign_new_ids(new_rows: DataFrame, current: DataFrame, id_col: str,
     return assign_ids(new_rows, list(order_cols), id_col, base_from=(current, id_col))
 
 
+def line_columns(order_items: DataFrame) -> list[str]:
+    """The line table's columns; ``order_item_id`` only where it has one."""
+    return [f.name for f in S.ORDER_ITEMS_SCHEMA.fields if f.name != "order_item_id" or f.name in order_items.columns]
+
+
+def with_item_ids(lines: DataFrame, order_items: DataFrame | None) -> DataFrame:
+    """New lines numbered in request order after the line table's last
+    ``order_item_id``; a table without that column leaves them as they are."""
+    if order_items is None or "order_item_id" not in order_items.columns:
+        return lines
+    return assign_new_ids(lines, order_items, "order_item_id",
+                          [c for c in ("seq", "order_id", "book_id", "qty") if c in lines.columns])
+
+
 # ---------------------------------------------------------------------------
 # Users and roles, insert if absent
 # ---------------------------------------------------------------------------
@@ -461,15 +475,19 @@ def product_delete(books: DataFrame, order_items: DataFrame, requests: DataFrame
 # ---------------------------------------------------------------------------
 # Carts and orders
 # ---------------------------------------------------------------------------
-def add_to_cart(books: DataFrame, requests: DataFrame) -> Applied:
-    """AddToCart: the current price is captured; lines have no order yet."""
+def add_to_cart(books: DataFrame, requests: DataFrame, order_items: DataFrame | None = None) -> Applied:
+    """AddToCart: the current price is captured; lines have no order yet.
+    With ``order_items`` (all lines so far) the snapshot is the whole line
+    table and new lines are numbered; without it the cart starts empty."""
     keys = ["seq", "book_id"]
     prices = restrict_to(books.select("book_id", "price"), requests, "book_id")
     lines = (requests.join(prices, "book_id")
              .select("seq", "customer_id", "book_id", F.col("qty").cast("long").alias("qty"),
                      "price", F.lit(None).cast("long").alias("order_id")))
+    lines = with_item_ids(lines, order_items)
     missing = rejected(requests.join(prices, "book_id", "left_anti"), "book not found", keys)
-    return Applied(lines, missing, lines)
+    whole = lines if order_items is None else order_items.unionByName(lines.drop("seq"), allowMissingColumns=True)
+    return Applied(whole, missing, lines)
 
 
 def place_orders(orders: DataFrame, customers: DataFrame, cart: DataFrame, requests: DataFrame,
@@ -551,8 +569,9 @@ def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
     j = ok.join(prices, "book_id", "left")
     found, no_book = split_by_reason(j, F.when(F.col("_book").isNull(), F.lit("book not found")),
                                      keys)
-    new_lines = found.select("order_id", "book_id", F.col("qty").cast("long").alias("qty"), "price")
-    items = order_items.select("order_id", "book_id", "qty", "price").unionByName(new_lines)
+    new_lines = with_item_ids(found.select("seq", "order_id", "book_id", F.col("qty").cast("long").alias("qty"),
+                                           "price"), order_items).drop("seq")
+    items = order_items.select(*line_columns(order_items)).unionByName(new_lines)
     touched = refresh_totals(orders, items, new_lines)
     res = Applied(with_refreshed_totals(orders, items, new_lines), union_all(rej + [no_book]), new_lines)
     res.touched = touched
@@ -569,15 +588,17 @@ def order_remove_items(orders: DataFrame, order_items: DataFrame, requests: Data
     keys = ["order_id", "book_id"]
     req = requests.groupBy("order_id", "book_id").agg(F.sum("qty").alias("_minus"))
     ok, rej = _guard_open(orders, req, keys)
-    li = order_items.select("order_id", "book_id", "qty", "price")
+    columns = line_columns(order_items)
+    li = order_items.select(*columns)
     w = flag_present(ok, li, keys, "_line", keys_from=req)
     rej.append(rejected(w.filter(~F.col("_line")), "line not found", keys))
     hit = li.join(ok.select("order_id", "book_id", "_minus"), keys)
-    before = (Window.partitionBy(*keys).orderBy("price", "qty")
+    ids = [c for c in columns if c == "order_item_id"]
+    before = (Window.partitionBy(*keys).orderBy("price", "qty", *ids)
               .rowsBetween(Window.unboundedPreceding, -1))
     left_over = F.greatest(F.col("_minus") - F.coalesce(F.sum("qty").over(before), F.lit(0)), F.lit(0))
     lowered = (hit.withColumn("_take", left_over)
-               .select("order_id", "book_id", (F.col("qty") - F.col("_take")).alias("qty"), "price")
+               .select(*[(F.col("qty") - F.col("_take")).alias("qty") if c == "qty" else c for c in columns])
                .filter(F.col("qty").isNull() | (F.col("qty") > 0)))
     new_items = li.join(ok.select(*keys).distinct(), keys, "left_anti").unionByName(lowered)
     touched = refresh_totals(orders, new_items, ok)
@@ -619,8 +640,9 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     new_orders = opened.select(F.col("new_order").alias("order_id"), "customer_id",
                                now.alias("order_date"), F.lit(S.ORDER_NEW).alias("status"),
                                F.lit(0).cast(S.TOTAL).alias("total_amount"))
-    items = (order_items.select("order_id", "book_id", "qty", "price")
-             .unionByName(lines.select("order_id", "book_id", "qty", "price")))
+    lines = with_item_ids(lines, order_items)
+    columns = line_columns(order_items)
+    items = order_items.select(*columns).unionByName(lines.select(*columns))
     res = Applied(with_refreshed_totals(orders.unionByName(new_orders), items, lines),
                   union_all([not_customer, no_book]), lines)
     res.new_orders = new_orders

@@ -321,3 +321,31 @@ def test_request_without_key_is_refused(spark, users, roles):
     res = ops.add_users(users, roles, req, now())
     assert [r.username for r in res.added.collect()] == ["neo"]
     assert {r.seq: r.reason for r in res.rejects.collect()} == {1: "key missing"}
+
+
+def test_new_lines_are_numbered_and_tables_whole(spark, users, customers, orders, books):
+    lines = spark.createDataFrame([(7, 100, 3, 5, D("10.00")), (9, 101, 4, 1, D("2.00"))], S.ORDER_ITEMS_SCHEMA)
+    req = spark.createDataFrame([(2, 100, 1, 1), (1, 100, 2, 1)],
+                                "seq long, order_id long, book_id long, qty long")
+    added = ops.order_add_items(orders, books, lines, req)
+    assert {r.order_item_id: r.book_id for r in added.order_items.collect()} == {7: 3, 9: 4, 10: 2, 11: 1}
+    total = sum(r.qty * r.price for r in added.order_items.filter("order_id = 100").collect())
+    assert {r.order_id: r.total_amount for r in added.snapshot.collect()}[100] == total
+
+    cut = ops.order_remove_items(orders, added.order_items, spark.createDataFrame(
+        [(100, 3, 2)], "order_id long, book_id long, qty long"))
+    assert {r.order_item_id: r.qty for r in cut.order_items.collect()} == {7: 3, 9: 1, 10: 1, 11: 1}
+
+    buy = spark.createDataFrame([(1, "ivan", 1, 1)], "seq long, username string, book_id long, qty long")
+    bought = ops.buy_auto(users, customers, orders, books, lines, buy, now())
+    assert sorted(r.order_item_id for r in bought.order_items.collect()) == [7, 9, 10]
+
+    cart_req = spark.createDataFrame([(2, 10, 1, 1), (1, 11, 2, 4)],
+                                     "seq long, customer_id long, book_id long, qty long")
+    cart = ops.add_to_cart(books, cart_req, lines)
+    assert {r.order_item_id: r.order_id for r in cart.snapshot.collect()} == {7: 100, 9: 101, 10: None, 11: None}
+    place = spark.createDataFrame([(1, 10)], "seq long, customer_id long")
+    placed = ops.place_orders(orders, customers, cart.added, place, now())
+    new = placed.added.first().order_id
+    assert {r.customer_id: r.order_id for r in placed.order_items.collect()} == {10: new, 11: None}
+    assert [r.customer_id for r in placed.lines.collect()] == [10]
