@@ -165,19 +165,19 @@ def receipt(orders: DataFrame, order_items: DataFrame, books: DataFrame,
     """Item lines with subtotal, the order's Σ lines and its stored total,
     and the difference between the two.
 
-    The per-order Σ is an aggregate of the lines alone (no titles), joined
-    back on order_id rather than a window over the order, so an order holding
-    a huge share of lines is reduced map-side and the join-back can be split
-    by AQE."""
+    The per-order Σ is an aggregate joined back on order_id rather than a
+    window over the order, so an order holding a huge share of lines is
+    reduced map-side and the join-back can be split by AQE.  It sums the
+    receipt's own lines, so a line without a book counts in neither."""
     li = order_items
     o = orders.select("order_id", "status", "total_amount")
     if only_orders is not None:
         keys = only_orders.select("order_id").distinct()
         li = li.join(keys, "order_id", "left_semi")
         o = o.join(keys, "order_id", "left_semi")
-    # orders meet their totals first: the lines are shuffled by order and by book once each
-    totals = o.join(lines_total(li), "order_id")
-    return (order_lines(li, books).join(totals, "order_id")
+    lines = order_lines(li, books)
+    totals = lines.groupBy("order_id").agg(money(F.sum("subtotal")).alias("lines_total"))
+    return (lines.join(totals, "order_id").join(o, "order_id")
             .select("order_id", "book_id", "title", "qty", "price", "subtotal", "status",
                     "lines_total", "total_amount",
                     money(F.col("total_amount") - F.col("lines_total")).alias("difference")))
