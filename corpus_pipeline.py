@@ -20,6 +20,10 @@ from quire.llm import exact_dedup, mixing, packing, quality, simhash_dedup
 from quire.llm.common import shared_table
 from quire.llm.queries import WORD_VOCABULARY, table
 
+#: Token volume of the mixture, as a share of the tokens the mixing stage gets:
+#: it repeats the short documents of rare cells, and stages are not to add rows.
+MIXED_VOLUME = 0.9
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
@@ -37,8 +41,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target weights."""
-    return mixing.sample_mixture(docs)
+    """Documents drawn to the target weights, rare cells repeated."""
+    return mixing.sample_mixture(docs, volume=MIXED_VOLUME)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,10 +3,14 @@
 Every document has a token count and three traits: source, language and topic.
 The tokens are summed per cell (source, lang, topic); raking then scales the
 cells until the marginal token shares of all three traits equal their targets.
-A document is drawn with the probability ``scale * factor`` of its cell, where
-the scale makes the largest probability 1, so drawn tokens have the target
-shares in expectation.  The draw compares the probability with a hash of the
-document's id and text: a document is drawn alike in every run and partition.
+A document's weight is ``scale * factor`` of its cell, where the scale makes the
+weighted tokens ``volume`` times the tokens there are (``VOLUME``: as many).  The
+weight is the expected number of copies: its whole part is drawn for certain,
+one more with the probability of its fraction.  So the expected tokens have both
+the volume and the shares that raking reached, and a rare cell is repeated
+itself instead of lowering the draw of all others.  The draw compares the
+fraction with a hash of the document's id and text: a document is drawn alike in
+every run and partition.
 
 Targets default to tempered shares (share ** ``TEMPER``, normalised), which
 lift small sources; any {value: weight} can be given.
@@ -22,7 +26,8 @@ Defined results: tokens are white-space separated words; null and empty texts
 have none, topic 0, and are drawn by their cell's factor (a cell without any
 tokens has factor 1 before scaling); null sources and languages are values of
 their own; repeated rows share their draw; an empty table gives an empty
-result; other columns pass through untouched.
+result; other columns pass through untouched.  ``probability`` is that of one
+copy or more, ``sampled`` says that there is one.
 """
 
 from __future__ import annotations
@@ -38,6 +43,7 @@ from .common import byte_view, free_name, shared_table, text_slices, utf8, word_
 
 TOPICS = 8
 TEMPER = 0.9
+VOLUME = 1.0
 LOCAL_CELLS = 100_000
 MAX_ROUNDS = 50
 TOLERANCE = 1e-9
@@ -155,10 +161,11 @@ def rake_spark(cells: DataFrame, targets: dict[str, dict[str, float]] | None = N
 
 def draw(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None,
-         temper: float = TEMPER, local_cells: int = LOCAL_CELLS) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with tokens, topic, weight, probability and sampled columns;
-    the second result names them."""
-    names = {k: free_name(docs, k) for k in ("tokens", "topic", "weight", "probability", "sampled")}
+         temper: float = TEMPER, local_cells: int = LOCAL_CELLS,
+         volume: float = VOLUME) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with tokens, topic, weight, probability, sampled and copies
+    columns; the second result names them."""
+    names = {k: free_name(docs, k) for k in ("tokens", "topic", "weight", "probability", "sampled", "copies")}
     table = shared_table(with_traits(docs, names, text_col), "traits")
     topic = topic_col or names["topic"]
     cells = cell_tokens(table, source_col, lang_col, topic, names["tokens"])
@@ -169,33 +176,38 @@ def draw(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id
         f = rake_local(got, targets, temper)
         raked = spark.createDataFrame([(*c, float(x)) for c, x in zip(got, f)],
                                       "source string, lang string, topic string, tokens double, factor double")
-        top = float(f.max()) if len(f) else 1.0
+        have, raw = sum(c[3] * x for c, x in zip(got, f)), sum(c[3] for c in got)
         raked = F.broadcast(raked)
     else:
         raked = rake_spark(cells, targets, temper)
-        top = raked.agg(F.max("factor")).first()[0] or 1.0
+        have, raw = raked.agg(F.sum(F.col("tokens") * F.col("factor")), F.sum("tokens")).first()
+    scale = volume * float(raw) / float(have) if have else volume
     keyed = raked.select(*(F.col(t).alias("__" + t) for t in TRAITS), F.col("factor").alias("__factor"))
     met = table.join(keyed, (_label(F.col(source_col)) == F.col("__source")) & (_label(F.col(lang_col)) == F.col("__lang"))
                      & (_label(F.col(topic)) == F.col("__topic")))
     u = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)), 11) / F.lit(float(1 << 53))
-    out = met.withColumn(names["weight"], F.col("__factor")).withColumn(
-        names["probability"], F.least(F.lit(1.0), F.col("__factor") / F.lit(top or 1.0)))
-    out = out.withColumn(names["sampled"], u < F.col(names["probability"]))
+    weight = F.col(names["weight"])
+    out = met.withColumn(names["weight"], F.col("__factor") * F.lit(scale))
+    out = out.withColumn(names["probability"], F.least(F.lit(1.0), weight)).withColumn(
+        names["copies"], F.floor(weight) + (u < weight - F.floor(weight)).cast("long"))
+    out = out.withColumn(names["sampled"], F.col(names["copies"]) > 0)
     return out.drop("__source", "__lang", "__topic", "__factor"), names
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", **more) -> DataFrame:
     """One row per document: id, source, lang, topic, tokens, weight,
-    probability, sampled."""
+    probability, sampled, copies."""
     out, names = draw(docs, targets, id_col, **more)
     source, lang = more.get("source_col", "source"), more.get("lang_col", "lang")
     return out.select(F.col(id_col), F.col(source).alias("source"), F.col(lang).alias("lang"),
                       F.col(more.get("topic_col") or names["topic"]).alias("topic"),
-                      *(F.col(names[k]).alias(k) for k in ("tokens", "weight", "probability", "sampled")))
+                      *(F.col(names[k]).alias(k) for k in ("tokens", "weight", "probability", "sampled", "copies")))
 
 
 def sample_mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
                    **more) -> DataFrame:
-    """The drawn documents, all their columns."""
+    """The drawn documents, all their columns, a row per copy."""
     out, names = draw(docs, targets, id_col, **more)
-    return out.where(F.col(names["sampled"])).select(*docs.columns)
+    copy = free_name(out, "__copy")
+    return (out.where(F.col(names["sampled"]))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(names["copies"])))).select(*docs.columns))

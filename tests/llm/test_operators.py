@@ -2,10 +2,11 @@
 small tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -472,6 +473,30 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("volume", [1.0, 0.5])
+def test_rare_cell_leaves_the_volume(spark, volume):
+    """The drawn volume is the stated one, and a one-word document of a new
+    source and language does not lower the draw of the others."""
+    r = random.Random(11)
+    data = [(k, " ".join(words(r.randrange(20, 80), k)), "big" if k % 10 else "small", "en" if k % 7 else "de", k % 3)
+            for k in range(600)]
+    schema = "doc_id long, text string, source string, lang string, theme int"
+    plain, more = (spark.createDataFrame(x, schema) for x in (data, data + [(600, "lone", "new", "xx", 0)]))
+    before, after = ({x["doc_id"]: x for x in mixing.mix(d, topic_col="theme", volume=volume).collect()}
+                     for d in (plain, more))
+    for got in (before, after):
+        tokens = sum(x["tokens"] for x in got.values())
+        assert sum(x["tokens"] * x["weight"] for x in got.values()) == pytest.approx(volume * tokens, rel=1e-9)
+        assert sum(x["tokens"] * x["copies"] for x in got.values()) == pytest.approx(volume * tokens, rel=0.1)
+        for x in got.values():
+            assert x["probability"] == min(1.0, x["weight"]) and x["sampled"] == (x["copies"] > 0)
+            assert math.floor(x["weight"]) <= x["copies"] <= math.ceil(x["weight"])
+    assert all(after[k]["weight"] == pytest.approx(before[k]["weight"], rel=0.01) for k in before)
+    assert after[600]["weight"] > 2 * volume
+    left = Counter(x["doc_id"] for x in mixing.sample_mixture(more, topic_col="theme", volume=volume).collect())
+    assert left == Counter({k: x["copies"] for k, x in after.items() if x["copies"]})
+
+
 # -- pipeline and registered queries --------------------------------------------------------
 
 def test_pipeline_stages(spark, small_dir):
