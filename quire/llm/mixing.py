@@ -2,7 +2,11 @@
 
 Every document has a token count and three traits: source, language and topic.
 The tokens are summed per cell (source, lang, topic); raking then scales the
-cells until the marginal token shares of all three traits equal their targets.
+cells until the marginal token shares of all three traits are within
+``TOLERANCE`` of their targets (relative).  Targets that no scaling of the cells
+there are can meet (say a source that is alone in a language) have no such end:
+raking then stops when a round changes no cell's factor any more (``STILL``), or
+after ``MAX_ROUNDS``, and logs the largest deviation that remains.
 A document's weight is ``scale * factor`` of its cell, where the scale makes the
 weighted tokens ``volume`` times the tokens there are (``VOLUME``: as many).  The
 weight is the expected number of copies: its whole part is drawn for certain,
@@ -17,7 +21,8 @@ lift small sources; any {value: weight} can be given.
 
 Cells are summed by Spark.  Up to ``LOCAL_CELLS`` of them are raked with numpy
 on the driver (a proven bound on what is fetched); more are raked in Spark
-rounds with the same steps, each round written to the shared folder.
+rounds with the same steps and the same end, each round written to the shared
+folder.
 
 A table without a topic column gets a lexical stand-in: the class of initial
 bytes that begins most of the document's words (``TOPICS`` classes).
@@ -32,6 +37,7 @@ copy or more, ``sampled`` says that there is one.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,12 +51,16 @@ TOPICS = 8
 TEMPER = 0.9
 VOLUME = 1.0
 LOCAL_CELLS = 100_000
-MAX_ROUNDS = 50
+MAX_ROUNDS = 1000
 TOLERANCE = 1e-9
+#: Largest relative change of a factor in a round that counts as none.
+STILL = 1e-12
 SEED = 20_241
 
 TRAITS = ("source", "lang", "topic")
 
+log = logging.getLogger(__name__)
+
 
 def tokens_and_topics(data: np.ndarray, offsets: np.ndarray, topics: int = TOPICS) -> tuple[np.ndarray, np.ndarray]:
     """Words and topic class of each text."""
@@ -98,6 +108,17 @@ def tempered(shares: dict[str, float], temper: float = TEMPER) -> dict[str, floa
     return {k: v / total for k, v in raised.items()} if total else {}
 
 
+def _ended(off: float, change: float, left: int) -> bool:
+    """Whether raking ends with a round whose largest deviation was ``off`` and
+    that changed factors by ``change``; logs an end before the targets are met."""
+    if off < TOLERANCE:
+        return True
+    if change < STILL or not left:
+        log.warning("raking ended with a marginal share off its target by %.3g of it (%s)", off,
+                    "the targets cannot all be met" if change < STILL else "last round")
+    return change < STILL
+
+
 def rake_local(cells: list[tuple[str, str, str, float]], targets: dict[str, dict[str, float]] | None = None,
                temper: float = TEMPER) -> np.ndarray:
     """Factor of each cell, in the order given."""
@@ -112,21 +133,22 @@ def rake_local(cells: list[tuple[str, str, str, float]], targets: dict[str, dict
         goal = (targets or {}).get(trait) or tempered(dict(zip(values.tolist(), share.tolist())), temper)
         total = sum(goal.get(v, 0.0) for v in values.tolist())
         marks.append((code, len(values), np.array([goal.get(v, 0.0) for v in values.tolist()]) / (total or 1)))
-    for _ in range(MAX_ROUNDS):
-        off = 0.0
+    for left in reversed(range(MAX_ROUNDS)):
+        off, was = 0.0, f
         for code, k, goal in marks:
             have = np.bincount(code, w * f, minlength=k)
             have /= have.sum() or 1
             step = np.where(have > 0, goal / np.maximum(have, 1e-300), 1.0)
             off = max(off, float(np.abs(step[have > 0] - 1).max(initial=0)))
             f = f * step[code]
-        if off < TOLERANCE:
+        some = (w > 0) & (was > 0)
+        if _ended(off, float(np.abs(f[some] / was[some] - 1).max(initial=0)), left):
             break
     return f
 
 
 def rake_spark(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER,
-               rounds: int = MAX_ROUNDS, tolerance: float = 1e-6) -> DataFrame:
+               rounds: int = MAX_ROUNDS) -> DataFrame:
     """The same for any number of cells: (source, lang, topic, tokens, factor)."""
     spark = cells.sparkSession
     goals = {}
@@ -140,7 +162,8 @@ def rake_spark(cells: DataFrame, targets: dict[str, dict[str, float]] | None = N
         total = g.agg(F.sum("goal")).first()[0] or 1.0
         goals[trait] = shared_table(g.select("value", (F.col("goal") / total).alias("goal")), "goals")
     level = cells.withColumn("factor", F.lit(1.0))
-    for _ in range(rounds):
+    for left in reversed(range(rounds)):
+        level = level.withColumn("was", F.col("factor"))
         deviation = F.lit(0.0)
         for trait in TRAITS:
             have = level.groupBy(trait).agg(F.sum(F.col("tokens") * F.col("factor")).alias("have"))
@@ -153,9 +176,11 @@ def rake_spark(cells: DataFrame, targets: dict[str, dict[str, float]] | None = N
             level = level.withColumn("off", deviation if trait == TRAITS[0] else F.greatest("off", deviation))
             level = shared_table(level.drop("step", "some"), "raked")
             deviation = F.lit(0.0)
-        if (level.agg(F.max("off")).first()[0] or 0.0) < tolerance:
+        moved = F.when((F.col("tokens") > 0) & (F.col("was") > 0), F.abs(F.col("factor") / F.col("was") - 1))
+        off, change = level.agg(F.max("off"), F.max(moved)).first()
+        if _ended(off or 0.0, change or 0.0, left):
             break
-        level = level.drop("off")
+        level = level.drop("off", "was")
     return level.select(*TRAITS, "tokens", "factor")
 
 

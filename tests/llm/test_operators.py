@@ -473,6 +473,37 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_raking_reaches_its_targets(caplog):
+    """Sparse cells take hundreds of rounds; targets that cannot be met are said."""
+    cells = [("a", "x", "0", 1000.0), ("a", "x", "1", 900.0), ("a", "y", "0", 2.0), ("b", "x", "1", 1.0),
+             ("b", "y", "0", 300.0), ("b", "y", "1", 400.0), ("c", "y", "1", 5.0), ("c", "x", "0", 70.0)]
+
+    def apart(cells, f):
+        out = []
+        for k in range(3):
+            share, goal = ({v: sum(x for c, x in zip(cells, y) if c[k] == v) for v in {c[k] for c in cells}}
+                           for y in (f * [c[3] for c in cells], [c[3] for c in cells]))
+            z, total = sum(g ** 0.9 for g in goal.values()), sum(share.values())
+            out.append(max(abs(share[v] / total / (goal[v] ** 0.9 / z) - 1) for v in goal))
+        return max(out)
+
+    assert apart(cells, mixing.rake_local(cells)) < 1e-8 and not caplog.records
+    alone = cells + [("new", "xx", "0", 1.0)]
+    off = apart(alone, mixing.rake_local(alone))
+    said = [x.getMessage() for x in caplog.records]
+    assert off > 1e-3 and len(said) == 1 and "cannot all be met" in said[0]
+    assert float(re.search(r"by (\S+) of it", said[0])[1]) == pytest.approx(off, rel=0.3)
+
+
+def test_raking_in_spark_ends_alike(spark, caplog):
+    r = random.Random(3)
+    cells = [(s, g, t, float(r.randint(1, 1000))) for s in ("a", "b") for g in ("x", "y") for t in ("0", "1")]
+    near = dict(zip([c[:3] for c in cells], mixing.rake_local(cells)))
+    some = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    far = {(x["source"], x["lang"], x["topic"]): x["factor"] for x in mixing.rake_spark(some).collect()}
+    assert all(far[k] == pytest.approx(near[k], rel=1e-9) for k in near) and not caplog.records
+
+
 @pytest.mark.parametrize("volume", [1.0, 0.5])
 def test_rare_cell_leaves_the_volume(spark, volume):
     """The drawn volume is the stated one, and a one-word document of a new
