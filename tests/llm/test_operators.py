@@ -543,6 +543,74 @@ def test_pipeline_stages(spark, small_dir):
     assert len(p.STAGES) == 5 and docs.limit(0).count() == 0
 
 
+def brute_weights(docs, volume):
+    """Expected copies of each (id, text, source, lang), raked one cell after the other."""
+    cell, tokens = [], []
+    for _, text, source, lang in docs:
+        w = (text or "").encode().split()
+        lead = [sum((x[0] | 32) % 8 == k for x in w) for k in range(8)]
+        cell.append((source, lang, lead.index(max(lead))))
+        tokens.append(len(w))
+    mass = defaultdict(float)
+    for c, n in zip(cell, tokens):
+        mass[c] += n
+    total, start = sum(mass.values()), dict(mass)
+    shares = [defaultdict(float) for _ in range(3)]
+    for c, n in mass.items():
+        for k in range(3):
+            shares[k][c[k]] += n / total
+    goals = [{v: x ** 0.9 / sum(y ** 0.9 for y in s.values()) for v, x in s.items()} for s in shares]
+    for _ in range(1500):
+        for k in range(3):
+            have = defaultdict(float)
+            for c, n in mass.items():
+                have[c[k]] += n
+            mass = {c: n * goals[k][c[k]] / (have[c[k]] / total) if n else n for c, n in mass.items()}
+    return [volume * mass[c] / start[c] for c in cell]
+
+
+def brute_copies(docs, weights):
+    out = []
+    for (i, text, *_), w in zip(docs, weights):
+        h = xxhash.xxh64_intdigest((20_241).to_bytes(4, "little"), seed=42)
+        h = xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), seed=h)
+        h = xxhash.xxh64_intdigest(text.encode(), seed=h) if text is not None else h
+        out.append(int(w) + ((h >> 11) / 2 ** 53 < w - int(w)))
+    return out
+
+
+def test_pipeline_rows(spark, small_dir):
+    """The rows of run() against brute force from the quality stage's rows on."""
+    import corpus_pipeline as p
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    judged = quality.judge(docs, spark.read.parquet(f"{small_dir}/labels.parquet"))
+    good = {r["doc_id"] for r in judged.where("keep").collect()}
+    left = sorted((r["doc_id"], r["text"], r["source"], r["lang"]) for r in docs.collect() if r["doc_id"] in good)
+    first = {}
+    for d in left:
+        first.setdefault(SPACE.sub(b" ", (d[1] or "").encode()), d)
+    left = list(first.values())
+    fps, root = [brute_fingerprint(d[1]) for d in left], list(range(len(left)))
+    near = [(i, j) for i in range(len(left)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    for _ in left:
+        for i, j in near:
+            root[i] = root[j] = min(root[i], root[j])
+    left = [left[k] for k in sorted(set(root))]
+    weights = brute_weights(left, p.MIXED_VOLUME)
+    copies = brute_copies(left, weights)
+    drawn = mixing.mix(docs.where(F.col("doc_id").isin([d[0] for d in left])), volume=p.MIXED_VOLUME).collect()
+    got = {r["doc_id"]: r for r in drawn}
+    for d, w, n in zip(left, weights, copies):
+        assert got[d[0]]["weight"] == pytest.approx(w, rel=1e-6) and got[d[0]]["copies"] == n
+    lib, want = Tokenizer.from_file(queries.WORD_VOCABULARY), []
+    for d, n in zip(left, copies):
+        ids = [*lib.encode(d[1] or "", add_special_tokens=False).ids, 1]
+        for at in range(0, len(ids), 4096):
+            part = np.array(ids[at:at + 4096], "<u4")
+            want += [(d[0], at // 4096, at, len(part), zlib.crc32(part.tobytes()))] * n
+    assert rows(p.run(spark, small_dir), "doc_id", "piece", "start", "length", "ids_crc32") == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle_sql(spark, small_dir, name):
     con = duckdb.connect()
