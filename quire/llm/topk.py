@@ -16,7 +16,8 @@ per query, and entries open into rows.
 Defined results: the query row itself counts as a row; equal distances are
 ordered by id; a null vector has no code and is neither query nor answer; a
 null or NaN component, or a missing one in a short vector, is a 0 bit;
-components beyond ``n_bits`` are not part of the code; repeated rows (the same
+a code is as long as the longest vector, or ``n_bits`` if given (components
+beyond are then not part of it); repeated rows (the same
 id twice) are rows each; null ids answer last and never query; fewer than k
 rows give fewer answers; an empty table gives an empty result.
 """
@@ -36,7 +37,6 @@ from pyspark.sql import functions as F
 from .common import shared_table
 
 K = 10
-N_BITS = 64
 #: Entries and queries of one group.
 BLOCK_CODES = 65_536
 BLOCK_QUERIES = 256
@@ -64,6 +64,12 @@ def sign_codes(vectors: DataFrame, id_col: str, vec_col: str, n_bits: int) -> Da
             .where(F.col("v").isNotNull()).mapInArrow(code, f"id {id_type}, code binary"))
 
 
+def longest(vectors: DataFrame, queries: DataFrame, vec_col: str) -> int:
+    """Components of the longest vector, at least 1."""
+    sizes = [t.where(F.col(vec_col).isNotNull()).select(F.size(vec_col).alias("n")) for t in (vectors, queries)]
+    return max(1, sizes[0].unionAll(sizes[1]).agg(F.max("n")).first()[0] or 1)
+
+
 class CodeIndex:
     """Multi-index over one block of codes."""
 
@@ -124,8 +130,9 @@ class CodeIndex:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-          k: int = K, n_bits: int = N_BITS) -> DataFrame:
+          k: int = K, n_bits: int | None = None) -> DataFrame:
     """(query_id, rank, id, distance): the k nearest rows of each query row."""
+    n_bits = n_bits or longest(vectors, queries, vec_col)
     rows = shared_table(sign_codes(vectors, id_col, vec_col, n_bits), "codes")
     asked = shared_table(sign_codes(queries.where(F.col(id_col).isNotNull()), id_col, vec_col, n_bits), "queries")
     id_type = rows.schema["id"].dataType.simpleString()

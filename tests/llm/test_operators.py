@@ -245,6 +245,19 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_reads_whole_vectors(spark):
+    """Vectors that differ beyond component 64 only, and shorter ones."""
+    data = [(i, [1.0] * 64 + [1.0 if i >> b & 1 else -1.0 for b in range(6)]) for i in range(40)] + [(40, [1.0] * 64)]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    bits = {i: [x > 0 for x in v] + [False] * (70 - len(v)) for i, v in data}
+    want = []
+    for q in bits:
+        near = sorted((sum(a != b for a, b in zip(bits[q], bits[i])), i) for i in bits)[:10]
+        want += [(q, n + 1, i, d) for n, (d, i) in enumerate(near)]
+    got = topk.top_k(vectors, vectors)
+    assert rows(got, "query_id", "rank", "vec_id", "distance") == sorted(want, key=str)
+
+
 # -- op8 and op10 ---------------------------------------------------------------------------
 
 def best_fit_by_piece(lengths, capacity):
