@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash_dedup, substring_dedup, token_files, topk, toxicity
-from . import url_filter
+from . import exact_dedup, mixing, packing, quality, resampling, simhash_dedup, substring_dedup, token_files, topk
+from . import toxicity, url_filter
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,9 +65,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_simhash_dedup, op4_topk_search, op5_exact_dedup,
-                            op6_toxicity, op7_quality, op8_packing, op9_mixing, op10_token_files)}
+                            op6_toxicity, op7_quality, op8_packing, op9_mixing, op10_token_files,
+                            op12_resampling)}
 
 # Java's [\x20\x09-\x0D] in RE2 notation
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -102,6 +107,46 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
        count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM n
+""",
+    "op12_resampling": r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+lowered AS (
+  SELECT 'd' AS kind, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+  UNION ALL
+  SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+  FROM benchmark),
+features AS (
+  SELECT kind, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM lowered),
+per_text AS (SELECT kind, doc_id, w, count(*) AS n FROM features GROUP BY ALL),
+named AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(hex(w)) // 2),
+              lambda i: CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM per_text), crc),
+buckets AS (
+  SELECT bucket, sum(CASE WHEN kind = 'd' THEN n ELSE 0 END) AS s, sum(CASE WHEN kind = 'b' THEN n ELSE 0 END) AS t
+  FROM per_text JOIN named USING (w) GROUP BY bucket),
+sums AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM buckets),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE))
+                                      / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM buckets, sums),
+weights AS (
+  SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM per_text JOIN named USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+able AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN able USING (doc_id)
 """,
 }
 
