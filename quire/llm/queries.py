@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hard_negatives, mixing, packing, quality, resampling, simhash_dedup, substring_dedup
-from . import token_files, topk, toxicity, url_filter
+from . import exact_dedup, hard_negatives, interpolation, mixing, packing, quality, resampling, simhash_dedup
+from . import substring_dedup, token_files, topk, toxicity, url_filter
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,10 +76,14 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_simhash_dedup, op4_topk_search, op5_exact_dedup,
                             op6_toxicity, op7_quality, op8_packing, op9_mixing, op10_token_files,
-                            op11_hard_negatives, op12_resampling)}
+                            op11_hard_negatives, op12_resampling, op13_lm_scoring)}
 
 # Java's [\x20\x09-\x0D] in RE2 notation
 _SPACE = r"[\x20\x09-\x0D]+"
