@@ -5,9 +5,10 @@ Parquet tables have no UPDATE/DELETE, so every change is a join that writes
 a new snapshot; a job publishes it to a new version path.
 
 Batch rules (the same for every job):
-* duplicate request keys: the lowest ``seq`` wins, later ones are rejected
-  with reason ``duplicate request`` (a batch sees the snapshot as of its
-  start, not its own earlier rows);
+* requests that break a rule are refused first; of those that are left the
+  lowest ``seq`` of a key wins, later ones are rejected with reason
+  ``duplicate request`` (a batch sees the snapshot as of its start, not its own
+  earlier rows; ``in_turn`` has the jobs that apply all changes of a key);
 * new ids follow ``seq`` order and start after the current maximum (F2);
 * "now" is a parameter, so a re-run produces the same rows.
 
@@ -171,13 +172,14 @@ def add_users(users: DataFrame, roles: DataFrame, requests: DataFrame, now: Colu
     """AddUser for a batch: the role must resolve, the reserved name is
     refused, existing usernames are skipped (in that order of reasons)."""
     keys = ["seq", "username"]
-    winners, dups = dedupe(requests, "username", keys)
-    w = winners.join(roles_dim(roles), "role_name", "left")
+    w = requests.join(roles_dim(roles), "role_name", "left")
     w = flag_present(w, users, "username", "_exists", keys_from=requests)
-    reason = (F.when(F.col("role_id").isNull(), F.lit("unknown role"))
+    reason = (F.when(F.col("username").isNull(), F.lit("key missing"))
+              .when(F.col("role_id").isNull(), F.lit("unknown role"))
               .when(reserved_name(), F.lit("reserved username"))
               .when(F.col("_exists"), F.lit("exists")))
     ok, rej = split_by_reason(w, reason, keys)
+    ok, dups = dedupe(ok.drop("_exists"), "username", keys)
     new = assign_new_ids(ok, users, "user_id")
     added = conform(apply_defaults(new.select("user_id", "username", "password_hash", "role_id"),
                                    "users", now), S.USERS_SCHEMA)
@@ -204,22 +206,23 @@ def register_clients(users: DataFrame, customers: DataFrame, roles: DataFrame,
     """Register(username, hash, full_name, email) for a batch.  Creates a
     user with the Customer role and a profile.  Refused, in this order: the
     reserved name, a taken username, a taken email (email is UNIQUE on
-    profiles), a missing Customer role; of several new requests with one
-    email only the first is kept."""
+    profiles), a missing Customer role; then all but the first request per
+    username; of several of the rest with one email only the first is kept."""
     keys = ["seq", "username"]
-    winners, dups = dedupe(requests, "username", keys)
-    w = flag_present(winners, users, "username", "_exists", keys_from=requests)
+    w = flag_present(requests, users, "username", "_exists", keys_from=requests)
     w = flag_present(w, customers.filter(F.col("email").isNotNull()), "email", "_email_taken",
                      keys_from=requests)
     # every registration asks for the Customer role (an equi-join on the
     # constant name against the broadcast role table)
     w = (w.drop("role_id", "role_name").withColumn("role_name", F.lit(S.ROLE_CUSTOMER))
          .join(roles_dim(roles), "role_name", "left").drop("role_name"))
-    reason = (F.when(reserved_name(), F.lit("reserved username"))
+    reason = (F.when(F.col("username").isNull(), F.lit("key missing"))
+              .when(reserved_name(), F.lit("reserved username"))
               .when(F.col("_exists"), F.lit("exists"))
               .when(F.col("_email_taken"), F.lit("email exists"))
               .when(F.col("role_id").isNull(), F.lit("role missing")))
     ok, rej = split_by_reason(w, reason, keys)
+    ok, dups = dedupe(ok.drop("_exists", "_email_taken"), "username", keys)
     email_first, email_dups = first_by_seq(ok.filter(F.col("email").isNotNull()), "email")
     ok = email_first.unionByName(ok.filter(F.col("email").isNull()))
     ranked = assign_ids(ok, ["seq"], "_rank", base=0)
@@ -266,16 +269,15 @@ def upsert_users(users: DataFrame, requests: DataFrame, now: Column) -> Applied:
     """Matched usernames get role_id and status from the request; others
     are inserted (through the reserved-name rule)."""
     keys = ["seq", "username"]
-    winners, dups = dedupe(requests, "username", keys)
-    w = flag_present(winners, users, "username", "_exists", keys_from=requests)
+    w = flag_present(requests, users, "username", "_exists", keys_from=requests)
+    ok, rej = split_by_reason(w, F.when(~F.col("_exists") & reserved_name(), F.lit("reserved username")), keys)
+    w, dups = dedupe(ok, "username", keys)
     changes = w.filter(F.col("_exists")).select(
         "username", F.col("role_id").alias("_new_role_id"), F.col("status").alias("_new_status"))
     updated = set_where_matched(users, changes, "username",
                                 {"role_id": F.col("_new_role_id"), "status": F.col("_new_status")},
                                 keep_null=False)
-    inserts, rej = split_by_reason(w.filter(~F.col("_exists")),
-                                   F.when(reserved_name(), F.lit("reserved username")), keys)
-    inserts = assign_new_ids(inserts, users, "user_id")
+    inserts = assign_new_ids(w.filter(~F.col("_exists")), users, "user_id")
     added = conform(apply_defaults(inserts.select("user_id", "username", "password_hash",
                                                   "role_id", "status"), "users", now),
                     S.USERS_SCHEMA)
@@ -493,24 +495,30 @@ def add_to_cart(books: DataFrame, requests: DataFrame, order_items: DataFrame |
 def place_orders(orders: DataFrame, customers: DataFrame, cart: DataFrame, requests: DataFrame,
                  now: Column) -> Applied:
     """PlaceOrder per requested customer: one new open order each (empty
-    cart → total 0), cart lines of that customer move into it."""
+    cart → total 0).  ``cart`` may be the whole line table: only the customer's
+    lines without an order move and are summed, lines placed before keep theirs."""
     keys = ["seq", "customer_id"]
     known = restrict_to(customers.select("customer_id"), requests, "customer_id")
     missing = rejected(requests.join(known, "customer_id", "left_anti"), "unknown customer", keys)
     who = (requests.join(known, "customer_id", "left_semi")
            .groupBy("customer_id").agg(F.min("seq").alias("seq")))
-    per_cart = (cart.groupBy("customer_id")
+    if "order_id" not in cart.columns:
+        cart = cart.withColumn("order_id", F.lit(None).cast("long"))
+    per_cart = (cart.filter(F.col("order_id").isNull()).groupBy("customer_id")
                 .agg(F.sum(F.col("qty") * F.col("price")).alias("_t")))
     new = assign_new_ids(who, orders, "order_id", order_cols=("seq", "customer_id"))
     new_orders = (new.join(per_cart, "customer_id", "left")
                   .select("order_id", "customer_id", now.alias("order_date"),
                           F.lit(S.ORDER_NEW).alias("status"),
                           F.coalesce(F.col("_t"), F.lit(0)).cast(S.TOTAL).alias("total_amount")))
-    # the whole line table: lines of these customers move, the others stay in the cart
-    lines = cart.drop("order_id").join(new.select("customer_id", "order_id"), "customer_id", "left")
+    # the whole line table: open lines of these customers move, all others stay as they are
+    target = new.select("customer_id", F.col("order_id").alias("_placed"))
+    lines = (cart.join(target, "customer_id", "left")
+             .withColumn("_moves", F.col("order_id").isNull() & F.col("_placed").isNotNull())
+             .withColumn("order_id", F.coalesce("order_id", "_placed")))
     res = Applied(orders.unionByName(new_orders), missing, new_orders)
-    res.order_items = lines
-    res.lines = lines.filter(F.col("order_id").isNotNull())
+    res.order_items = lines.select(*cart.columns)
+    res.lines = lines.filter("_moves").select(*cart.columns)
     return res
 
 
@@ -675,37 +683,57 @@ def toggle_status(users: DataFrame, audit_log: DataFrame, requests: DataFrame, n
 
 
 def contact_update(users: DataFrame, customers: DataFrame, requests: DataFrame) -> Applied:
-    """Profile fields by login; NULL keeps the old value."""
+    """Profile fields by login; NULL keeps the old value.  Refused: a
+    login without a profile, an e-mail that another customer has (e-mail is
+    UNIQUE); of the rest the first request per login counts, and of several that
+    ask for one e-mail the first gets it."""
     keys = ["seq", "username"]
-    winners, dups = dedupe(requests, "username", keys)
-    who = (restrict_to(users.select("user_id", "username"), requests, "username")
-           .join(customers.select("user_id", "customer_id"), "user_id"))
-    ok, missing = split_by_reason(winners.join(who, "username", "left"),
-                                  F.when(F.col("customer_id").isNull(), F.lit("no profile")), keys)
-    ch = ok.select("customer_id", *[F.col(f"new_{c}").alias(f"_new_{c}")
-                                    for c in ("address", "phone", "full_name", "email")])
+    ok, rej = resolved_contacts(users, customers, requests, keys)
+    ok, dups = dedupe(ok, "username", keys)
+    asks, lost = first_by_seq(ok.filter(F.col("new_email").isNotNull()), "new_email")
+    ok = asks.unionByName(ok.filter(F.col("new_email").isNull()))
+    ch = ok.select("customer_id", *[F.col(f"new_{c}").alias(f"_new_{c}") for c in CONTACT_FIELDS])
     snap = set_where_matched(customers, ch, "customer_id",
-                             {c: F.col(f"_new_{c}") for c in ("address", "phone", "full_name",
-                                                              "email")}, keep_null=True)
-    return Applied(snap, union_all([dups, missing]))
+                             {c: F.col(f"_new_{c}") for c in CONTACT_FIELDS}, keep_null=True)
+    return Applied(snap, union_all([rej, dups, rejected(lost, "email exists", keys)]))
+
+
+CONTACT_FIELDS = ("address", "phone", "full_name", "email")
+
+
+def resolved_contacts(users: DataFrame, customers: DataFrame, requests: DataFrame, keys: list[str]):
+    """Contact requests with their customer_id, and the refused ones: no
+    login, no profile, or an e-mail that another customer has."""
+    who = (restrict_to(users.select("user_id", "username"), requests, "username")
+           .join(customers.select("user_id", "customer_id"), "user_id").select("username", "customer_id"))
+    holder = (restrict_to(customers.filter(F.col("email").isNotNull())
+                          .select(F.col("email").alias("new_email"), "customer_id"), requests, "new_email")
+              .groupBy("new_email").agg(F.min("customer_id").alias("_holder")))
+    j = requests.join(who, "username", "left").join(holder, "new_email", "left")
+    reason = (F.when(F.col("username").isNull(), F.lit("key missing"))
+              .when(F.col("customer_id").isNull(), F.lit("no profile"))
+              .when(F.col("_holder") != F.col("customer_id"), F.lit("email exists")))
+    ok, rej = split_by_reason(j, reason, keys)
+    return ok.drop("_holder"), rej
 
 
 def security_update(users: DataFrame, roles: DataFrame, requests: DataFrame) -> Applied:
     """New hash / status; only an Admin or the user themself may change
-    it; NULL keeps the old value."""
+    it; NULL keeps the old value.  A refused request does not use up its key."""
     keys = ["seq", "username"]
-    winners, dups = dedupe(requests, "username", keys)
     admins = (restrict_to(users.select(F.col("username").alias("viewer"), "role_id"), requests,
                           "viewer")
               .join(roles_dim(roles), "role_id")
               .select("viewer", (F.col("role_name") == S.ROLE_ADMIN).alias("_admin")))
-    w = flag_present(winners.join(admins, "viewer", "left"), users, "username", "_exists",
+    w = flag_present(requests.join(admins, "viewer", "left"), users, "username", "_exists",
                      keys_from=requests)
     allowed = (F.coalesce(F.col("_admin"), F.lit(False))
                | F.col("viewer").eqNullSafe(F.col("username")))
-    reason = (F.when(~allowed, F.lit("not allowed"))
+    reason = (F.when(F.col("username").isNull(), F.lit("key missing"))
+              .when(~allowed, F.lit("not allowed"))
               .when(~F.col("_exists"), F.lit("not found")))
     ok, rej = split_by_reason(w, reason, keys)
+    ok, dups = dedupe(ok.drop("_admin", "_exists"), "username", keys)
     ch = ok.select("username", F.col("new_password_hash").alias("_new_hash"),
                    F.col("new_status").alias("_new_status"))
     snap = set_where_matched(users, ch, "username",

@@ -52,13 +52,19 @@ def assign_ids_q(d: Domain):
 # ---------------------------------------------------------------------------
 # Add users / roles if absent
 # ---------------------------------------------------------------------------
+_SIGNUP_OK_SQL = R.USER_SIGNUPS_SQL + f""",
+r_signup_ok AS (
+  SELECT w.*, ro.role_id FROM r_signups w JOIN v_roles ro ON w.role_name = ro.role_name
+  WHERE w.username IS DISTINCT FROM '{S.RESERVED_USERNAME}'
+    AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.username = w.username)
+)"""
+
+
 @register("add_users_new", f"""
 SELECT (SELECT max(user_id) FROM v_users) + row_number() OVER (ORDER BY w.seq) AS user_id,
-       w.username, w.password_hash, ro.role_id, '{S.STATUS_ACTIVE}' AS status, {TS} AS created_at
-FROM ({_first('r_signups', 'username')}) w JOIN v_roles ro ON w.role_name = ro.role_name
-WHERE w.username IS DISTINCT FROM '{S.RESERVED_USERNAME}'
-  AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.username = w.username)
-""", extra_ctes=R.USER_SIGNUPS_SQL)
+       w.username, w.password_hash, w.role_id, '{S.STATUS_ACTIVE}' AS status, {TS} AS created_at
+FROM ({_first('r_signup_ok', 'username')}) w
+""", extra_ctes=_SIGNUP_OK_SQL)
 def add_users_new(d: Domain):
     """AddUser for every sign-up; returns the inserted users."""
     req = R.user_signups(d).select("seq", "username", "password_hash", "role_name")
@@ -108,13 +114,13 @@ FROM r_ok2
 
 def _register_ctes(src: str) -> str:
     return f"""
-r_w AS ({_first(src, 'username')}),
-r_ok1 AS (
-  SELECT * FROM r_w
+r_ok0 AS (
+  SELECT * FROM {src} r
   WHERE username IS DISTINCT FROM '{S.RESERVED_USERNAME}'
-    AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.username = r_w.username)
-    AND NOT EXISTS (SELECT 1 FROM v_customers c WHERE c.email = r_w.email)
+    AND NOT EXISTS (SELECT 1 FROM v_users u WHERE u.username = r.username)
+    AND NOT EXISTS (SELECT 1 FROM v_customers c WHERE c.email = r.email)
 ),
+r_ok1 AS ({_first('r_ok0', 'username')}),
 r_ok2 AS (
   SELECT * FROM r_ok1 WHERE email IS NULL
      OR seq = (SELECT min(seq) FROM r_ok1 o2 WHERE o2.email = r_ok1.email)
@@ -953,12 +959,14 @@ r_sec AS (
   SELECT b.c_custkey + {SEQ_SECOND}, a.c_name, b.c_name, CAST(NULL AS VARCHAR), '{S.STATUS_BLOCKED}'
   FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1 WHERE b.c_nationkey = 7
 ),
-r_sec_ok AS (
-  SELECT r.* FROM ({_first('r_sec', 'username')}) r
+r_sec_able AS (
+  SELECT r.* FROM r_sec r
   LEFT JOIN (SELECT u.username, ro.role_name = '{S.ROLE_ADMIN}' AS is_admin
              FROM v_users u JOIN v_roles ro ON u.role_id = ro.role_id) v ON r.viewer = v.username
-  WHERE COALESCE(v.is_admin, false) OR r.viewer IS NOT DISTINCT FROM r.username
-)"""
+  WHERE (COALESCE(v.is_admin, false) OR r.viewer IS NOT DISTINCT FROM r.username)
+    AND r.username IN (SELECT username FROM v_users)
+),
+r_sec_ok AS ({_first('r_sec_able', 'username')})"""
 
 
 def security_requests(d: Domain):
