@@ -16,6 +16,11 @@ Method, within a block of candidates:
    not yet met scores more.  The scan ends when the threshold lies strictly
    below every window's kth score so far, or below the window itself; equal
    scores are read on, since ties go to the smaller id.
+4. Thresholds fall with depth and need no row, so they are known at ``_STEPS``
+   depths beforehand: the scan first goes to where some window can be settled
+   (below its highest score), then to where all must be.  Where the lists read
+   hold ``_ENOUGH`` times the block's rows nearly all rows have been met, and the
+   whole block is scored at once, several anchors in one product.
 
 Spark deals the candidates into blocks of bounded size (by row number, so a
 label or a vector that a third of the rows share is spread evenly) and streams
@@ -35,7 +40,7 @@ columns, whatever their names, are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +53,12 @@ SCALE, POSITIVES, NEGATIVES = 256, 5, 3
 #: A negative scores between these percentages of its positive's score.
 LOW, HIGH = 50, 95
 #: Rows of a block: fewest worth a task of their own, and most.
-LEAST_ROWS, MOST_ROWS = 2048, 65_536
+LEAST_ROWS, MOST_ROWS = 8192, 65_536
 NO_ID = (1 << 63) - 1
 _BOUND = 1 << 24
-_FIRST_DEPTH = 32
+_STEPS, _ENOUGH = 64, 4
+#: Anchors scored in one product.
+_TOGETHER = 32
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, anchors: Column,
@@ -77,6 +84,18 @@ class Block:
         self.codes: dict[str, int] = {}
         self.labels = np.array([self.codes.setdefault(v, len(self.codes)) for v in labels[at]], np.int64)
         self.lists = np.argsort(self.x, axis=0, kind="stable").T.astype(np.int32)
+        n = len(rows)
+        self.depths = np.unique(np.concatenate([[min(n, 8)], -(-n * np.arange(1, _STEPS + 1) // _STEPS)]))
+        ordered = np.sort(self.x, axis=0)
+        self.tops, self.bottoms = ordered[n - self.depths], ordered[self.depths - 1]
+        self.real = self.x.astype(float)
+        self.largest = int(np.abs(self.x).max(initial=0))
+
+    def scores(self, anchors: np.ndarray) -> np.ndarray:
+        """Scores of all candidates for some anchors, one row per anchor."""
+        if self.largest * int(np.abs(anchors).max(initial=0)) * self.x.shape[1] < 1 << 53:
+            return (anchors.astype(float) @ self.real.T).astype(np.int64)       # exact in doubles
+        return anchors @ self.x.T
 
     def _best(self, score: np.ndarray, fits: np.ndarray, k: int) -> np.ndarray:
         """The k best of the candidates ``fits``, ties in candidate order."""
@@ -87,38 +106,50 @@ class Block:
             at = np.concatenate([above, level[:k - len(above)]])
         return at[np.lexsort((at, -score[at]))]
 
-    def search(self, anchor: np.ndarray, windows: list[tuple[int, int]], fits: np.ndarray, k: int) -> list[np.ndarray]:
+    def search(self, a: np.ndarray, windows: list[tuple[int, int]], fits: np.ndarray, k: int,
+               everything: Callable[[], np.ndarray]) -> list[np.ndarray]:
         """For every window (lowest, highest score) the k best candidates
-        among ``fits`` as (place, score) columns."""
-        n, dims = self.x.shape
-        a = np.zeros(dims, np.int64)
-        a[:len(anchor)] = anchor[:dims]
+        among ``fits`` as (place, score) columns.  ``everything`` gives the
+        scores of all candidates."""
+        n = len(self.rows)
         up, down = np.flatnonzero(a > 0), np.flatnonzero(a < 0)
-        score = np.zeros(n, np.int64)
-        met = np.zeros(n, bool)
+        lists = len(up) + len(down)
+        threshold = self.tops[:, up] @ a[up] + self.bottoms[:, down] @ a[down]     # falls with depth
+
+        def below(bound: int) -> int:
+            return min(int(np.searchsorted(-threshold, -bound, side="right")), len(threshold) - 1)
+
+        score, met = np.zeros(n, np.int64), np.zeros(n, bool)
         found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(windows)
         open_ = [w for w, (low, high) in enumerate(windows) if low <= high]
-        depth = 0
-        while open_ and depth < n:
-            to = min(n, max(_FIRST_DEPTH, 2 * depth)) if len(up) + len(down) else n
-            reached = np.zeros(n, bool)
-            if len(up) + len(down):
-                reached[self.lists[up, n - to:n - depth]] = True
-                reached[self.lists[down, depth:to]] = True
+        highest = max((windows[w][1] for w in open_), default=0)
+        step = 0 if highest == NO_ID else below(highest)
+        while open_:
+            depth = int(self.depths[step])
+            if depth * lists >= _ENOUGH * n or not lists or depth == n:
+                score, met = everything(), np.ones(n, bool)
             else:
-                reached[:] = True
-            new = np.flatnonzero(reached & ~met)
-            score[new] = self.x[new] @ a
-            met[new] = True
-            threshold = int(self.x[self.lists[up, n - to], up] @ a[up] + self.x[self.lists[down, to - 1], down] @ a[down])
-            depth, left = to, []
-            for w in open_:
+                reached = np.zeros(n, bool)
+                reached[self.lists[up, n - depth:]] = True
+                reached[self.lists[down, :depth]] = True
+                new = np.flatnonzero(reached & ~met)
+                score[new] = self.x[new] @ a
+                met[new] = True
+            if met.all():
+                fit, last = fits, True
+            else:
+                fit, last = fits & met, False
+            need = []
+            for w in list(open_):
                 low, high = windows[w]
-                found[w] = self._best(score, met & fits & (score >= low) & (score <= high), k)
-                sure = len(found[w]) == k and threshold < score[found[w][-1]]
-                if not sure and threshold >= low:
-                    left.append(w)
-            open_ = left
+                found[w] = self._best(score, fit & (score >= low) & (score <= high), k)
+                bound = int(score[found[w][-1]]) if len(found[w]) == k else low
+                if last or threshold[step] < bound:
+                    open_.remove(w)
+                else:
+                    need.append(bound)
+            if open_:
+                step = below(min(need))
         return [np.stack([f, score[f]], axis=1) for f in found]
 
 
@@ -167,12 +198,22 @@ def _searched(vectors: DataFrame, anchors: DataFrame, blocks: int, dims: int, sa
 
     def answers(b: Block, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own, label, vec = column_or(part, "row").to_numpy(), _labels(part), _vectors(part, dims)
+        whole: dict[int, np.ndarray] = {}                # scores of the anchors at hand
+
+        def everything(i: int) -> np.ndarray:
+            if i // _TOGETHER not in whole:
+                whole.clear()
+                at = i // _TOGETHER * _TOGETHER
+                whole[i // _TOGETHER] = b.scores(vec[at:at + _TOGETHER])
+            return whole[i // _TOGETHER][i % _TOGETHER]
+
         lows, highs = column_or(part, "lows").to_pylist(), column_or(part, "highs").to_pylist()
         a_rows, windows, places = [], [], []
         for i in range(part.num_rows):
             fits = (b.labels == b.codes.get(label[i], -1)) == same_label
             fits &= b.rows != own[i]
-            for w, f in enumerate(b.search(vec[i], list(zip(lows[i], highs[i])), fits, k)):
+            for w, f in enumerate(b.search(vec[i], list(zip(lows[i], highs[i])), fits, k,
+                                              lambda: everything(i))):
                 a_rows.append(np.full(len(f), own[i]))
                 windows.append(np.full(len(f), w, np.int32))
                 places.append(f)
