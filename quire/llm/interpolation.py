@@ -63,7 +63,7 @@ _WIDE, _LOW, _HIGH = 32, -48, 64
 _BINS = (_HIGH - _LOW) * _WIDE + 1
 BUCKETS = 64
 ROUNDS, STILL = 500, 1e-9
-_PAIR = U64(0x9E3779B97F4A7C15)
+_PAIR, _SPACE = U64(0x9E3779B97F4A7C15), np.array([32], np.uint8)
 
 
 # -- blobs -------------------------------------------------------------------------------------
@@ -81,21 +81,24 @@ def unpacked(blob: bytes, kind: type) -> np.ndarray:
 
 # -- blocks ------------------------------------------------------------------------------------
 
-def _cuts(data: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Byte ranges of a long text, cut at white space.  A range starts with the
-    last word of the one before."""
-    out, at, back = [], 0, 0
+def _cuts(data: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, bool, bool]]:
+    """A long text in pieces of about ``size`` bytes, cut at white space:
+    (bytes, whether they start with the last word of what lies before, whether
+    they are the last)."""
+    at, word = 0, data[:0]
     while True:
         end = at + size
         while end < len(data) and NOT_SPACE[data[end]]:
             step = np.flatnonzero(~NOT_SPACE[data[end:end + size]])
             end = end + int(step[0]) if len(step) else end + size
         end = min(end, len(data))
-        out.append((back, end))
+        yield np.concatenate([word, _SPACE, data[at:end]]), len(word) > 0, end == len(data)
         if end == len(data):
-            return out
-        start, _, _ = split(data[back:end], np.array([0, end - back]))
-        back, at = back + int(start[-1]) if len(start) else back, end
+            return
+        start, stop, _ = split(data[at:end], np.array([0, end - at]))
+        if len(start):
+            word = data[at + start[-1]:at + stop[-1]]
+        at = end
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray, lead: bool, last: bool
@@ -112,8 +115,8 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, lead: bool, last: bool
     place[often] = np.arange(1, len(often) + 1)
     seq = place[code]
     ends = np.cumsum(n)
-    heads, tails = (0 if lead and n.sum() else 1), int(last)
-    seq = np.insert(seq, np.concatenate([ends - n] * heads + [ends] * tails).astype(np.int64), 0)
+    heads, tails = int(not lead), int(last)
+    seq = np.insert(seq, np.concatenate([ends[:0]] + [ends - n] * heads + [ends] * tails), 0)
     return [b"", *distinct.take(pa.array(often)).to_pylist()], seq, n + heads + tails
 
 
@@ -149,9 +152,8 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int)
                 if len(data) <= 2 * block_bytes or part.num_rows > 1:
                     yield block(part, data, offsets, held)
                     continue
-                ranges = _cuts(data, block_bytes)
-                for k, (lo, hi) in enumerate(ranges):
-                    yield block(part, data[lo:hi], np.array([0, hi - lo]), held, k > 0, k == len(ranges) - 1)
+                for piece, lead, last in _cuts(data, block_bytes):
+                    yield block(part, piece, np.array([0, len(piece)]), held, lead, last)
 
         for batch in batches:
             fold = column_or(batch, "fold").to_numpy()
