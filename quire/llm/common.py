@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from .words import covered, number, strong_hashes
 
 #: White space of the text contracts: space, tab, LF, VT, FF, CR.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -98,22 +99,6 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64 (kept between calls)."""
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length() if n > 1 else 1)
-        full = np.full(size, base, dtype=np.uint64)
-        full[0] = 1
-        with np.errstate(over="ignore"):
-            have = np.cumprod(full, dtype=np.uint64)
-        _POWERS[base] = have
-    return have[:n]
-
-
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word and the document it is in."""
     space = (data == 32) | ((data >= 9) & (data <= 13))
@@ -132,40 +117,25 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return start, end, doc
 
 
-_BASES = (0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F)
+def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(number of every word within ``data``, the distinct words): exact."""
+    return number(start, end, data[covered(data, start, end)])
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, from one running sum over all bytes:
-    sum of (byte + 1) * base**position, shifted back to the word's start.
-    ``kind`` 0 and 1 are independent."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    base = _BASES[kind]
-    inverse = pow(base, -1, 1 << 64)
-    n = len(data)
-    with np.errstate(over="ignore"):
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        # mixing the byte first keeps the sum from being linear in the text
-        table = mix(np.arange(256, dtype=np.uint64), 11 + kind)
-        np.cumsum(table[data] * powers(base, n), out=total[1:])
-        h = (total[end] - total[start]) * powers(inverse, n + 1)[start]
-        return mix(h + (end - start).astype(np.uint64), kind)
-
-
-def gram_hashes(words: np.ndarray, at: np.ndarray, n: int, kind: int = 0) -> np.ndarray:
-    """A 64-bit hash of the n words from each position in ``at``."""
-    if not len(at):
-        return np.zeros(0, np.uint64)
-    base = _BASES[kind] ^ 0x5851F42D4C957F2C | 1
-    inverse = pow(base, -1, 1 << 64)
-    m = len(words)
-    with np.errstate(over="ignore"):
-        total = np.empty(m + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(words * powers(base, m), out=total[1:])
-        return mix((total[at + n] - total[at]) * powers(inverse, m + 1)[at], 3 + kind)
+def word_names(data: np.ndarray, start: np.ndarray, end: np.ndarray, width: int = 1) -> np.ndarray:
+    """Each word's name, the same in every task: ``width`` columns of 64 bits
+    of the BLAKE2 digest of its bytes."""
+    code, distinct = word_codes(data, start, end)
+    return strong_hashes(distinct, width)[code]
+
+
+def gram_hashes(names: np.ndarray, at: np.ndarray, n: int, kind: int = 0) -> np.ndarray:
+    """64 bits from the names of the n words from each position in ``at``, one
+    word after the other; ``kind`` 0 and 1 are independent."""
+    out = np.full(len(at), U64(kind + 1))
+    for k in range(n):
+        out = mix(out ^ names[at + k], 3 + kind)
+    return out
 
 
 def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_view, free_name, shared_table, text_slices, utf8, word_bounds, word_hashes
+from .common import byte_view, free_name, shared_table, text_slices, utf8, word_bounds, word_codes
 
 MAX_LABELLED = 4000
 KEEP_FROM = 0.5
@@ -70,7 +70,7 @@ def text_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         length = end - start
         out[:, 4] = np.bincount(doc, length, minlength=n) / some / 20
         out[:, 5] = np.bincount(doc, length == 1, minlength=n) / some
-        names = word_hashes(data, start, end)
+        names, _ = word_codes(data, start, end)
         for k, column in ((1, 6), (2, 7)):                       # the word again, one or two words on
             again = (names[k:] == names[:-k]) & (doc[k:] == doc[:-k])
             out[:, column] = np.bincount(doc[k:], again, minlength=n) / some

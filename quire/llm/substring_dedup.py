@@ -1,6 +1,6 @@
 """Substring dedup by recompression.
 
-Words get 64-bit names; two recompression rounds then name pairs.  A round
+Words get 64-bit names, from the BLAKE2 digest of their bytes; two recompression rounds then name pairs.  A round
 splits all symbols into left and right ones by a bit of the name's hash and
 replaces every (left, right) pair by one symbol named after both; equal
 neighbours are in the same half, so a run of one token keeps its symbols and
@@ -17,9 +17,9 @@ border.  Equal windows have equal anchors.  Hence three passes:
 
 1. every document's distinct anchor keys are dealt into buckets; a key that
    two documents have is *shared*.  About two keys for nine words travel.
-2. only windows whose anchor is shared are named by 96 bits of two independent
-   hashes of their 13 words, and dealt by anchor key; the smallest doc id of
-   each window is found.  This verifies the repeats.
+2. only windows whose anchor is shared are named by 96 bits, mixed from 128
+   bits of the BLAKE2 digest of each of their 13 words, and dealt by anchor key;
+   the smallest doc id of each window is found.  This verifies the repeats.
 3. documents with windows that a smaller id has lose the words of them.
 
 Hot content: a task merges its own slice first.  A key or window that occurs
@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (SPACE, U64, byte_offsets, byte_view, gram_hashes, mix, shared_table, text_slices, utf8,
-                     word_bounds, word_hashes)
+                     word_bounds, word_names)
 
 WINDOW = 13
 #: Words in an anchor's key on each side of its border.
@@ -122,7 +122,7 @@ def key_records(n_buckets: int):
                 data, off = byte_view(part.column("text"))
                 refs = part.column("ref").to_numpy(zero_copy_only=False).astype(np.int64)
                 start, end, doc = word_bounds(data, off)
-                at, key = window_anchors(word_hashes(data, start, end), doc)
+                at, key = window_anchors(word_names(data, start, end)[:, 0], doc)
                 if not len(at):
                     continue
                 ref = refs[doc[at]]
@@ -214,7 +214,7 @@ def window_records(n_buckets: int):
                 count = np.diff(np.asarray(wanted.offsets, dtype=np.int64))
                 wanted = np.asarray(wanted.flatten()).view(np.uint64)
                 start, end, doc = word_bounds(data, off)
-                names = word_hashes(data, start, end)
+                names, others = word_names(data, start, end, 2).T
                 at, key = window_anchors(names, doc)
                 tag = lambda k, d: mix(k ^ mix(d.astype(np.uint64), 41), 43)     # noqa: E731
                 hit = np.isin(tag(key, doc[at]), tag(wanted, np.repeat(np.arange(len(count)), count)))
@@ -222,7 +222,7 @@ def window_records(n_buckets: int):
                 if not len(at):
                     continue
                 name = gram_hashes(names, at, WINDOW)
-                more = gram_hashes(word_hashes(data, start, end, 1), at, WINDOW, 1).astype(np.uint32)
+                more = gram_hashes(others, at, WINDOW, 1).astype(np.uint32)
                 owner = doc[at]
                 head = np.searchsorted(doc, owner, side="left")
                 place = (at - head).astype(np.uint32)

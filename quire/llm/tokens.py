@@ -10,9 +10,11 @@ pieces in order:
   surely no white space.  Other white space stays inside a piece.
 * both: a text is cut between a Latin letter and an ASCII mark after it.
 
-Pieces are cut and hashed (64 bits) with numpy over a whole slice of texts and
-looked up in a bounded table per Python worker; the library encodes the ones
-that are new.  Tests compare with the library's ``encode`` of whole texts.
+Pieces are cut with numpy over a whole slice of texts, told apart by their
+bytes and looked up in a bounded table per Python worker; the library encodes
+the new ones.  Pieces of up to 15 bytes are 128-bit keys as they stand (bytes
+and length); longer ones are numbered by an exact dictionary of the slice.
+Tests compare with the library's ``encode`` of whole texts.
 """
 
 from __future__ import annotations
@@ -22,16 +24,19 @@ import os
 import numpy as np
 from tokenizers import Tokenizer
 
-from .common import U64, ranges, word_hashes
+from .common import U64, ranges
+from .words import covered, number as numbered
 
 # one thread per task; Spark runs the tasks side by side
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Bounds of the table of pieces.
-MAX_PIECES, MAX_IDS = 600_000, 5_000_000
+#: Bounds of the table of pieces: their number, ids and bytes.
+MAX_PIECES, MAX_IDS, MAX_BYTES = 600_000, 5_000_000, 32_000_000
 #: Plain words encoded in one text.
 TOGETHER = 500
-_SLOTS = 1 << 21
+#: Places of the table of short pieces, and their longest length.
+_SLOTS, _SHORT = 1 << 20, 15
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 _BYTE = np.arange(256)
 _LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
@@ -44,6 +49,10 @@ _MAYBE = np.isin(_BYTE, [0xC2, 0xE1, 0xE2, 0xE3])
 _SURE = ((_BYTE > 32) & (_BYTE < 127)) | (_BYTE >= 128)
 
 
+def _slots(key: np.ndarray) -> np.ndarray:
+    return (key * U64(0x9E3779B97F4A7C15) >> U64(64 - _SLOTS.bit_length() + 1)).astype(np.int64)
+
+
 class PieceTable:
     """Distinct pieces and their ids."""
 
@@ -52,12 +61,12 @@ class PieceTable:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[int, int] = {}
-        self.n, self.used = 0, 0
+        self.numbers: dict[bytes, int] = {}
+        self.n, self.used, self.held = 0, 0, 0
         self.size, self.at = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
-        # a direct-mapped front of the dictionary
-        self.slot_key, self.slot_number = np.zeros(_SLOTS, np.uint64), np.full(_SLOTS, -1, np.int32)
+        # a direct-mapped front of the dictionary, for short pieces
+        self.slot_key, self.slot_number = np.zeros((_SLOTS, 2), np.uint64), np.full(_SLOTS, -1, np.int32)
 
     # -- cutting -----------------------------------------------------------------------
 
@@ -126,49 +135,62 @@ class PieceTable:
             setattr(self, name, grown)
         return getattr(self, name)
 
-    def _add(self, keys: list[int], pieces: list[str]) -> None:
-        lists = self._encode(pieces)
+    def _add(self, pieces: list[bytes]) -> None:
+        lists = self._encode([p.decode("utf-8", "replace") for p in pieces])
         sizes = np.array([len(x) for x in lists], np.int64)
         total = int(sizes.sum())
-        n = len(keys)
+        n = len(pieces)
         self._room("size", self.n + n)[self.n:self.n + n] = sizes
         self._room("at", self.n + n)[self.n:self.n + n] = self.used + np.cumsum(sizes) - sizes
         self._room("ids", self.used + total)[self.used:self.used + total] = np.fromiter(
             (i for x in lists for i in x), np.uint32, total)
-        self.numbers.update(zip(keys, range(self.n, self.n + n)))
-        self.n, self.used = self.n + n, self.used + total
+        self.numbers.update(zip(pieces, range(self.n, self.n + n)))
+        self.n, self.used, self.held = self.n + n, self.used + total, self.held + sum(map(len, pieces))
+
+    def _numbers_of(self, pieces: list[bytes]) -> np.ndarray:
+        """Numbers of distinct pieces."""
+        new = [p for p in pieces if p not in self.numbers]
+        if new:
+            self._add(new)
+        return np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
 
     def _lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Number of every piece."""
-        key = word_hashes(data, start, end)
-        slot = (key & U64(_SLOTS - 1)).astype(np.int64)
-        number = np.where(self.slot_key[slot] == key, self.slot_number[slot], -1)
-        open_ = np.flatnonzero(number < 0)
-        if len(open_):
-            distinct, one, back = np.unique(key[open_], return_index=True, return_inverse=True)
-            keys = distinct.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.numbers]
-            if new:
-                at = open_[one[new]]
-                raw = data.tobytes()
-                self._add([keys[i] for i in new], [raw[a:b].decode("utf-8", "replace") for a, b in
-                                                   zip(start[at].tolist(), end[at].tolist())])
-            found = np.fromiter((self.numbers[k] for k in keys), np.int64, len(keys))
-            number[open_] = found[back]
-            into = (distinct & U64(_SLOTS - 1)).astype(np.int64)
-            free = self.slot_number[into] < 0
-            into, distinct, found = into[free], distinct[free], found[free]
-            self.slot_key[into], self.slot_number[into] = distinct, found
-            # of two keys for one slot the last written stays; its number must be its own
-            lost = self.slot_key[into] != distinct
-            for i in np.flatnonzero(lost):
-                self.slot_number[into[i]] = self.numbers[int(self.slot_key[into[i]])]
+        size, number = end - start, np.empty(len(start), np.int64)
+        at = np.flatnonzero(size > _SHORT)
+        if len(at):
+            code, distinct = numbered(start[at], end[at], data[covered(data, start[at], end[at])])
+            number[at] = self._numbers_of(distinct.to_pylist())[code]
+        at = np.flatnonzero(size <= _SHORT)
+        if len(at):
+            padded = np.concatenate([data, np.zeros(16, np.uint8)])
+            eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))       # 8 bytes from any place
+            first, n = start[at], size[at]
+            low = eight[first] & _MASK[np.minimum(n, 8)]
+            high = eight[first + 8] & _MASK[np.maximum(n - 8, 0)] | n.astype(np.uint64) << U64(56)
+            slot = _slots(low ^ high * U64(0xC2B2AE3D27D4EB4F))
+            held = self.slot_key[slot]
+            short = np.where((held[:, 0] == low) & (held[:, 1] == high), self.slot_number[slot], -1).astype(np.int64)
+            open_ = np.flatnonzero(short < 0)
+            if len(open_):
+                order = np.lexsort((low[open_], high[open_]))
+                keys = np.stack([low[open_], high[open_]], axis=1)[order]
+                new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+                keys, raw = keys[new], keys[new].astype("<u8").tobytes()
+                lengths = (keys[:, 1] >> U64(56)).tolist()
+                found = self._numbers_of([raw[16 * i:16 * i + k] for i, k in enumerate(lengths)])
+                short[open_[order]] = found[np.cumsum(new) - 1]
+                into = slot[open_[order]][new]
+                free = np.flatnonzero(self.slot_number[into] < 0)
+                into, one = np.unique(into[free], return_index=True)             # of two keys for one place one stays
+                self.slot_key[into], self.slot_number[into] = keys[free[one]], found[free[one]]
+            number[at] = short
         return number
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids as unsigned 32-bit, number of ids of each text) of UTF-8
         texts that lie one after the other."""
-        if self.n > MAX_PIECES or self.used > MAX_IDS:
+        if self.n > MAX_PIECES or self.used > MAX_IDS or self.held > MAX_BYTES:
             self.clear()
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)

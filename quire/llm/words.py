@@ -44,6 +44,14 @@ def split(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_SPACE
     return np.flatnonzero(first), np.flatnonzero(last) + 1, data[word]
 
 
+def covered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which bytes lie in one of the words (in order, none of them empty)."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    return np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+
+
 def number(start: np.ndarray, end: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """(number of every word, the distinct words as binary) of words whose
     bytes lie one after the other in ``packed``."""
@@ -56,10 +64,10 @@ def number(start: np.ndarray, end: np.ndarray, packed: np.ndarray) -> tuple[np.n
 
 
 def strong_hashes(distinct: pa.Array, width: int = 1) -> np.ndarray:
-    """``width`` 64-bit columns of a BLAKE2 digest of each distinct word."""
-    size = 8 * width
-    digest = b"".join(hashlib.blake2b(w, digest_size=size).digest() for w in distinct.to_pylist())
-    return np.frombuffer(digest, "<u8").reshape(-1, width)
+    """The first ``width`` (1 or 2) 64-bit columns of the 16-byte BLAKE2 digest
+    of each distinct word."""
+    digest = b"".join([hashlib.blake2b(w, digest_size=16).digest() for w in distinct.to_pylist()])
+    return np.frombuffer(digest, "<u8").reshape(-1, 2)[:, :width]
 
 
 def counts_per_text(start: np.ndarray, offsets: np.ndarray) -> np.ndarray:

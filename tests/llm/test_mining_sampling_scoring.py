@@ -281,3 +281,34 @@ def test_weights_reach_their_optimum():
         return 30 * math.log(1 - x) + 70 * math.log(x * ratio + 1 - x)
     assert likelihood(m) >= max(likelihood(m - 1e-4), likelihood(m + 1e-4))
     assert interpolation.learn(h)[0] == 0 and interpolation.learn(h)[9] == pytest.approx(m)
+
+
+# -- words that linear hashes confuse (op2, op8, op10) ---------------------------------------
+
+def thue_morse(n):
+    """The Thue-Morse word of n letters and its complement: every polynomial
+    hash modulo 2**64 gives both the same value from 1,024 letters on."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_are_told_apart_by_their_bytes(spark, n):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from quire.llm import packing, substring_dedup, token_files
+    one, two = thue_morse(n)
+    texts = [" ".join([one] * 13), " ".join([two] * 13), " ".join([one] * 13)]
+    docs = make(spark, texts, parts=1)
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.substring_dedup(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 13}
+    for path, run, end in ((public_tokenizers.path("word_bpe_49k.json"), packing.pack, 1),
+                           (public_tokenizers.path("byte_bpe_50k.json"), token_files.token_round_trip, 0)):
+        library = Tokenizer.from_file(path)
+        want = {}
+        for i, t in enumerate(texts):
+            ids = np.array([*library.encode(t, add_special_tokens=False).ids, end], "<u4")
+            want[i] = [zlib.crc32(ids[k:k + 4096].tobytes()) for k in range(0, len(ids), 4096)] if end else [zlib.crc32(ids.tobytes())]
+        rows = run(docs, path).orderBy(*["doc_id", "piece"][:1 + end]).collect()
+        assert [r["ids_crc32"] for r in rows] == [c for i in range(3) for c in want[i]]

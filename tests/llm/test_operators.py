@@ -627,7 +627,7 @@ def test_pipeline_rows(spark, small_dir):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle_sql(spark, small_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small_dir}/{t}.parquet'")
     cur = con.execute(queries.ORACLE_SQL[name])
     cols = [c[0] for c in cur.description]
