@@ -57,6 +57,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "json_import_rejects": ("price",), "csv_import_rejects": ("price",), "place_orders_lines": ("price",),
     "gen_catalog_basic": ("price",),
     "update_books_in_turn": ("price", "discount_percent", "price_after_discount"),
+    "recategorise_touched": ("price", "discount_percent", "price_after_discount"),
+    "update_books_touched": ("price", "discount_percent", "price_after_discount"),
     "product_edit_in_turn": ("price", "discount_percent", "price_after_discount"),
     "gen_catalog_words": ("price", "discount_percent", "price_after_discount"),
 }
@@ -96,7 +98,7 @@ def register(name: str, sql: str | None, extra_ctes: str = ""):
     return deco
 
 
-_MODULES = ("sales", "catalog", "accounts", "quality", "snapshots", "in_turn", "changes", "files", "layout")
+_MODULES = ("sales", "catalog", "accounts", "quality", "snapshots", "in_turn", "identity", "changes", "files", "layout")
 
 
 def load_all() -> dict[str, NamedQuery]:
