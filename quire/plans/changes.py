@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import password_hash
+from ..operators import audit
 from ..operators import changes as ops
 from ..operators import snapshots as snap_ops
 from ..session import scratch_dir
 from ..sources import snapshot_store as store
 from ..sources.adapter import Domain
 from . import register
-from .requests import as_of
+from .requests import AS_OF_SQL, as_of
 from .snapshots import (_EDIT_REQ_SQL, _NEW_BOOKS_SQL, add_books_sql, delete_requests,
                         edit_requests, new_book_requests, product_delete_sql, product_edit_sql)
 
@@ -62,6 +63,40 @@ def snapshot_changes(d: Domain):
     return ops.snapshot_changes(d.books, s3, "book_id", _COMPARED)
 
 
+def _step_sql(step: int, before: str, after: str) -> str:
+    return f"""
+  SELECT {step} AS step, book_id, change AS action,
+         '{{"book_id":' || CAST(book_id AS VARCHAR) || ',"values":'
+           || CAST(to_json(map_from_entries(list_filter([{_DETAILS}], lambda e: e IS NOT NULL))) AS VARCHAR) || '}}' AS details_json
+  FROM (
+    SELECT COALESCE(b.book_id, a.book_id) AS book_id,
+           CASE WHEN b.book_id IS NULL THEN 'INSERT' WHEN a.book_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS change, {_SIDES}
+    FROM {before} b FULL OUTER JOIN {after} a ON b.book_id = a.book_id
+  ) x WHERE change <> 'UPDATE' OR concat_ws(',', {_CHANGED}) <> ''"""
+
+
+@register("log_action", f"""
+SELECT log_id, who, what_table, action, details_json, ts FROM v_audit_log
+UNION ALL
+SELECT (SELECT max(log_id) FROM v_audit_log) + row_number() OVER (ORDER BY step, book_id, action) AS log_id,
+       'seller' AS who, 'books' AS what_table, action, details_json, {AS_OF_SQL} AS ts
+FROM ({_step_sql(1, 'v_books', 's1')} UNION ALL {_step_sql(2, 's1', 's2')} UNION ALL {_step_sql(3, 's2', 's3')}) c
+""", extra_ctes=_CHANGE_CTES)
+def log_action(d: Domain):
+    """The whole audit log after an edit, a delete and an add job on the
+    catalogue, each of which appends its rows."""
+    root, log = scratch_dir(d.spark, "books-audited"), d.audit_log
+
+    def done(before, job, version: int, log):
+        after = d.spark.read.parquet(store.publish(job.snapshot, root, version))
+        return after, audit.log_action(log, before, after, "book_id", "books", as_of(), who="seller").log
+
+    s1, log = done(d.books, snap_ops.product_edit(d.books, edit_requests(d)), 1, log)
+    s2, log = done(s1, snap_ops.product_delete(s1, d.order_items, delete_requests(s1)), 2, log)
+    _, log = done(s2, snap_ops.add_books(s2, new_book_requests(d), as_of()), 3, log)
+    return log
+
+
 @register("view_logs", "SELECT * FROM v_audit_log ORDER BY ts DESC NULLS LAST, log_id DESC")
 def view_logs(d: Domain):
     """The whole audit listing, newest first."""
