@@ -9,6 +9,7 @@ from ..operators import audit
 from ..operators import changes as ops
 from ..operators import snapshots as snap_ops
 from ..session import scratch_dir
+from ..sources import reconcile
 from ..sources import snapshot_store as store
 from ..sources.adapter import Domain
 from . import register
@@ -97,6 +98,26 @@ def log_action(d: Domain):
     return log
 
 
+_DIFF_BUCKETS = 32
+
+
+@register("version_diff", """
+SELECT 'before' AS side, x.*, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM v_books EXCEPT ALL SELECT * FROM s3) x
+UNION ALL
+SELECT 'after', x.*, CAST(1 AS BIGINT) FROM (SELECT * FROM s3 EXCEPT ALL SELECT * FROM v_books) x
+""", extra_ctes=_CHANGE_CTES)
+def version_diff(d: Domain):
+    """Rows in which the catalogue after edit, delete and add differs from
+    the one before, found through bucket digests."""
+    root = scratch_dir(d.spark, "books-digested")
+    first = reconcile.publish_digested(d.books, root, 1, "book_id", _DIFF_BUCKETS)
+    edited = d.spark.read.parquet(store.publish(snap_ops.product_edit(first, edit_requests(d)).snapshot, root + "-steps", 1))
+    cut = snap_ops.product_delete(edited, d.order_items, delete_requests(edited)).snapshot
+    cut = d.spark.read.parquet(store.publish(cut, root + "-steps", 2))
+    reconcile.publish_digested(snap_ops.add_books(cut, new_book_requests(d), as_of()).snapshot, root, 2, "book_id", _DIFF_BUCKETS)
+    return reconcile.differing_rows(d.spark, root, 1, 2)
+
+
 @register("view_logs", "SELECT * FROM v_audit_log ORDER BY ts DESC NULLS LAST, log_id DESC")
 def view_logs(d: Domain):
     """The whole audit listing, newest first."""
