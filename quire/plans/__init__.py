@@ -57,6 +57,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "json_import_rejects": ("price",), "csv_import_rejects": ("price",), "place_orders_lines": ("price",),
     "gen_catalog_basic": ("price",),
     "update_books_in_turn": ("price", "discount_percent", "price_after_discount"),
+    "author_layout_lookup": ("price", "discount_percent", "price_after_discount"),
+    "isbn_layout_lookup": ("price", "discount_percent", "price_after_discount"),
     "version_diff": ("price", "discount_percent", "price_after_discount"),
     "recategorise_touched": ("price", "discount_percent", "price_after_discount"),
     "update_books_touched": ("price", "discount_percent", "price_after_discount"),

@@ -27,6 +27,28 @@ def category_layout_lookup(d: Domain):
     return ops.lookup_category(d.spark, path, LOOKUP_CATEGORY)
 
 
+LOOKUP_AUTHOR = "Brand#13"
+LOOKUP_ISBNS = ("978-3-000017", "978-3-000150", "978-3-999999")
+
+
+@register("author_layout_lookup", f"SELECT * FROM v_books WHERE author = '{LOOKUP_AUTHOR}'")
+def author_layout_lookup(d: Domain):
+    """Books of an author from the layout sorted by author."""
+    path = scratch_dir(d.spark, "lookup")
+    ops.write_lookup_layout(d.books, path)
+    return ops.lookup_value(d.spark, path, "author", LOOKUP_AUTHOR)
+
+
+@register("isbn_layout_lookup", "SELECT * FROM v_books WHERE isbn IN (" + ", ".join(f"'{i}'" for i in LOOKUP_ISBNS) + ")")
+def isbn_layout_lookup(d: Domain):
+    """Books of some isbns (one unknown) through the Bloom filters
+    of that layout."""
+    path = scratch_dir(d.spark, "lookup")
+    ops.write_lookup_layout(d.books, path)
+    found = [ops.lookup_value(d.spark, path, "isbn", i) for i in LOOKUP_ISBNS]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def _profile_sql() -> str:
     parts = []
     for c in PROFILE_COLUMNS:
