@@ -57,6 +57,7 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "json_import_rejects": ("price",), "csv_import_rejects": ("price",), "place_orders_lines": ("price",),
     "gen_catalog_basic": ("price",),
     "update_books_in_turn": ("price", "discount_percent", "price_after_discount"),
+    "search_author_indexed": ("price",), "search_books_indexed": ("price",),
     "author_layout_lookup": ("price", "discount_percent", "price_after_discount"),
     "isbn_layout_lookup": ("price", "discount_percent", "price_after_discount"),
     "version_diff": ("price", "discount_percent", "price_after_discount"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ..operators import catalog as ops
+from ..operators import trigrams
+from ..session import scratch_dir
 from ..sources.adapter import Domain
 from . import register
 
@@ -95,3 +97,40 @@ WHERE COALESCE(is_archived, 0) <> 1
 def search_books_keyword(d: Domain):
     """I5 by keyword alone."""
     return ops.search_books(d.books, SEARCH_KEYWORD)
+
+
+# -- the same searches through the trigram postings -------------------------------------------
+
+NAME_TERM = "001_"           # an underscore stays a wildcard
+
+
+def _postings(d: Domain, books, key: str = "book_id", columns=("title", "author", "category")) -> str:
+    path = scratch_dir(d.spark, "postings")
+    trigrams.write_postings(books, path, columns, key)
+    return path
+
+
+@register("search_author_indexed", f"""
+SELECT {_SEARCH_COLS} FROM v_books WHERE lower(author) LIKE lower('%' || 'D#1_' || '%')
+""")
+def search_author_indexed(d: Domain):
+    """B2 by trigrams: author substring with a wildcard."""
+    return trigrams.search_author(d.books, _postings(d, d.books), "D#1_")
+
+
+@register("search_books_indexed", f"""
+SELECT {_SEARCH_COLS} FROM v_books
+WHERE COALESCE(is_archived, 0) <> 1
+  AND (lower(title) LIKE '%{SEARCH_KEYWORD}%' OR lower(author) LIKE '%{SEARCH_KEYWORD}%')
+  AND lower(category) LIKE '%pro%' AND price <= CAST({SEARCH_MAX_PRICE} AS DECIMAL(10,2))
+""")
+def search_books_indexed(d: Domain):
+    """I5 by trigrams: keyword, category and price."""
+    return trigrams.search_books(d.books, _postings(d, d.books), SEARCH_KEYWORD, "PRO", SEARCH_MAX_PRICE)
+
+
+@register("search_profiles_indexed", f"SELECT customer_id, full_name FROM v_customers WHERE lower(full_name) LIKE '%{NAME_TERM}%'")
+def search_profiles_indexed(d: Domain):
+    """The same index over customers' names, where terms are selective."""
+    path = _postings(d, d.customers, "customer_id", ("full_name",))
+    return trigrams.matching(d.customers, path, ("full_name",), NAME_TERM, "customer_id").select("customer_id", "full_name")
