@@ -57,6 +57,11 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "json_import_rejects": ("price",), "csv_import_rejects": ("price",), "place_orders_lines": ("price",),
     "gen_catalog_basic": ("price",),
     "update_books_in_turn": ("price", "discount_percent", "price_after_discount"),
+    **{f"{k}_lines": ("price",) for k in ("order_add_items", "order_remove_items", "buy_auto", "place_orders_all",
+                                          "place_orders_twice")},
+    **{k: ("total_amount",) for k in ("order_add_items_orders", "order_remove_items_orders", "buy_auto_orders",
+                                      "place_orders_twice")},
+    "book_sales_rollup": ("amount",), "sales_by_title_rollup": ("revenue",), "popular_products_rollup": ("revenue",),
     "search_author_indexed": ("price",), "search_books_indexed": ("price",),
     "author_layout_lookup": ("price", "discount_percent", "price_after_discount"),
     "isbn_layout_lookup": ("price", "discount_percent", "price_after_discount"),
@@ -102,7 +107,7 @@ def register(name: str, sql: str | None, extra_ctes: str = ""):
     return deco
 
 
-_MODULES = ("sales", "catalog", "accounts", "quality", "snapshots", "in_turn", "identity", "changes", "files", "layout")
+_MODULES = ("sales", "catalog", "accounts", "quality", "snapshots", "in_turn", "identity", "rollups", "outcomes", "changes", "files", "layout")
 
 
 def load_all() -> dict[str, NamedQuery]:
