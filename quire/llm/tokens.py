@@ -30,12 +30,15 @@ from .words import covered, number as numbered
 # one thread per task; Spark runs the tasks side by side
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Bounds of the table of pieces: their number, ids and bytes.
+#: Bounds of the table of pieces: their number, ids and bytes.  A full table
+#: stays as it is, pieces it lacks are encoded for their slice only; after as many
+#: of those as it holds it starts anew.
 MAX_PIECES, MAX_IDS, MAX_BYTES = 600_000, 5_000_000, 32_000_000
 #: Plain words encoded in one text.
 TOGETHER = 500
 #: Places of the table of short pieces, and their longest length.
 _SLOTS, _SHORT = 1 << 20, 15
+NEVER = 1 << 62
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 _BYTE = np.arange(256)
@@ -62,7 +65,7 @@ class PieceTable:
 
     def clear(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.n, self.used, self.held = 0, 0, 0
+        self.n, self.used, self.held, self.passing = 0, 0, 0, 0
         self.size, self.at = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         # a direct-mapped front of the dictionary, for short pieces
@@ -154,8 +157,8 @@ class PieceTable:
             self._add(new)
         return np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
 
-    def _lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Number of every piece."""
+    def _lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, keep: int) -> np.ndarray:
+        """Number of every piece; those from ``keep`` on are not to stay."""
         size, number = end - start, np.empty(len(start), np.int64)
         at = np.flatnonzero(size > _SHORT)
         if len(at):
@@ -181,7 +184,7 @@ class PieceTable:
                 found = self._numbers_of([raw[16 * i:16 * i + k] for i, k in enumerate(lengths)])
                 short[open_[order]] = found[np.cumsum(new) - 1]
                 into = slot[open_[order]][new]
-                free = np.flatnonzero(self.slot_number[into] < 0)
+                free = np.flatnonzero((self.slot_number[into] < 0) & (found < keep))
                 into, one = np.unique(into[free], return_index=True)             # of two keys for one place one stays
                 self.slot_key[into], self.slot_number[into] = keys[free[one]], found[free[one]]
             number[at] = short
@@ -190,16 +193,24 @@ class PieceTable:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids as unsigned 32-bit, number of ids of each text) of UTF-8
         texts that lie one after the other."""
-        if self.n > MAX_PIECES or self.used > MAX_IDS or self.held > MAX_BYTES:
+        full = self.n > MAX_PIECES or self.used > MAX_IDS or self.held > MAX_BYTES
+        if full and self.passing > self.n:
             self.clear()
+            full = False
+        before = self.n, self.used, self.held
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         if self.kind == "word":
             data = _LOWER[data]
         start, end = self._pieces(data, offsets)
-        number = self._lookup(data, start, end)
+        number = self._lookup(data, start, end, before[0] if full else NEVER)
         count = self.size[number]
         ids = self.ids[ranges(self.at[number], count)]
+        if full:
+            self.passing += self.n - before[0]
+            for _ in range(self.n - before[0]):
+                self.numbers.popitem()                    # the last ones added
+            self.n, self.used, self.held = before
         ends = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(start, offsets, side="left")]
         return ids, np.diff(ends)
 
