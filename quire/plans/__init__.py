@@ -61,6 +61,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
                                           "place_orders_twice")},
     **{k: ("total_amount",) for k in ("order_add_items_orders", "order_remove_items_orders", "buy_auto_orders",
                                       "place_orders_twice")},
+    "json_import_split": ("price", "discount_percent", "price_after_discount"),
+    "json_export_array": ("price", "discount_percent", "price_after_discount"),
     "book_sales_rollup": ("amount",), "sales_by_title_rollup": ("revenue",), "popular_products_rollup": ("revenue",),
     "search_author_indexed": ("price",), "search_books_indexed": ("price",),
     "author_layout_lookup": ("price", "discount_percent", "price_after_discount"),

@@ -28,6 +28,16 @@ def _export(d: Domain, as_array: bool) -> str:
     return path
 
 
+def _compact(d: Domain) -> str:
+    """The export as arrays on one line each."""
+    path = scratch_dir(d.spark, "compact")
+    arrays = d.books.count() // COMPACT_ROWS + 1
+    (io.export_objects(d.books).groupBy(F.pmod(F.xxhash64("value"), F.lit(arrays)).alias("part"))
+     .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("value")), F.lit("]")).alias("value"))
+     .select("value").write.option("maxRecordsPerFile", 1).text(path))
+    return path
+
+
 @register("csv_import", "SELECT isbn, title, author, price, stock, category FROM v_books")
 def csv_import(d: Domain):
     """A2: catalogue written as headerless CSV and read back with a schema."""
@@ -56,12 +66,7 @@ FROM v_books
 def json_import_compact(d: Domain):
     """A3: arrays without line breaks, as other tools write them; about
     ``COMPACT_ROWS`` books per array, so files stay small as the table grows."""
-    path = scratch_dir(d.spark, "compact")
-    arrays = d.books.count() // COMPACT_ROWS + 1
-    (io.export_objects(d.books).groupBy(F.pmod(F.xxhash64("value"), F.lit(arrays)).alias("part"))
-     .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("value")), F.lit("]")).alias("value"))
-     .select("value").write.option("maxRecordsPerFile", 1).text(path))
-    return io.read_books_json(d.spark, path, multiline=True)
+    return io.read_books_json(d.spark, _compact(d), multiline=True)
 
 
 @register("json_import_rejects", f"""
@@ -109,6 +114,18 @@ def csv_import_rejects(d: Domain):
                                        F.col("reason").alias("outcome")), allowMissingColumns=True))
 
 
+@register("json_import_split", """
+SELECT book_id, isbn, title, author, price, stock, category,
+       CAST(json(attributes_json) AS VARCHAR) AS attributes_json,
+       date_trunc('second', created_at) AS created_at, discount_percent, price_after_discount
+FROM v_books
+""")
+def json_import_split(d: Domain):
+    """A3: arrays written without line breaks, files read in byte ranges."""
+    rows, _ = io.read_books_json_split(d.spark, _compact(d))
+    return rows
+
+
 @register("json_import_raw", """
 SELECT isbn, title, author, price, stock, category, book_id AS raw_book_id,
        CAST(json_extract_string(attributes_json, '$.pages') AS BIGINT) AS raw_pages
@@ -125,6 +142,24 @@ def json_import_raw(d: Domain):
                       .alias("raw_pages"))
 
 
+@register("json_export_array", """
+SELECT book_id, isbn, title, author, price, stock, category, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+       discount_percent, price_after_discount, CAST(json_extract_string(attributes_json, '$.pages') AS BIGINT) AS pages
+FROM v_books
+""")
+def json_export_array(d: Domain):
+    """A5: all 11 fields of the export as JSON arrays, each file read back as
+    one array."""
+    path = scratch_dir(d.spark, "export-arrays")
+    io.export_books_json(d.books, path, as_array=True)
+    element = F.explode(F.from_json("value", "array<string>")).alias("v")
+    v = d.spark.read.text(path, wholetext=True).select(element)
+    types = {"book_id": "long", "stock": "long", "price": S.PRICE, "discount_percent": S.DISCOUNT, "price_after_discount": S.PRICE}
+    return v.select(*[F.get_json_object("v", f"$.{c}").cast(types.get(c, "string")).alias(c)
+                      for c in io.EXPORT_COLUMNS if c != "attributes_json"],
+                    F.get_json_object("v", "$.attributes_json.pages").cast("long").alias("pages"))
+
+
 @register("json_export", """
 SELECT book_id, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
        CAST(json_extract_string(attributes_json, '$.pages') AS BIGINT) AS pages, price,

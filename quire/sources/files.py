@@ -15,15 +15,13 @@ All reads take an explicit schema (no inference pass over the data).
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.text import empty_as_null
+from .json_ranges import array_elements
 
 CSV_SCHEMA = T.StructType([
     T.StructField("isbn", T.StringType()), T.StructField("title", T.StringType()),
@@ -102,35 +100,34 @@ def export_objects(books: DataFrame) -> DataFrame:
 
 def export_books_json(books: DataFrame, path: str, as_array: bool = False,
                       max_records_per_file: int | None = None) -> None:
-    """Write the export.  ``as_array`` wraps each part file in ``[`` ... ``]``
-    with ``,`` lines between objects (the application's layout); such a file is
-    one partition, so a limit of records per file is refused."""
+    """Write the export.  ``as_array`` makes each part file one array in the
+    application's layout, ``[`` before the first object, ``,`` before every other
+    and ``]`` after the last, each on a line of its own; such a file is one
+    partition, so a limit of records per file is refused."""
     if as_array and max_records_per_file is not None:
         raise ValueError("as_array writes one array per partition: repartition instead of max_records_per_file")
-    lines = export_objects(books)
-    if as_array:
-        lines = lines.mapInPandas(_wrap_array, "value string")
+    lines = array_lines(export_objects(books)) if as_array else export_objects(books)
     limit = 0 if as_array else 1_000_000 if max_records_per_file is None else max_records_per_file
     lines.write.mode("errorifexists").option("maxRecordsPerFile", limit).text(path)
 
 
-def _wrap_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition: '[' line, objects separated by ',' lines, ']' line.
-    An empty partition still writes a valid empty array."""
-    yield pd.DataFrame({"value": ["["]})
-    first = True
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        vals = pdf["value"].tolist()
-        out = []
-        for v in vals:
-            if not first:
-                out.append(",")
-            out.append(v)
-            first = False
-        yield pd.DataFrame({"value": out})
-    yield pd.DataFrame({"value": ["]"]})
+def array_lines(objects: DataFrame, files: int | None = None) -> DataFrame:
+    """Lines (value) of ``files`` JSON arrays, one per partition.  Objects are
+    dealt by a hash of their text; every partition has two rows of its own for its
+    brackets, which a sort within partitions puts first and last, and a row's
+    place in its partition says whether a comma goes before it.  A partition
+    without objects is a valid empty array."""
+    n = files or int(objects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("value"), F.lit(n)).cast("int")
+    brackets = objects.sparkSession.range(n).select(
+        F.col("id").cast("int").alias("part"),
+        F.inline(F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(c).alias("value")) for k, c in ((0, "["), (2, "]"))])))
+    rows = (objects.select(part.alias("part"), F.lit(1).alias("rank"), "value").unionByName(brackets)
+            .repartitionById(n, F.col("part")).sortWithinPartitions("part", "rank", "value")
+            .withColumn("place", F.monotonically_increasing_id() % F.lit(1 << 33)))
+    after_another = (F.col("rank") == 1) & (F.col("place") > 1)
+    return rows.select(F.explode(F.when(after_another, F.array(F.lit(","), F.col("value")))
+                                 .otherwise(F.array("value"))).alias("value"))
 
 
 # ---------------------------------------------------------------------------
@@ -139,8 +136,10 @@ def _wrap_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
                     one_element_per_line: bool = False) -> DataFrame:
     """Typed import: explicit schema, created_at text to timestamp (seconds
-    precision, as exported).  JSON Lines split freely.  ``multiline`` reads
-    JSON-array files of any layout, one task per file.  Large exports in the
+    precision, as exported); a field that cannot be read is NULL (loads use the
+    checked forms, which send such elements to rejects).  JSON Lines split
+    freely.  ``multiline`` reads JSON-array files of any layout, one task per
+    file (``read_books_json_split``: several).  Large exports in the
     application's layout can be read with ``one_element_per_line=True``: line
     by line, so they split; any other line stops the job."""
     if multiline and one_element_per_line:
@@ -191,6 +190,21 @@ def read_books_json_checked(spark: SparkSession, path: str, multiline: bool = Fa
             tagged.filter(F.col("reason").isNotNull()).select("raw", "reason"))
 
 
+def read_books_json_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of array files of any layout and size, each read by as
+    many tasks as it has byte ranges (``json_ranges``).  An element that is no
+    object or has a field of a wrong type goes to rejects (raw, reason); a file
+    that is not one array gives one reject with its path as ``raw``."""
+    elements, files = array_elements(spark, path)
+    schema = T.StructType([*IMPORT_SCHEMA.fields, T.StructField(BAD, T.StringType())])
+    parsed = elements.withColumn("r", F.from_json(
+        "raw", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
+    bad = F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
+    rejects = (parsed.filter(bad).select("raw", F.lit(MALFORMED).alias("reason"))
+               .unionByName(files.select(F.col("file").alias("raw"), "reason")))
+    return _typed(parsed.filter(~bad).select(*[f"r.{f.name}" for f in IMPORT_SCHEMA.fields])), rejects
+
+
 def _element_lines(spark: SparkSession, path: str) -> DataFrame:
     """Elements of arrays written one per line; a line that is neither an
     element nor ``[``, ``]``, ``,`` or blank raises an error."""
