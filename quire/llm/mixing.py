@@ -207,16 +207,17 @@ def draw(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id
         raked = rake_spark(cells, targets, temper)
         have, raw = raked.agg(F.sum(F.col("tokens") * F.col("factor")), F.sum("tokens")).first()
     scale = volume * float(raw) / float(have) if have else volume
-    keyed = raked.select(*(F.col(t).alias("__" + t) for t in TRAITS), F.col("factor").alias("__factor"))
-    met = table.join(keyed, (_label(F.col(source_col)) == F.col("__source")) & (_label(F.col(lang_col)) == F.col("__lang"))
-                     & (_label(F.col(topic)) == F.col("__topic")))
+    own = {c: free_name(table, "__" + c) for c in (*TRAITS, "factor")}
+    keyed = raked.select(*(F.col(c).alias(n) for c, n in own.items()))
+    met = table.join(keyed, (_label(F.col(source_col)) == F.col(own["source"])) & (_label(F.col(lang_col)) == F.col(own["lang"]))
+                     & (_label(F.col(topic)) == F.col(own["topic"])))
     u = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)), 11) / F.lit(float(1 << 53))
     weight = F.col(names["weight"])
-    out = met.withColumn(names["weight"], F.col("__factor") * F.lit(scale))
+    out = met.withColumn(names["weight"], F.col(own["factor"]) * F.lit(scale))
     out = out.withColumn(names["probability"], F.least(F.lit(1.0), weight)).withColumn(
         names["copies"], F.floor(weight) + (u < weight - F.floor(weight)).cast("long"))
     out = out.withColumn(names["sampled"], F.col(names["copies"]) > 0)
-    return out.drop("__source", "__lang", "__topic", "__factor"), names
+    return out.drop(*own.values()), names
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", **more) -> DataFrame:

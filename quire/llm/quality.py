@@ -201,13 +201,13 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _combined(table: DataFrame, evidence: str, name: str, host_col: str, path_col: str) -> DataFrame:
     sites, _ = site_posteriors(table, evidence, F.col(host_col), F.col(path_col))
-    sites = shared_table(sites.select(F.col("h").alias("__h"), F.col("p").alias("__p"), F.col("shift").alias("__s")),
-                         "shifts")
+    h, p, s = (free_name(table, c) for c in ("__h", "__p", "__s"))
+    sites = shared_table(sites.select(F.col("h").alias(h), F.col("p").alias(p), F.col("shift").alias(s)), "shifts")
     if sites.count() <= SITE_ROWS:
         sites = F.broadcast(sites)
-    met = table.join(sites, table[host_col].eqNullSafe(F.col("__h")) & table[path_col].eqNullSafe(F.col("__p")), "left")
-    total = F.col(evidence) + F.lit(SITE_WEIGHT) * F.coalesce("__s", F.lit(0.0))
-    return met.withColumn(name, _chance(total)).drop("__h", "__p", "__s")
+    met = table.join(sites, table[host_col].eqNullSafe(F.col(h)) & table[path_col].eqNullSafe(F.col(p)), "left")
+    total = F.col(evidence) + F.lit(SITE_WEIGHT) * F.coalesce(s, F.lit(0.0))
+    return met.withColumn(name, _chance(total)).drop(h, p, s)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 from .common import byte_view, text_slices, utf8
@@ -56,7 +57,9 @@ WRITE_OPTIONS = {
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID) -> None:
     """Write every document's ids under ``path`` in ascending id order."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    src = docs.select((F.col(id_col).cast("long") if whole else F.col(id_col)).alias("doc_id"), utf8(text_col).alias("text"))
+    id_type = src.schema["doc_id"].dataType.simpleString()
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
     ordered = (src.repartitionByRange(*order).sortWithinPartitions(*order)
                .select("doc_id", "text", F.spark_partition_id().alias("part")))
@@ -75,7 +78,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                      lists], names=["part", "before", "doc_id", "n_tokens", "ids"])
                 before += int(ends[-1])
 
-    (ordered.mapInArrow(run, "part int, before long, doc_id long, n_tokens long, ids array<int>")
+    (ordered.mapInArrow(run, f"part int, before long, doc_id {id_type}, n_tokens long, ids array<int>")
      .write.options(**WRITE_OPTIONS).parquet(path))
 
 
@@ -116,8 +119,9 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                 [b.column("part"), b.column("before"), b.column("doc_id"), pa.array(off[1:] - lo),
                  pa.array(crc, pa.int64())], names=["part", "before", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = spark.read.parquet(path).select("part", "before", "doc_id", "ids").mapInArrow(
-        run, "part int, before long, doc_id long, n_tokens long, ids_crc32 long")
+    stored = spark.read.parquet(path).select("part", "before", "doc_id", "ids")
+    rows = stored.mapInArrow(run, f"part int, before long, doc_id {stored.schema['doc_id'].dataType.simpleString()}, "
+                                  "n_tokens long, ids_crc32 long")
     return _starts(rows, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -312,3 +312,46 @@ def test_words_are_told_apart_by_their_bytes(spark, n):
             want[i] = [zlib.crc32(ids[k:k + 4096].tobytes()) for k in range(0, len(ids), 4096)] if end else [zlib.crc32(ids.tobytes())]
         rows = run(docs, path).orderBy(*["doc_id", "piece"][:1 + end]).collect()
         assert [r["ids_crc32"] for r in rows] == [c for i in range(3) for c in want[i]]
+
+
+# -- clashing names, text ids, empty and null tables -----------------------------------------
+
+CLASHING = ["__source", "__lang", "__topic", "__factor", "__h", "__p", "__s", "__text", "__row", "__copy", "tokens", "weight",
+            "score", "host", "path", "topic", "copies", "evidence", "quality_score", "row", "id", "rank"]
+
+
+def test_stages_take_clashing_names(spark, small_dir):
+    """Every filtering stage of the pipeline on documents with columns of the
+    operators' internal names."""
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").limit(60)
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small_dir)
+        assert out.columns == docs.columns, name
+        assert {r[c] for r in out.select(*CLASHING).collect() for c in CLASHING} <= {"x"}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small_dir).count() >= 60
+
+
+def test_stages_take_empty_and_null_tables(spark, small_dir):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    nulls = docs.limit(4).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields])
+    for table in (docs.filter("doc_id < -5"), nulls):
+        now = table
+        for name, stage in corpus_pipeline.STAGES:
+            now = stage(spark, now, small_dir)
+            assert now.count() <= table.count(), name
+
+
+def test_text_ids(spark):
+    import public_tokenizers
+
+    from quire.llm import token_files
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x"), (None, "z")], "doc_id string, text string")
+    got = token_files.token_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).orderBy("start").collect()
+    assert [(r["doc_id"], r["start"]) for r in got] == [("a", 0), ("b", 2), (None, 5)]
+    assert interpolation.lm_scores(docs).count() == 3
+    ranks = resampling.resample(docs, docs, least_words=1, percent=100)
+    assert sorted(r["rank"] for r in ranks.collect()) == [1, 2, 3]
