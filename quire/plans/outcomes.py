@@ -84,7 +84,7 @@ _LEFT_LINES = """
 r_left_lines AS (
   SELECT order_id, book_id, qty, price FROM v_order_items WHERE order_id NOT IN (SELECT order_id FROM r_rem_ok)
   UNION ALL
-  SELECT order_id, book_id, q, price FROM (
+  SELECT order_id, book_id, CAST(q AS BIGINT), price FROM (
     SELECT order_id, book_id, CASE WHEN minus IS NULL THEN qty ELSE least(qty, upto - minus) END AS q, price FROM r_upto) u
   WHERE q IS NULL OR q > 0)"""
 
