@@ -117,8 +117,9 @@ class PieceTable:
                      ("\n", 2, [i for i, p in enumerate(pieces) if p.isalpha()])]
         for glue, step, plain in kinds:
             groups = [plain[k:k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
-            encoded = self.tokenizer.encode_batch_fast([glue.join([pieces[i] for i in g]) for g in groups],
-                                                       add_special_tokens=False)
+            # not the fast call, which tells no words apart
+            encoded = self.tokenizer.encode_batch([glue.join([pieces[i] for i in g]) for g in groups],
+                                                  add_special_tokens=False)
             for g, e in zip(groups, encoded):
                 ids, words = e.ids, np.array(e.word_ids)
                 ends = (np.flatnonzero(words[1:] != words[:-1]) + 1).tolist()
