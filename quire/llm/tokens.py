@@ -34,8 +34,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: stays as it is, pieces it lacks are encoded for their slice only; after as many
 #: of those as it holds it starts anew.
 MAX_PIECES, MAX_IDS, MAX_BYTES = 600_000, 5_000_000, 32_000_000
-#: Plain words encoded in one text.
-TOGETHER = 500
+#: Plain words encoded in one text, and such texts in one call.
+TOGETHER, AT_ONCE = 500, 16
 #: Places of the table of short pieces, and their longest length.
 _SLOTS, _SHORT = 1 << 20, 15
 NEVER = 1 << 62
@@ -117,15 +117,16 @@ class PieceTable:
                      ("\n", 2, [i for i, p in enumerate(pieces) if p.isalpha()])]
         for glue, step, plain in kinds:
             groups = [plain[k:k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
-            # not the fast call, which tells no words apart
-            encoded = self.tokenizer.encode_batch([glue.join([pieces[i] for i in g]) for g in groups],
-                                                  add_special_tokens=False)
-            for g, e in zip(groups, encoded):
-                ids, words = e.ids, np.array(e.word_ids)
-                ends = (np.flatnonzero(words[1:] != words[:-1]) + 1).tolist()
-                if len(ends) + 1 == step * (len(g) - 1) + 1:     # else some word was more than one pre-token
-                    for i, lo, hi in zip(g, [0, *ends][::step], [*ends, len(ids)][::step]):
-                        out[i] = ids[lo:hi]
+            for k in range(0, len(groups), AT_ONCE):
+                # not the fast call, which tells no words apart
+                encoded = self.tokenizer.encode_batch([glue.join([pieces[i] for i in g]) for g in groups[k:k + AT_ONCE]],
+                                                      add_special_tokens=False)
+                for g, e in zip(groups[k:k + AT_ONCE], encoded):
+                    ids, words = e.ids, np.array(e.word_ids)
+                    ends = (np.flatnonzero(words[1:] != words[:-1]) + 1).tolist()
+                    if len(ends) + 1 == step * (len(g) - 1) + 1:     # else some word was more than one pre-token
+                        for i, lo, hi in zip(g, [0, *ends][::step], [*ends, len(ids)][::step]):
+                            out[i] = ids[lo:hi]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
             out[i] = e.ids
