@@ -52,6 +52,10 @@ RAW_FIELDS_SCHEMA = T.StructType([
 ])
 
 
+#: Line separator that no JSON text holds (control characters are escaped in
+#: strings): a file read with it is one record.
+WHOLE_FILE = "\x01\x02\x03\x04"
+
 #: Column that holds a record the parser could not read, and its reject reason.
 BAD = "_malformed"
 MALFORMED = "malformed"
@@ -139,7 +143,10 @@ def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
     precision, as exported); a field that cannot be read is NULL (loads use the
     checked forms, which send such elements to rejects).  JSON Lines split
     freely.  ``multiline`` reads JSON-array files of any layout, one task per
-    file (``read_books_json_split``: several).  Large exports in the
+    file (``read_books_json_split``: several).  The file is one record of the
+    line reader: Spark's multiLine reader goes back to the file for the text of
+    every object kept as a string (``attributes_json``), 4 KB and more per
+    element.  Large exports in the
     application's layout can be read with ``one_element_per_line=True``: line
     by line, so they split; any other line stops the job."""
     if multiline and one_element_per_line:
@@ -147,8 +154,8 @@ def read_books_json(spark: SparkSession, path: str, multiline: bool = False,
               .select(F.from_json("raw", IMPORT_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"))
               .select("r.*"))
     else:
-        df = (spark.read.schema(IMPORT_SCHEMA).option("multiLine", multiline)
-              .option("mode", "PERMISSIVE").json(path))
+        reader = spark.read.schema(IMPORT_SCHEMA).option("mode", "PERMISSIVE")
+        df = (reader.option("lineSep", WHOLE_FILE) if multiline else reader).json(path)
     return _typed(df)
 
 

@@ -192,3 +192,22 @@ def test_stored_domain_runs_operators_on_published_snapshots(spark, small_dir):
     assert got == sales.popular_products(d.order_items, d.books, 5).collect()
     with pytest.raises(KeyError):
         sd.users
+
+
+def test_array_file_is_read_once(spark, fresh):
+    """No second reads of the file for the text of nested objects, which stays
+    as it was written."""
+    d = fresh("json-once")
+    attributes = '{"pages": 10,  "x":[1, 2.50, "\\u00e9"]}'
+    text = "[" + ",\n".join(f'{{"book_id":{i},"attributes_json":{attributes}}}' for i in range(3000)) + "]"
+    with open(os.path.join(d, "books.json"), "w", encoding="utf-8") as f:
+        f.write(text)
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    rows = io.read_books_json(spark, d, multiline=True).select("book_id", "attributes_json").collect()
+    assert bytes_read() - before < 3 * len(text)
+    assert sorted(r.book_id for r in rows) == list(range(3000))
+    assert {r.attributes_json for r in rows} == {attributes}
