@@ -14,9 +14,35 @@ shared rather than added.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows of a large table that one task sorts, about.
+ROWS_PER_TASK = 500_000
 
 
 def restrict_to(big: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``big`` whose key value(s) occur in ``keys``."""
     cols = [on] if isinstance(on, str) else list(on)
     return big.join(keys.select(*cols), cols, "left_semi")
+
+
+def parts_for(big: DataFrame, keys: DataFrame) -> int | None:
+    """Partitions for joins of ``big`` with ``keys``, so that a task's rows do
+    not grow with the tables; None where the session's own number does or the
+    keys are few (``big`` is then streamed against them)."""
+    if keys.limit(ROWS_PER_TASK + 1).count() <= ROWS_PER_TASK:
+        return None
+    parts = -(-big.count() // ROWS_PER_TASK)
+    return parts if parts > int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(df: DataFrame, key: str, parts: int | None) -> DataFrame:
+    """``df`` in ``parts`` partitions by ``key`` (None: as it is).  All sides of
+    a join on ``key`` need it, or Spark deals them anew."""
+    return df.repartition(parts, key) if parts else df
+
+
+def hashed(df: DataFrame, parts: int | None) -> DataFrame:
+    """Build side of joins of dealt tables: one row per key, at most about
+    ``ROWS_PER_TASK`` in a task, so a hash table needs less than two sorts."""
+    return df.hint("shuffle_hash") if parts else df

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.ids import assign_ids, max_ids
-from ..functions.joins import restrict_to
+from ..functions.joins import dealt, hashed, parts_for, restrict_to
 from ..functions.text import is_open_order, password_hash, starts_with
 from .accounts import first_by_seq, roles_dim
 from .quality import reserved_name
@@ -548,21 +548,30 @@ def _guard_open(orders: DataFrame, requests: DataFrame, keys: list[str]):
     return ok.drop("status", "_found"), [rej]
 
 
-def refresh_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame) -> DataFrame:
+def _touched_totals(order_items: DataFrame, touched: DataFrame, parts: int | None):
+    """Ids of ``touched``, and the sums of their lines."""
+    t = dealt(touched.select("order_id"), "order_id", parts).distinct()
+    t = hashed(t, parts)
+    lines = order_items.filter(F.col("order_id").isNotNull()).select("order_id", "qty", "price")
+    return t, hashed(lines_total(dealt(lines, "order_id", parts).join(t, "order_id", "left_semi")), parts)
+
+
+def refresh_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame,
+                   parts: int | None = None) -> DataFrame:
     """Touched orders with total_amount = Σ qty × price of their lines."""
-    t = touched.select("order_id").distinct()
-    lt = lines_total(order_items.join(t, "order_id", "left_semi"))
-    return (orders.join(t, "order_id", "left_semi").join(lt, "order_id", "left")
+    t, lt = _touched_totals(order_items, touched, parts)
+    return (dealt(orders, "order_id", parts).join(t, "order_id", "left_semi").join(lt, "order_id", "left")
             .select("order_id", "customer_id", "status",
                     F.coalesce(F.col("_t"), F.lit(0)).cast(S.TOTAL).alias("total_amount")))
 
 
-def with_refreshed_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame) -> DataFrame:
+def with_refreshed_totals(orders: DataFrame, order_items: DataFrame, touched: DataFrame,
+                          parts: int | None = None) -> DataFrame:
     """All orders; those of ``touched`` with total_amount = Σ qty × price."""
-    t = touched.select("order_id").distinct().withColumn("_touched", F.lit(True))
-    lt = lines_total(order_items.join(t, "order_id", "left_semi"))
+    t, lt = _touched_totals(order_items, touched, parts)
     total = F.when(F.col("_touched"), F.coalesce(F.col("_t"), F.lit(0))).otherwise(F.col("total_amount"))
-    return (orders.join(t, "order_id", "left").join(lt, "order_id", "left")
+    return (dealt(orders, "order_id", parts).join(hashed(t.withColumn("_touched", F.lit(True)), parts), "order_id", "left")
+            .join(lt, "order_id", "left")
             .withColumn("total_amount", total.cast(S.TOTAL)).select(*orders.columns))
 
 
@@ -571,6 +580,7 @@ def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
     """Only open orders accept lines; price captured from the book;
     totals of touched orders refreshed.  Paid/shipped orders are unchanged."""
     keys = ["seq", "order_id"]
+    parts = parts_for(order_items, requests)
     ok, rej = _guard_open(orders, requests, keys)
     prices = (restrict_to(books.select("book_id", "price"), requests, "book_id")
               .withColumn("_book", F.lit(True)))
@@ -580,8 +590,8 @@ def order_add_items(orders: DataFrame, books: DataFrame, order_items: DataFrame,
     new_lines = with_item_ids(found.select("seq", "order_id", "book_id", F.col("qty").cast("long").alias("qty"),
                                            "price"), order_items).drop("seq")
     items = order_items.select(*line_columns(order_items)).unionByName(new_lines)
-    touched = refresh_totals(orders, items, new_lines)
-    res = Applied(with_refreshed_totals(orders, items, new_lines), union_all(rej + [no_book]), new_lines)
+    touched = refresh_totals(orders, items, new_lines, parts)
+    res = Applied(with_refreshed_totals(orders, items, new_lines, parts), union_all(rej + [no_book]), new_lines)
     res.touched = touched
     res.order_items = items
     return res
@@ -592,15 +602,21 @@ def order_remove_items(orders: DataFrame, order_items: DataFrame, requests: Data
     for one line are summed), drop lines at <= 0, refresh totals.  Several
     lines of one book give up the quantity one after the other, cheapest
     first (running sum over the order's lines of the book), never each in
-    full."""
+    full.  ``removed`` and ``lowered`` are the asked lines before and after."""
     keys = ["order_id", "book_id"]
+    parts = parts_for(order_items, requests)
     req = requests.groupBy("order_id", "book_id").agg(F.sum("qty").alias("_minus"))
     ok, rej = _guard_open(orders, req, keys)
     columns = line_columns(order_items)
     li = order_items.select(*columns)
     w = flag_present(ok, li, keys, "_line", keys_from=req)
     rej.append(rejected(w.filter(~F.col("_line")), "line not found", keys))
-    hit = li.join(ok.select("order_id", "book_id", "_minus"), keys)
+    # asked lines and the others have the same two sides, so that each is shuffled
+    # once; a line without one of the keys is never asked for and not moved
+    has_keys = F.col("order_id").isNotNull() & F.col("book_id").isNotNull()
+    asked = (li.filter(has_keys)
+             .join(ok.select("order_id", "book_id", "_minus", F.lit(True).alias("_asked")), keys, "left"))
+    hit = asked.filter(F.col("_asked").isNotNull())
     ids = [c for c in columns if c == "order_item_id"]
     before = (Window.partitionBy(*keys).orderBy("price", "qty", *ids)
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -608,10 +624,13 @@ def order_remove_items(orders: DataFrame, order_items: DataFrame, requests: Data
     lowered = (hit.withColumn("_take", left_over)
                .select(*[(F.col("qty") - F.col("_take")).alias("qty") if c == "qty" else c for c in columns])
                .filter(F.col("qty").isNull() | (F.col("qty") > 0)))
-    new_items = li.join(ok.select(*keys).distinct(), keys, "left_anti").unionByName(lowered)
-    touched = refresh_totals(orders, new_items, ok)
-    res = Applied(with_refreshed_totals(orders, new_items, ok), union_all(rej), None)
+    new_items = (asked.filter(F.col("_asked").isNull()).select(*columns)
+                 .unionByName(li.filter(~has_keys)).unionByName(lowered))
+    touched = refresh_totals(orders, new_items, ok, parts)
+    res = Applied(with_refreshed_totals(orders, new_items, ok, parts), union_all(rej), None)
     res.touched = touched
+    res.lowered = lowered
+    res.removed = restrict_to(li.filter(has_keys), ok, keys)
     res.order_items = new_items
     return res
 
@@ -651,7 +670,7 @@ def buy_auto(users: DataFrame, customers: DataFrame, orders: DataFrame, books: D
     lines = with_item_ids(lines, order_items)
     columns = line_columns(order_items)
     items = order_items.select(*columns).unionByName(lines.select(*columns))
-    res = Applied(with_refreshed_totals(orders.unionByName(new_orders), items, lines),
+    res = Applied(with_refreshed_totals(orders.unionByName(new_orders), items, lines, parts_for(order_items, requests)),
                   union_all([not_customer, no_book]), lines)
     res.new_orders = new_orders
     res.order_items = items

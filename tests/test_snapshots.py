@@ -349,3 +349,24 @@ def test_new_lines_are_numbered_and_tables_whole(spark, users, customers, orders
     new = placed.added.first().order_id
     assert {r.customer_id: r.order_id for r in placed.order_items.collect()} == {10: new, 11: None}
     assert [r.customer_id for r in placed.lines.collect()] == [10]
+
+
+def test_tasks_of_large_tables_stay_small(spark, orders, books, monkeypatch):
+    """Above a number of rows, lines and orders are dealt into partitions that
+    follow the line table's size; the results are the same."""
+    lines = spark.createDataFrame([(100 if i % 2 else None, i % 4, 5, D("10.00")) for i in range(90)],
+                                  "order_id long, book_id long, qty long, price decimal(10,2)")
+    add = spark.createDataFrame([(i, 100, 1, i) for i in range(5)], "seq long, order_id long, book_id long, qty long")
+    cut = spark.createDataFrame([(100, 3, 7), (100, 1, 400), (999, 1, 1)], "order_id long, book_id long, qty long")
+
+    def results():
+        for res in (ops.order_add_items(orders, books, lines, add), ops.order_remove_items(orders, lines, cut)):
+            for df in (res.touched, res.snapshot, res.order_items):
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                yield "order_id" in plan and ", 45), REPARTITION_BY_NUM" in plan, sorted(map(str, df.collect()))
+
+    small = list(results())
+    monkeypatch.setattr("quire.functions.joins.ROWS_PER_TASK", 2)
+    large = list(results())
+    assert [x for _, x in small] == [x for _, x in large]
+    assert not any(x for x, _ in small) and [x for x, _ in large] == [True, True, False] * 2
