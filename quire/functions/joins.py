@@ -46,3 +46,13 @@ def hashed(df: DataFrame, parts: int | None) -> DataFrame:
     """Build side of joins of dealt tables: one row per key, at most about
     ``ROWS_PER_TASK`` in a task, so a hash table needs less than two sorts."""
     return df.hint("shuffle_hash") if parts else df
+
+
+def left_join_spread(df: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+    """Left join whose rows without a key are spread over all tasks: they match
+    nothing, but would all hash to one.  Both sides carry a hash of the key (a
+    constant would be folded out of the join's keys), keyless rows one of the
+    row."""
+    part = F.when(F.col(on).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.xxhash64(on))
+    return (df.withColumn("_part", part)
+            .join(lookup.withColumn("_part", F.xxhash64(on)), [on, "_part"], "left").drop("_part"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.joins import restrict_to
+from ..functions.joins import left_join_spread, restrict_to
 from .snapshots import (CONTACT_FIELDS, Applied, discounted, resolved_contacts, set_where_matched,
                         split_by_reason, union_all)
 
@@ -90,7 +90,7 @@ def contact_update(users: DataFrame, customers: DataFrame, requests: DataFrame)
     at = F.struct(F.col("seq").isNull().alias("no_seq"), F.col("seq"), F.col("customer_id"))
     taker = (ok.filter(F.col("new_email").isNotNull()).groupBy("new_email")
              .agg(F.min_by("customer_id", at).alias("_taker")))
-    raced, lost = split_by_reason(ok.join(taker, "new_email", "left"),
+    raced, lost = split_by_reason(left_join_spread(ok, taker, "new_email"),
                                   F.when(F.col("_taker") != F.col("customer_id"), F.lit("email exists")), keys)
     named = raced.select("seq", "customer_id", *[F.col(f"new_{c}").alias(c) for c in CONTACT_FIELDS])
     snap = set_where_matched(customers, fold(named, "customer_id", keep_null=CONTACT_FIELDS), "customer_id",

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.ids import assign_ids, max_ids
-from ..functions.joins import dealt, hashed, parts_for, restrict_to
+from ..functions.joins import dealt, hashed, left_join_spread, parts_for, restrict_to
 from ..functions.text import is_open_order, password_hash, starts_with
 from .accounts import first_by_seq, roles_dim
 from .quality import reserved_name
@@ -728,7 +728,7 @@ def resolved_contacts(users: DataFrame, customers: DataFrame, requests: DataFram
     holder = (restrict_to(customers.filter(F.col("email").isNotNull())
                           .select(F.col("email").alias("new_email"), "customer_id"), requests, "new_email")
               .groupBy("new_email").agg(F.min("customer_id").alias("_holder")))
-    j = requests.join(who, "username", "left").join(holder, "new_email", "left")
+    j = left_join_spread(requests.join(who, "username", "left"), holder, "new_email")
     reason = (F.when(F.col("username").isNull(), F.lit("key missing"))
               .when(F.col("customer_id").isNull(), F.lit("no profile"))
               .when(F.col("_holder") != F.col("customer_id"), F.lit("email exists")))

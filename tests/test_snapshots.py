@@ -370,3 +370,19 @@ def test_tasks_of_large_tables_stay_small(spark, orders, books, monkeypatch):
     large = list(results())
     assert [x for _, x in small] == [x for _, x in large]
     assert not any(x for x, _ in small) and [x for x, _ in large] == [True, True, False] * 2
+
+
+def test_requests_without_email_are_spread(spark, users, customers):
+    req = spark.createDataFrame([(i, "ivan", f"a{i}", None, None, None) for i in range(800)],
+                                "seq long, username string, new_address string, new_phone string, "
+                                "new_full_name string, new_email string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        ok, _ = ops.resolved_contacts(users, customers, req, ["seq", "username"])
+        sizes = [r["count"] for r in ok.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 800 and max(sizes) < 400
