@@ -37,18 +37,20 @@ def _covered(d: Domain):
     root = scratch_dir(d.spark, "sales")
     rollups.publish(rollups.book_sums(d.order_items), root, 1)
 
-    def version(n: int, lines, delta):
-        rollups.publish(delta, root, n)
+    def version(n: int, lines):
         return d.spark.read.parquet(store.publish(lines, f"{root}/lines", n))
 
     cut = ops.order_remove_items(d.orders, d.order_items, remove_item_requests(d))
-    second = version(2, cut.order_items, rollups.order_delta(d.order_items, cut.order_items, cut.touched))
+    second = version(2, cut.order_items)
+    rollups.publish(rollups.delta(cut.lowered, cut.removed), root, 2)
     more = ops.order_add_items(d.orders, d.books, second, add_item_requests(d))
-    third = version(3, more.order_items, rollups.delta(more.added, None))
+    third = version(3, more.order_items)
+    rollups.publish(rollups.delta(more.added, None), root, 3)
     gone = d.raw("customer").filter(F.col("c_nationkey") == CLOSED_NATION).select(F.col("c_custkey").alias("customer_id"))
     left = ops.cascade_delete(d.customers, d.orders, third, gone)
     orders = d.orders.join(gone, "customer_id", "left_semi").select("order_id")
-    version(4, left.order_items, rollups.delta(None, third.join(orders, "order_id", "left_semi")))
+    version(4, left.order_items)
+    rollups.publish(rollups.delta(None, third.join(orders, "order_id", "left_semi")), root, 4)
     return rollups.current(d.spark, root, range(1, 5))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas as S
 from quire.operators import rollups, sales
+from quire.operators import snapshots as ops
 from quire.session import scratch_dir
 
 D = Decimal
@@ -54,3 +55,19 @@ def test_empty_line_tables(spark):
     rollups.publish(rollups.book_sums(lines(spark, [])), root, 1)
     sums = rollups.current(spark, root, range(1, 2))
     assert sums.count() == 0 and rollups.items_sold(sums).first()[0] == 0
+
+
+def test_delta_of_the_lines_a_job_names(spark):
+    """The lines that order_remove_items took and left give the same sums as all
+    lines of its orders, also where an order comes twice."""
+    rows = [(1, 1, 5, "10.00"), (1, 1, 5, "9.00"), (1, 2, 1, "3.00"), (2, 1, 2, "1.00"), (None, 1, 1, "1.00"), (1, None, 1, "1.00")]
+    t = lines(spark, rows)
+    req = spark.createDataFrame([(1, 1, 7), (2, 1, 2), (3, 1, 1)], "order_id long, book_id long, qty long")
+    for times in (1, 2):
+        orders = spark.createDataFrame([(o, 1, None, S.ORDER_NEW, D("0.00")) for o in (1, 2) for _ in range(times)], S.ORDERS_SCHEMA)
+        cut = ops.order_remove_items(orders, t, req)
+        assert sorted(map(str, cut.removed.collect())) == sorted(map(str, lines(spark, rows[:2] + rows[3:4]).collect()))
+        sums = [rollups._added(rollups.book_sums(t).unionByName(x)).filter("n_lines > 0") for x in (
+            rollups.delta(cut.lowered, cut.removed), rollups.order_delta(t, cut.order_items, cut.touched))]
+        same(sums[0], sums[1])
+        same(sums[0], rollups.book_sums(cut.order_items))
